@@ -101,3 +101,9 @@ def frame_std(x: Column | str, w: WindowSpec, rows: int, scale: int = 2) -> Colu
 def spread_agg(x: Column | str, scale: int = 2) -> tuple[Column, Column, Column]:
     """(n, sum, n * sum of squares - sum^2) as aggregates over a group."""
     return _spread(scaled(x, scale), None)
+
+
+def fixed_sum(x: Column | str, digits: int = 8) -> Column:
+    """Sum of values cut to ``digits`` decimals; independent of row order."""
+    factor = float(10**digits)
+    return F.sum(F.floor(_col(x) * factor + 0.5).cast("decimal(20,0)")).cast("double") / factor

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-GROUPS = ["gold"]
+GROUPS = ["gold", "features"]
 
 
 def _modules():

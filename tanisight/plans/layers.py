@@ -41,3 +41,21 @@ def feature_store(spark: SparkSession, sf: str) -> DataFrame:
         weather=silver_weather(spark, sf),
         news=silver_news(spark, sf),
     )
+
+
+def daily_with_weather(spark: SparkSession, sf: str) -> DataFrame:
+    return gold.feature_store(daily(spark, sf), weather=silver_weather(spark, sf), reuse=False)
+
+
+def model_input(spark: SparkSession, sf: str) -> DataFrame:
+    """The columns of the feature store that the models use."""
+    return gold.feature_store(
+        daily(spark, sf), weather=silver_weather(spark, sf), news=silver_news(spark, sf), reuse=False
+    )
+
+
+def commodities(spark: SparkSession) -> DataFrame:
+    """Commodity dimension of the stand-ins, with labels."""
+    return spark.createDataFrame(
+        [(t, t.title()) for t in standins.TYPES], "komoditas string, label string"
+    )
