@@ -2,18 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def iso_date(x: Column | str) -> Column:
     """Date of an ISO-8601 text, null when it is not one.
 
-    The leading year is required: a cast alone would also take a bare time of day and put
-    today's date on it.
+    The form YYYY or YYYY-... is required: a cast alone would also take a bare time of day and
+    put today's date on it.
     """
-    text = F.col(x) if isinstance(x, str) else x
-    return F.when(text.rlike(r"^\s*\d{4}"), F.to_date(text.try_cast("timestamp")))
+    text = F.trim(F.col(x) if isinstance(x, str) else x)
+    starts_with_year = (F.substring(text, 5, 1) == "-") | (F.length(text) == 4)
+    return F.when(starts_with_year, F.to_date(text.try_cast("timestamp")))
+
+
+def day_of(df: DataFrame, column: str) -> Column:
+    """Date of a column that holds dates, timestamps or ISO-8601 text."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.to_date(column)
+    return iso_date(F.col(column).cast("string"))
 
 
 def date_prefix(*candidates: Column) -> Column:

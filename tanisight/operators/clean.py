@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tanisight.functions.numeric import rnd, safe_double
-from tanisight.functions.temporal import iso_date
+from tanisight.functions.temporal import day_of, iso_date
 from tanisight.operators.dedup import keep_first
 
 TIMESTAMPS = ("fetched_at_utc", "ingestion_ts")
@@ -32,7 +32,7 @@ def resolve(df: DataFrame, spec: Mapping[str, Sequence[str]], keep: Sequence[str
 def record_date(df: DataFrame) -> Column:
     """Date of a raw record from its first timestamp column; 1970-01-01 when it has none."""
     name = first_present(df, TIMESTAMPS)
-    return iso_date(F.col(name)) if name else F.to_date(F.lit("1970-01-01"))
+    return day_of(df, name) if name else F.to_date(F.lit("1970-01-01"))
 
 
 def canonical_filter(df: DataFrame, commodities: Sequence[str], column: str = "komoditas") -> DataFrame:
@@ -85,7 +85,7 @@ def silver_weather(raw: DataFrame, tie: Sequence[str]) -> DataFrame:
 def silver_macro(raw: DataFrame, tie: Sequence[str] = ("value",)) -> DataFrame | None:
     """Indicators as (source, indicator, date_parsed, value); None when a column is missing."""
     if "date" in raw.columns:
-        date = iso_date(F.col("date").cast("string"))
+        date = day_of(raw, "date")
     elif "year" in raw.columns:
         date = F.make_date(F.col("year").cast("int"), F.lit(1), F.lit(1))
     else:

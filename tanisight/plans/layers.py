@@ -9,7 +9,7 @@ from tanisight.plans import standins
 
 
 def silver_prices(spark: SparkSession, sf: str) -> DataFrame:
-    return clean.silver_prices(standins.prices(spark, sf), standins.TYPES, standins.LINE_COLS)
+    return clean.silver_prices(standins.prices(spark, sf), standins.TYPES, standins.PRICE_TIE)
 
 
 def daily(spark: SparkSession, sf: str) -> DataFrame:
@@ -29,7 +29,7 @@ def silver_news(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def silver_macro(spark: SparkSession, sf: str) -> DataFrame:
-    return clean.silver_macro(standins.macro(spark, sf).withColumn("date", standins.F.col("date").cast("string")))
+    return clean.silver_macro(standins.macro(spark, sf))
 
 
 def feature_store(spark: SparkSession, sf: str) -> DataFrame:

@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tanisight.dims import FeedDictionary, NewsDictionary
 from tanisight.functions.numeric import exact_sum, rnd
@@ -16,10 +17,8 @@ from tanisight.functions.text import join_title, matched_words, strip_tags
 
 TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 INDICATORS = ["ind_1", "ind_2", "ind_3", "ind_4", "ind_5"]
-LINE_COLS = [
-    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
-]
+# Order of price records of one day. Records equal in all of these have the same price too.
+PRICE_TIE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 
 # Words that occur in the given documents, in the roles of the news dictionaries.
 TEST_NEWS = NewsDictionary(
@@ -46,8 +45,15 @@ TEST_FEED = FeedDictionary(
 )
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """One given table; its schema is read from the files once, not by every query."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def tables(spark: SparkSession, sf: str, *names: str) -> list[DataFrame]:
@@ -69,8 +75,8 @@ def prices(spark: SparkSession, sf: str) -> DataFrame:
         F.col("r_name").alias("source"),
         F.col("p_type").alias("commodity"),
         F.col("l_extendedprice").alias("price"),
-        F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("fetched_at_utc"),
-        *LINE_COLS,
+        F.col("l_shipdate").alias("fetched_at_utc"),
+        *PRICE_TIE,
     )
 
 
@@ -81,7 +87,7 @@ def kurs(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_orderstatus").alias("source"),
         F.lit("USD/IDR").alias("pair"),
         F.col("o_totalprice").alias("kurs_tengah"),
-        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("fetched_at_utc"),
+        F.col("o_orderdate").alias("fetched_at_utc"),
         "o_orderkey", "o_custkey",
     )
 
@@ -99,7 +105,7 @@ def weather(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(
             F.col("value").alias("precipitation_sum"), temp.alias("temperature_2m_max")
         ).alias("daily"),
-        F.add_months(F.to_date("ts"), -312).cast("string").alias("ingestion_ts"),
+        F.add_months(F.to_date("ts"), -312).alias("ingestion_ts"),
         F.col("ts").cast("timestamp").alias("seen_at"),
         "event_id",
     )
@@ -114,7 +120,7 @@ def articles(spark: SparkSession, sf: str) -> DataFrame:
         "source",
         F.substring("text", 1, 200).alias("title"),
         F.col("text").alias("summary"),
-        day.cast("string").alias("ingestion_ts"),
+        day.alias("ingestion_ts"),
     )
 
 

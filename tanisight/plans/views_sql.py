@@ -6,7 +6,7 @@ a query. Text only; nothing here is run by Spark.
 
 from __future__ import annotations
 
-from tanisight.plans.standins import INDICATORS, LINE_COLS, TEST_FEED, TEST_NEWS, TYPES
+from tanisight.plans.standins import INDICATORS, PRICE_TIE, TEST_FEED, TEST_NEWS, TYPES
 
 _VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {}
 
@@ -89,7 +89,7 @@ def topics(text: str, names: dict[str, list[str]]) -> str:
 
 
 TYPE_LIST = ", ".join(f"'{t}'" for t in TYPES)
-LINE_ORDER = ", ".join(LINE_COLS)
+LINE_ORDER = ", ".join(PRICE_TIE)
 
 view("s_price", """
 SELECT r_name AS source, p_type AS commodity, l_extendedprice AS price,
