@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-GROUPS = ["gold", "features"]
+GROUPS = ["gold", "features", "news"]
 
 
 def _modules():

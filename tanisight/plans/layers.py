@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tanisight.operators import clean, gold
+from tanisight.operators import clean, gold, news
 from tanisight.plans import standins
 
 
@@ -59,3 +59,14 @@ def commodities(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
         [(t, t.title()) for t in standins.TYPES], "komoditas string, label string"
     )
+
+
+AS_OF = "1998-06-30"
+
+
+def signals(spark: SparkSession, sf: str) -> DataFrame:
+    return news.extract_signals(standins.articles(spark, sf), standins.TEST_NEWS, day="ingestion_ts")
+
+
+def velocity(spark: SparkSession, sf: str) -> DataFrame:
+    return news.keyword_velocity(signals(spark, sf), commodities(spark), AS_OF)
