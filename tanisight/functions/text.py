@@ -1,8 +1,8 @@
 """Text cleaning and dictionary matching, all as built-in expressions.
 
-A match list is an array of ``when(contains(text, word), word)``, which stays inside generated
-code. The cleaned text must be a column of its own (``withColumn``) before it is matched:
-it is then computed once per row, however many words the dictionary has.
+A match list is an array of ``when(contains(text, word), word)``. The cleaned text is added with
+``pin`` before it is matched, so it is computed once per row however many words the dictionary
+has and whatever filters follow.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The characters that count as white space (Unicode White_Space plus the four
@@ -19,12 +19,24 @@ WHITE_SPACE = (
     r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
 TAG = r"<[^>]+>"
+# A run of white space that is not already one blank.
+LONG_GAP = f" {WHITE_SPACE}+|{WHITE_SPACE.replace('x20', 'x1f')}{WHITE_SPACE}*"
+
+
+def pin(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that later steps may use many times.
+
+    A plain ``withColumn`` is not enough: a filter on something derived from it is pushed below
+    it, and the optimizer then repeats the whole expression once per use inside the filter.
+    Filters are not pushed through a generator, so a one-element explode keeps the value.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
 
 
 def clean_text(x: Column) -> Column:
     """Tags to blanks, lower case, runs of white space to one blank, trimmed."""
     no_tags = F.regexp_replace(F.coalesce(x, F.lit("")), TAG, " ")
-    return F.trim(F.regexp_replace(F.lower(no_tags), WHITE_SPACE + "+", " "))
+    return F.trim(F.regexp_replace(F.lower(no_tags), LONG_GAP, " "))
 
 
 def strip_tags(x: Column) -> Column:
@@ -48,6 +60,11 @@ def _hit(text: Column, word: str, whole_words: bool) -> Column:
     return F.contains(text, F.lit(word))
 
 
+def any_word(text: Column, words: Sequence[str], whole_words: bool = False) -> Column:
+    """Whether one of the words occurs; stops at the first."""
+    return reduce(Column.__or__, [_hit(text, w, whole_words) for w in words])
+
+
 def matched_words(text: Column, words: Sequence[str], whole_words: bool = False) -> Column:
     """Sorted distinct words that occur in the (lower-case) text as plain substrings."""
     hits = [F.when(_hit(text, w, whole_words), F.lit(w)) for w in sorted(set(words))]
@@ -57,7 +74,7 @@ def matched_words(text: Column, words: Sequence[str], whole_words: bool = False)
 def matched_topics(text: Column, topics: Mapping[str, Sequence[str]], whole_words: bool = False) -> Column:
     """Names of the topics with at least one word in the text, in dictionary order."""
     hits = [
-        F.when(reduce(Column.__or__, [_hit(text, w, whole_words) for w in words]), F.lit(name))
+        F.when(any_word(text, words, whole_words), F.lit(name))
         for name, words in topics.items()
     ]
     return F.array_compact(F.array(*hits))

@@ -19,14 +19,15 @@ def feed_articles(entries: DataFrame, words: FeedDictionary) -> DataFrame:
     3 per commodity word, 1 per supply word, 2 per region."""
     stripped = entries.withColumns(
         {"title": tx.strip_tags(F.col("title")), "summary": tx.strip_tags(F.col("summary"))}
-    ).withColumn("_text", F.lower(tx.join_title(F.col("title"), F.col("summary"))))
-    matched = stripped.withColumns(
+    )
+    lowered = tx.pin(stripped, "_text", F.lower(tx.join_title(F.col("title"), F.col("summary"))))
+    matched = lowered.filter(tx.any_word(F.col("_text"), words.commodities)).withColumns(
         {
             "komoditas_matched": tx.matched_words(F.col("_text"), words.commodities),
             "supply_keywords": tx.matched_words(F.col("_text"), words.supply),
             "sentra_matched": tx.matched_words(F.col("_text"), words.regions),
         }
-    ).filter(F.size("komoditas_matched") > 0)
+    )
     score = (
         3 * F.size("komoditas_matched") + F.size("supply_keywords") + 2 * F.size("sentra_matched")
     )
@@ -41,8 +42,10 @@ def feed_articles(entries: DataFrame, words: FeedDictionary) -> DataFrame:
 
 def article_text(articles: DataFrame) -> DataFrame:
     """Articles with their cleaned title and summary in ``full_text``."""
-    return articles.withColumn(
-        "full_text", tx.join_title(tx.clean_text(F.col("title")), tx.clean_text(F.col("summary")))
+    return tx.pin(
+        articles,
+        "full_text",
+        tx.join_title(tx.clean_text(F.col("title")), tx.clean_text(F.col("summary"))),
     )
 
 
@@ -57,10 +60,10 @@ def extract_signals(
     full = F.col("full_text")
     matched = (
         article_text(articles)
-        .withColumn("komoditas_matched", tx.matched_topics(full, words.topics, whole_words))
-        .filter(F.size("komoditas_matched") > 0)
+        .filter(tx.any_word(full, [w for ws in words.topics.values() for w in ws], whole_words))
         .withColumns(
             {
+                "komoditas_matched": tx.matched_topics(full, words.topics, whole_words),
                 "gangguan_signals": tx.matched_weights(full, words.disruptions, whole_words),
                 "sentra_matched": tx.matched_words(full, words.regions, whole_words),
                 "_up": tx.count_hits(full, words.bullish),

@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 
 from tanisight.dims import FeedDictionary, NewsDictionary
 from tanisight.functions.numeric import exact_sum, rnd
-from tanisight.functions.text import join_title, matched_words, strip_tags
+from tanisight.functions.text import join_title, matched_words, pin, strip_tags
 
 TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 INDICATORS = ["ind_1", "ind_2", "ind_3", "ind_4", "ind_5"]
@@ -126,8 +126,10 @@ def articles(spark: SparkSession, sf: str) -> DataFrame:
 
 def scored_articles(spark: SparkSession, sf: str) -> DataFrame:
     """News feed with the relevance score of the feed filter (before it drops articles)."""
-    rows = articles(spark, sf).withColumn(
-        "_text", F.lower(join_title(strip_tags(F.col("title")), strip_tags(F.col("summary"))))
+    rows = pin(
+        articles(spark, sf),
+        "_text",
+        F.lower(join_title(strip_tags(F.col("title")), strip_tags(F.col("summary")))),
     )
     score = (
         3 * F.size(matched_words(F.col("_text"), TEST_FEED.commodities))
