@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-GROUPS = ["gold", "features", "news"]
+GROUPS = ["gold", "features", "news", "risk"]
 
 
 def _modules():

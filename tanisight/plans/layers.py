@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tanisight.operators import clean, gold, news
+from tanisight.functions.numeric import clamp, exact_sum, rnd
+from tanisight.operators import clean, evaluate, features, gold, news, risk
+from tanisight.operators.dedup import top_rows
 from tanisight.plans import standins
 
 
@@ -57,7 +60,8 @@ def model_input(spark: SparkSession, sf: str) -> DataFrame:
 def commodities(spark: SparkSession) -> DataFrame:
     """Commodity dimension of the stand-ins, with labels."""
     return spark.createDataFrame(
-        [(t, t.title()) for t in standins.TYPES], "komoditas string, label string"
+        [(t, t.title(), i) for i, t in enumerate(standins.TYPES)],
+        "komoditas string, label string, position int",
     )
 
 
@@ -70,3 +74,65 @@ def signals(spark: SparkSession, sf: str) -> DataFrame:
 
 def velocity(spark: SparkSession, sf: str) -> DataFrame:
     return news.keyword_velocity(signals(spark, sf), commodities(spark), AS_OF)
+
+
+def latest_weather(spark: SparkSession, sf: str) -> DataFrame:
+    return risk.latest_per_region(standins.weather(spark, sf), "seen_at", "event_id")
+
+
+def risk_index(spark: SparkSession, sf: str) -> DataFrame:
+    dim = commodities(spark)
+    return risk.risk_index(
+        risk.price_signal(daily(spark, sf), dim),
+        risk.weather_signal(latest_weather(spark, sf), standins.regions(spark, sf), dim),
+        risk.news_signal(velocity(spark, sf), dim),
+    )
+
+
+def daily_risk(spark: SparkSession, sf: str) -> DataFrame:
+    """A risk value per commodity and day: 50 plus the seven-row change, within 0-100."""
+    moves = daily(spark, sf).withColumns({f"p{n}": features.change(n) for n in (3, 7, 14)})
+    index = F.coalesce(rnd(clamp(F.col("p7") + 50, 0, 100), 2), F.lit(50.0))
+    return moves.withColumn("risk_index", index).withColumn("level", risk.risk_level(F.col("risk_index")))
+
+
+def forecast(spark: SparkSession, sf: str) -> DataFrame:
+    """Forecast table without a model: the mean of the last 7 and 14 prices."""
+    series = daily(spark, sf)
+    recent = top_rows(series, ["komoditas"], [F.col("date_parsed").desc()], 14)
+
+    def mean(n: int):
+        price = F.when(F.col("_rank") <= n, F.col("avg_price"))
+        return rnd(exact_sum(price) / F.count(price), 0)
+
+    prices = recent.groupBy("komoditas").agg(
+        rnd(F.max_by("avg_price", "date_parsed"), 0).alias("current_price"),
+        mean(7).alias("forecast_7d"),
+        mean(14).alias("forecast_14d"),
+    )
+    errors = evaluate.naive_backtest(series).select(
+        "komoditas", F.col("baseline_mape").alias("model_mape"), F.col("baseline_rmse").alias("_rmse")
+    )
+
+    def change(column: str):
+        return rnd((F.col(column) - F.col("current_price")) / F.col("current_price") * 100, 2)
+
+    return prices.join(errors, "komoditas").select(
+        "komoditas", "current_price", "forecast_7d", "forecast_14d",
+        change("forecast_7d").alias("predicted_change_pct"),
+        change("forecast_14d").alias("predicted_change_pct_14d"),
+        (F.col("forecast_7d") - F.col("_rmse")).alias("confidence_lower"),
+        (F.col("forecast_7d") + F.col("_rmse")).alias("confidence_upper"),
+        "model_mape",
+    )
+
+
+def real_prices(spark: SparkSession, sf: str) -> DataFrame:
+    """Newest price of one source."""
+    one = silver_prices(spark, sf).filter(F.col("source") == "ASIA")
+    last = clean.latest_positive(one, ["komoditas"], ["date_parsed"], "price_idr_per_kg")
+    return last.withColumnRenamed("price_idr_per_kg", "price")
+
+
+def top_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    return news.phrase_lists(news.top_phrases(signals(spark, sf), AS_OF))

@@ -28,8 +28,7 @@ def sql(body: str, *names: str) -> str:
     for name in names:
         visit(name)
     ctes = ",\n".join(f"{n} AS MATERIALIZED ({_VIEWS[n][0]})" for n in ordered)
-    head = "WITH RECURSIVE " if any("UNION ALL_RECURSIVE" in _VIEWS[n][0] for n in ordered) else "WITH "
-    return f"{head}{ctes}\n{body}" if ordered else body
+    return f"WITH {ctes}\n{body}" if ordered else body
 
 
 def rnd(x: str, digits: int = 2) -> str:
