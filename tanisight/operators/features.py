@@ -196,6 +196,7 @@ def features_timing(store: DataFrame) -> DataFrame:
 
 MATRICES = {
     "7d": (features_7d, FEATURES_7D, "target_price_7d"),
+    "7d_calendar": (features_14d, FEATURES_14D, "target_price_7d"),
     "14d": (features_14d, FEATURES_14D, "target_price_14d"),
     "magnitude": (features_magnitude, FEATURES_MAGNITUDE, "target_change_rpkg"),
     "timing": (features_timing, FEATURES_TIMING, "target_class"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-GROUPS = ["gold", "features", "news", "risk"]
+GROUPS = ["io", "cleaning", "gold", "features", "news", "risk", "models"]
 
 
 def _modules():

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL_FOLDERS: dict[str, str] = {}
 
@@ -59,3 +60,15 @@ def materialize(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
+
+
+def materialize_by(df: DataFrame, key: str) -> DataFrame:
+    """Write a layer below one folder per key value and read it back.
+
+    A filter on the key then reads that folder only. Rebalancing gives few files per key and
+    splits a key that holds much of the data.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "layer")
+    df.hint("rebalance", F.col(key)).write.partitionBy(key).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
