@@ -186,7 +186,8 @@ def cooldown(
         .agg(F.min(tie).alias("first_id"))
         .withColumn("block", F.floor(F.col("us") / (gap * BLOCK)))
     )
-    ends = times.select(KEY, "block", "us").groupBy(KEY, "block").applyInPandas(
+    # Both uses read the same columns, so Spark shuffles the alerts once and reuses it.
+    ends = times.groupBy(KEY, "block").applyInPandas(
         _block_exits(gap), f"{KEY} string, block long, last long, upto long"
     )
     if seed is None:

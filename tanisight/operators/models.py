@@ -18,7 +18,7 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tanisight.dims import WINDOW_LABELS
@@ -53,9 +53,10 @@ def _names(table: DataFrame) -> list[str]:
     return sorted(r[0] for r in table.select(KEY).distinct().collect())
 
 
-def _each(names: Sequence[str], work: Callable, parallel: int) -> list:
+def _each(spark: SparkSession, names: Sequence[str], work: Callable, parallel: int) -> list:
+    """Run the fits of several commodities side by side; each is a set of Spark jobs."""
     with ThreadPoolExecutor(parallel) as pool:
-        return list(pool.map(inheritable_thread_target(work), names))
+        return list(pool.map(inheritable_thread_target(spark)(work), names))
 
 
 def _booster(features: Sequence[str], target: str, trees: int) -> Pipeline:
@@ -127,7 +128,7 @@ def forecast(
             [(name, f, float(v)) for f, v in zip(features, importance)],
         )
 
-    done = _each(_names(newest), work, parallel)
+    done = _each(spark, _names(newest), work, parallel)
     raw = spark.createDataFrame(
         [d[0] for d in done],
         f"{KEY} string, price double, hat double, mape_avg double, mape_std double, rmse_avg double, "
@@ -199,7 +200,7 @@ def magnitude(store: DataFrame, trees: int = 150, splits: int = 3, parallel: int
 
     columns = [f"rpkg_{p}" for p in ("p10", "p50", "p90")] + [f"pct_{p}" for p in ("p10", "p50", "p90")]
     rows = spark.createDataFrame(
-        _each(_names(newest), work, parallel), f"{KEY} string, " + ", ".join(f"{c} double" for c in columns)
+        _each(spark, _names(newest), work, parallel), f"{KEY} string, " + ", ".join(f"{c} double" for c in columns)
     )
     return rows.select(KEY, *[F.round(c, 0 if c.startswith("rpkg") else 2).alias(c) for c in columns])
 
@@ -238,7 +239,7 @@ def timing(store: DataFrame, trees: int = 200, parallel: int = 4) -> DataFrame:
 
     names = [f"p_window_{c}" for c in WINDOW_LABELS]
     rows = spark.createDataFrame(
-        _each(_names(newest), work, parallel),
+        _each(spark, _names(newest), work, parallel),
         f"{KEY} string, predicted_window string, " + ", ".join(f"{n} double" for n in names)
         + ", confidence double, key_triggers string",
     )

@@ -9,7 +9,7 @@ from tanisight.operators import evaluate, models
 from tanisight.plans import layers
 from tanisight.session import materialize
 
-TREES = 5
+TREES = 3
 
 
 def _store(spark, sf):
