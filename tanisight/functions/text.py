@@ -14,13 +14,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The characters that count as white space (Unicode White_Space plus the four
-# information separators), written the same for Java and RE2 patterns.
-WHITE_SPACE = (
-    r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# information separators). Printable ASCII is ruled out first: one check for nearly all text.
+_SPACES = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+WHITE_SPACE = f"[[^!-~]&&[{_SPACES}]]"
+SPACE_CHARS = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + (
+    "\u2028\u2029\u202f\u205f\u3000"
 )
 TAG = r"<[^>]+>"
 # A run of white space that is not already one blank.
-LONG_GAP = f" {WHITE_SPACE}+|{WHITE_SPACE.replace('x20', 'x1f')}{WHITE_SPACE}*"
+LONG_GAP = f" {WHITE_SPACE}+|[[^ -~]&&[{_SPACES}]]{WHITE_SPACE}*"
 
 
 def pin(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -42,7 +44,7 @@ def clean_text(x: Column) -> Column:
 def strip_tags(x: Column) -> Column:
     """Tags removed, white space cut at both ends only."""
     no_tags = F.regexp_replace(F.coalesce(x, F.lit("")), TAG, "")
-    return F.regexp_replace(no_tags, f"^{WHITE_SPACE}+|{WHITE_SPACE}+$", "")
+    return F.btrim(no_tags, F.lit(SPACE_CHARS))
 
 
 def join_title(title: Column, summary: Column) -> Column:

@@ -59,7 +59,7 @@ def silver_prices(
     ).withColumn("price_idr_per_kg", safe_double("price_idr_per_kg"))
     known = canonical_filter(resolved, commodities).filter(F.col("date_parsed").isNotNull())
     if dedup:
-        known = keep_first(known, ["source", "komoditas", "date_parsed"], tie)
+        known = keep_first(known, ["date_parsed", "komoditas", "source"], tie)
     return known.drop(*tie)
 
 
@@ -67,7 +67,7 @@ def silver_kurs(raw: DataFrame, tie: Sequence[str]) -> DataFrame:
     """Exchange rates, first row per (source, day)."""
     dated = raw.withColumn("date_parsed", record_date(raw)).filter(F.col("date_parsed").isNotNull())
     quotes = [c for c in ("kurs_jual", "kurs_beli", "kurs_tengah", "pair", "data_source") if c in raw.columns]
-    return keep_first(dated, ["source", "date_parsed"], tie).select("source", "date_parsed", *quotes)
+    return keep_first(dated, ["date_parsed", "source"], tie).select("source", "date_parsed", *quotes)
 
 
 def silver_news(raw: DataFrame, tie: Sequence[str]) -> DataFrame:
@@ -79,7 +79,7 @@ def silver_news(raw: DataFrame, tie: Sequence[str]) -> DataFrame:
 def silver_weather(raw: DataFrame, tie: Sequence[str]) -> DataFrame:
     """Weather, first row per (region, day); nested fields stay typed."""
     dated = raw.withColumn("date_parsed", record_date(raw))
-    return keep_first(dated, ["sentra", "date_parsed"], tie)
+    return keep_first(dated, ["date_parsed", "sentra"], tie)
 
 
 def silver_macro(raw: DataFrame, tie: Sequence[str] = ("value",)) -> DataFrame | None:
@@ -97,7 +97,7 @@ def silver_macro(raw: DataFrame, tie: Sequence[str] = ("value",)) -> DataFrame |
         "source", "indicator", date.alias("date_parsed"), safe_double(value).alias("value"),
         *[c for c in tie if c != "value"],
     ).filter(F.col("date_parsed").isNotNull())
-    first = keep_first(rows, ["source", "indicator", "date_parsed"], list(tie))
+    first = keep_first(rows, ["date_parsed", "indicator", "source"], list(tie))
     return first.select("source", "indicator", "date_parsed", "value")
 
 

@@ -2,7 +2,8 @@
 
 ``row_number() = 1`` (not ``dropDuplicates``) makes the choice explicit. Spark prunes each map
 task to its best row per key before the shuffle (WindowGroupLimit), so a key that holds a large
-part of all rows still sends at most one row per task.
+part of all rows still sends at most one row per task. Name the key column with the most
+values first: it leads the sort, and most comparisons then end with it.
 """
 
 from __future__ import annotations
