@@ -107,9 +107,9 @@ def rupiah(x: Column) -> Column:
 
 
 def signed_one(x: Column) -> Column:
-    """One decimal with its sign, e.g. ``+3.5``."""
-    return F.format_string("%+.1f", x)
+    """One decimal with its sign, e.g. ``+3.5``; null stays null (a bare format prints text)."""
+    return F.when(x.isNotNull(), F.format_string("%+.1f", x))
 
 
 def one_decimal(x: Column) -> Column:
-    return F.format_string("%.1f", x)
+    return F.when(x.isNotNull(), F.format_string("%.1f", x))

@@ -134,8 +134,8 @@ def _block_exits(gap: int):
         block = int(pdf["block"].iloc[0])
         limit = np.searchsorted(us, block * gap * BLOCK + gap, side="left") + 1
         table = pd.DataFrame({"upto": us[:limit], "last": us[hop][:limit]})
-        # Neighbouring starts usually end in the same alert: keep one row per end.
-        table = table.groupby("last", as_index=False)["upto"].max()
+        # Neighbouring starts usually end in the same alert: keep one row per run of equal ends.
+        table = table[table["last"] != table["last"].shift(-1)]
         table.insert(0, "block", block)
         table.insert(0, KEY, pdf[KEY].iloc[0])
         return table
@@ -148,7 +148,7 @@ def _block_starts(gap: int):
         seed = pdf["seed"].iloc[0]
         earliest = np.iinfo(np.int64).min if pd.isna(seed) else int(seed) + gap
         out = []
-        for block, rows in pdf.sort_values(["block", "upto"]).groupby("block", sort=True):
+        for block, rows in pdf.sort_values(["block", "upto"]).groupby("block"):
             out.append((pdf[KEY].iloc[0], block, earliest))
             reached = rows["upto"].to_numpy() >= earliest
             if reached.any():
