@@ -46,21 +46,19 @@ def silver_prices(
     """One price feed: canonical names, numeric price, known commodities, first row per
     (source, komoditas, day)."""
     dated = raw.withColumn("_date", record_date(raw))
-    resolved = resolve(
-        dated,
-        {
-            "source": ["source"],
-            "data_source": ["data_source", "source"],
-            "komoditas": ["komoditas", "commodity"],
-            "price_idr_per_kg": ["price_idr_per_kg", "price"],
-            "date_parsed": ["_date"],
-        },
-        keep=tie,
-    ).withColumn("price_idr_per_kg", safe_double("price_idr_per_kg"))
+    spec = {
+        "source": ["source"],
+        "data_source": ["data_source", "source"],
+        "komoditas": ["komoditas", "commodity"],
+        "price_idr_per_kg": ["price_idr_per_kg", "price"],
+        "date_parsed": ["_date"],
+    }
+    extra = [c for c in tie if c not in spec]
+    resolved = resolve(dated, spec, keep=extra).withColumn("price_idr_per_kg", safe_double("price_idr_per_kg"))
     known = canonical_filter(resolved, commodities).filter(F.col("date_parsed").isNotNull())
     if dedup:
         known = keep_first(known, ["date_parsed", "komoditas", "source"], tie)
-    return known.drop(*tie)
+    return known.drop(*extra)
 
 
 def silver_kurs(raw: DataFrame, tie: Sequence[str]) -> DataFrame:

@@ -9,6 +9,7 @@ from tanisight.functions.numeric import clamp, exact_sum, rnd
 from tanisight.operators import clean, evaluate, features, gold, news, risk
 from tanisight.operators.dedup import top_rows
 from tanisight.plans import standins
+from tanisight.session import materialize
 
 
 def silver_prices(spark: SparkSession, sf: str) -> DataFrame:
@@ -80,10 +81,15 @@ def latest_weather(spark: SparkSession, sf: str) -> DataFrame:
     return risk.latest_per_region(standins.weather(spark, sf), "seen_at", "event_id")
 
 
-def risk_index(spark: SparkSession, sf: str) -> DataFrame:
+def series(spark: SparkSession, sf: str) -> DataFrame:
+    """The daily prices, computed once, for views that use them in several places."""
+    return materialize(daily(spark, sf))
+
+
+def risk_index(spark: SparkSession, sf: str, prices: DataFrame | None = None) -> DataFrame:
     dim = commodities(spark)
     return risk.risk_index(
-        risk.price_signal(daily(spark, sf), dim),
+        risk.price_signal(daily(spark, sf) if prices is None else prices, dim),
         risk.weather_signal(latest_weather(spark, sf), standins.regions(spark, sf), dim),
         risk.news_signal(velocity(spark, sf), dim),
     )
@@ -96,28 +102,27 @@ def daily_risk(spark: SparkSession, sf: str) -> DataFrame:
     return moves.withColumn("risk_index", index).withColumn("level", risk.risk_level(F.col("risk_index")))
 
 
-def forecast(spark: SparkSession, sf: str) -> DataFrame:
+def forecast(prices: DataFrame) -> DataFrame:
     """Forecast table without a model: the mean of the last 7 and 14 prices."""
-    series = daily(spark, sf)
-    recent = top_rows(series, ["komoditas"], [F.col("date_parsed").desc()], 14)
+    recent = top_rows(prices, ["komoditas"], [F.col("date_parsed").desc()], 14)
 
     def mean(n: int):
         price = F.when(F.col("_rank") <= n, F.col("avg_price"))
         return rnd(exact_sum(price) / F.count(price), 0)
 
-    prices = recent.groupBy("komoditas").agg(
+    means = recent.groupBy("komoditas").agg(
         rnd(F.max_by("avg_price", "date_parsed"), 0).alias("current_price"),
         mean(7).alias("forecast_7d"),
         mean(14).alias("forecast_14d"),
     )
-    errors = evaluate.naive_backtest(series).select(
+    errors = evaluate.naive_backtest(prices).select(
         "komoditas", F.col("baseline_mape").alias("model_mape"), F.col("baseline_rmse").alias("_rmse")
     )
 
     def change(column: str):
         return rnd((F.col(column) - F.col("current_price")) / F.col("current_price") * 100, 2)
 
-    return prices.join(errors, "komoditas").select(
+    return means.join(errors, "komoditas").select(
         "komoditas", "current_price", "forecast_7d", "forecast_14d",
         change("forecast_7d").alias("predicted_change_pct"),
         change("forecast_14d").alias("predicted_change_pct_14d"),

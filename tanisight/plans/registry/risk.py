@@ -11,6 +11,7 @@ from tanisight.plans.layers import AS_OF
 from tanisight.plans.registry import features as _features  # noqa: F401  (defines SQL views used here)
 from tanisight.plans.registry import news as _news  # noqa: F401
 from tanisight.plans.standins import TYPES
+from tanisight.session import materialize
 from tanisight.plans.views_sql import clamp as clamp_sql, esum, pct, rnd, sql, view
 
 KEY, DAY = "komoditas", "date_parsed"
@@ -51,9 +52,10 @@ def _alert_rows(spark, sf):
 
 
 def _due(spark, sf):
+    prices = layers.series(spark, sf)
+    index = layers.risk_index(spark, sf, prices).withColumn("risk_index", F.col("risk_index") + 25)
     return alerts.due_alerts(
-        layers.commodities(spark), layers.risk_index(spark, sf).withColumn("risk_index", F.col("risk_index") + 25),
-        layers.forecast(spark, sf), layers.top_phrases(spark, sf),
+        layers.commodities(spark), index, layers.forecast(prices), layers.top_phrases(spark, sf)
     )
 
 
@@ -76,13 +78,15 @@ def _escalation(spark, sf):
     return alerts.escalations(layers.daily_risk(spark, sf))
 
 
-def _capped(spark, sf):
-    return views.capped_forecast(layers.forecast(spark, sf), layers.real_prices(spark, sf))
+def _capped(spark, sf, prices=None):
+    prices = layers.series(spark, sf) if prices is None else prices
+    return views.capped_forecast(layers.forecast(prices), layers.real_prices(spark, sf))
 
 
 def _current(spark, sf):
-    some = _capped(spark, sf).filter(~F.col(KEY).isin("SMALL", "STANDARD"))
-    return views.current_prices(some, layers.daily(spark, sf))
+    prices = layers.series(spark, sf)
+    some = _capped(spark, sf, prices).filter(~F.col(KEY).isin("SMALL", "STANDARD"))
+    return views.current_prices(some, prices)
 
 
 def _fused(spark, sf):
@@ -94,12 +98,13 @@ def _fused(spark, sf):
 
 
 def _prediction(spark, sf):
-    matrix = ft.feature_matrix(layers.daily(spark, sf), "magnitude")
+    prices = layers.series(spark, sf)
+    matrix = materialize(ft.feature_matrix(prices, "magnitude").select(KEY, "target_change_rpkg", "target_change_pct"))
     magnitude = ft.move_quantiles(matrix).join(ft.spike_stats(matrix), KEY).select(
         KEY, "rpkg_p10", "rpkg_p90", "spike_probability"
     )
     return views.prediction_view(
-        layers.commodities(spark), _capped(spark, sf), layers.risk_index(spark, sf), magnitude
+        layers.commodities(spark), _capped(spark, sf, prices), layers.risk_index(spark, sf, prices), magnitude
     )
 
 
@@ -109,44 +114,43 @@ def _directions(spark, sf):
 
 
 def _report(spark, sf):
+    prices = layers.series(spark, sf)
+    # Velocities doubled, so that some pass the mark of 2.
+    fast = layers.velocity(spark, sf).withColumn("velocity", F.col("velocity") * 2)
     return reports.report_lines(
-        layers.risk_index(spark, sf), layers.forecast(spark, sf), _fast(spark, sf),
-        layers.commodities(spark), AS_OF,
+        layers.risk_index(spark, sf, prices), layers.forecast(prices), fast, layers.commodities(spark), AS_OF
     )
 
 
-def _fast(spark, sf):
-    """Velocities doubled, so that some pass the mark of 2."""
-    return layers.velocity(spark, sf).withColumn("velocity", F.col("velocity") * 2)
-
-
 def _ranked(spark, sf):
     levels = layers.risk_index(spark, sf).withColumn("risk_index", F.col("risk_index") + 10)
     return risk.high_risk(levels.withColumn("level", risk.risk_level(F.col("risk_index"))))
 
 
-def _model(spark, sf):
-    """Model errors of the evaluation view: the 14-row change rate of each commodity."""
-    series = layers.daily(spark, sf)
-    naive = evaluate.naive_backtest(series, horizon=14)
+def _model(prices):
+    """Model errors of the views: those of a forecast over 14 rows."""
+    naive = evaluate.naive_backtest(prices, horizon=14)
     return naive.select(KEY, F.col("baseline_mape").alias("mape_avg"), F.col("baseline_rmse").alias("rmse_avg"))
 
 
 def _commodity_view(spark, sf):
+    prices = layers.series(spark, sf)
     return views.commodity_view(
-        layers.commodities(spark).select(KEY, "label"), _capped(spark, sf), layers.risk_index(spark, sf),
-        _model(spark, sf).select(KEY, "mape_avg"),
+        layers.commodities(spark).select(KEY, "label"), _capped(spark, sf, prices),
+        layers.risk_index(spark, sf, prices), _model(prices).select(KEY, "mape_avg"),
     )
 
 
 def _evaluation_view(spark, sf):
-    baseline = evaluate.naive_backtest(layers.daily(spark, sf))
-    model = _model(spark, sf)
+    prices = layers.series(spark, sf)
+    baseline = materialize(evaluate.naive_backtest(prices))
+    model = materialize(_model(prices))
     wins = evaluate.model_vs_baseline(model, baseline).select(
         KEY, "improvement_vs_baseline_mape", "model_wins"
     )
     return evaluate.evaluation_view(
-        layers.commodities(spark).select(KEY, "label"), baseline, model, layers.risk_index(spark, sf), wins
+        layers.commodities(spark).select(KEY, "label"), baseline, model,
+        layers.risk_index(spark, sf, prices), wins,
     )
 
 
@@ -180,7 +184,7 @@ QUERIES = {
     "alert_summary": lambda s, d: alerts.alert_summary(_daily_alerts(s, d)),
     "alert_suppressed": lambda s, d: alerts.suppressed_list(_daily_alerts(s, d)),
     "alert_escalation": _escalation,
-    "forecast_timeline": lambda s, d: views.forecast_timeline(layers.forecast(s, d), AS_OF),
+    "forecast_timeline": lambda s, d: views.forecast_timeline(layers.forecast(layers.series(s, d)), AS_OF),
     "capped_forecast": lambda s, d: _capped(s, d).select(KEY, "price", "change_pct", "capped_7d"),
     "current_prices": _current,
     "fused_level": _fused,
