@@ -113,9 +113,11 @@ def suppressed_list(alerts: DataFrame) -> DataFrame:
 # time line is cut into blocks of BLOCK cooldowns. Inside a block the only unknown is the first
 # alert sent, which lies in the block's first cooldown. Per block we work out, for each such
 # start, the last alert sent in the block; chaining these short tables over the blocks gives
-# every block its true start, and the blocks are then resolved in parallel.
+# every block its true start, and the blocks are then resolved in parallel. Alerts of one
+# commodity with equal times are merged first (map-side), so a group holds the distinct times of
+# one commodity in BLOCK cooldowns (8 days by default), not its alerts.
 
-BLOCK = 64
+BLOCK = 16
 
 
 def _next_sent(us: np.ndarray, gap: int) -> np.ndarray:

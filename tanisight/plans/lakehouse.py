@@ -41,7 +41,10 @@ def run_bronze(spark: SparkSession, landing: Mapping[str, Sequence[str]], lake:
             rows = dedup.merge_copies(records, key, TIES[key])
         else:
             rows = clean.union_sources(records)
-        tables.write_table(tables.stamp(tables.bronze(rows, stream)), f"{lake}/bronze/{stream}", "overwrite")
+        tables.write_table(
+            tables.stamp(tables.bronze(rows, stream)), f"{lake}/bronze/{stream}", "overwrite",
+            source=clean.union_sources(records),
+        )
         tables.write_table(
             clean.union_sources([bad for _, bad in scans]), f"{lake}/quarantine/{stream}", "overwrite"
         )
@@ -55,8 +58,9 @@ def run_silver(
     def raw(name: str) -> DataFrame:
         return _table(spark, lake, "bronze", name, (schemas.STREAMS | schemas.BATCHES)[name])
 
-    def write(df: DataFrame, name: str) -> None:
-        tables.write_table(df, f"{lake}/silver/{name}", "overwrite")
+    def write(df: DataFrame, name: str, *streams: str) -> None:
+        source = clean.union_sources([raw(s).select("source") for s in streams])
+        tables.write_table(df, f"{lake}/silver/{name}", "overwrite", source)
 
     grades = dims.pair_table(spark, dims.GRADES, "name", "canonical")
     feeds = []
@@ -70,16 +74,16 @@ def run_silver(
             }
         )
         feeds.append(clean.silver_prices(clean.map_exact(rows, "komoditas", grades), commodities, TIES["price"]))
-    write(clean.union_sources(feeds), "silver_prices")
-    write(clean.silver_kurs(raw("kurs"), TIES["kurs"]), "silver_kurs")
-    write(clean.silver_news(raw("news"), TIES["news"]), "silver_news")
-    write(clean.silver_weather(raw("weather"), TIES["weather"]), "silver_weather")
+    write(clean.union_sources(feeds), "silver_prices", *PRICE_FEEDS)
+    write(clean.silver_kurs(raw("kurs"), TIES["kurs"]), "silver_kurs", "kurs")
+    write(clean.silver_news(raw("news"), TIES["news"]), "silver_news", "news")
+    write(clean.silver_weather(raw("weather"), TIES["weather"]), "silver_weather", "weather")
     macro = []
     for batch, measures in schemas.MEASURES.items():
         rows = raw(batch)
         ids = ["source", *[c for c in ("fetched_at_utc", "ingestion_ts") if c in rows.columns]]
         macro.append(clean.silver_macro(clean.macro_unpivot(rows, ids, measures)))
-    write(clean.union_sources(macro), "silver_macro")
+    write(clean.union_sources(macro), "silver_macro", *schemas.MEASURES)
 
 
 def run_gold(spark: SparkSession, lake: str, as_of: str) -> DataFrame:

@@ -12,10 +12,16 @@ from pyspark.sql.types import StructType
 from tanisight.operators.clean import union_sources
 
 
-def write_table(df: DataFrame, path: str, mode: str = "append") -> bool:
-    """Overwrite with a new schema, or append (readers merge schemas). An empty frame is not
-    written."""
-    if df.isEmpty():
+def write_table(
+    df: DataFrame, path: str, mode: str = "append", source: DataFrame | None = None
+) -> bool:
+    """Overwrite with a new schema, or append (readers merge schemas). Nothing is written, and an
+    existing table stays, when there is no data.
+
+    Give the raw ``source`` where ``df`` is costly: looking for its first row reads one split,
+    while ``df`` would be computed up to its last shuffle just for the test.
+    """
+    if (df if source is None else source).isEmpty():
         return False
     df.write.mode(mode).parquet(path)
     return True
