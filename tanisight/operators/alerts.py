@@ -111,95 +111,133 @@ def suppressed_list(alerts: DataFrame) -> DataFrame:
 # An alert is sent when the last *sent* one of its commodity is at least the cooldown old, so
 # each decision depends on the one before. To keep one busy commodity off a single task, its
 # time line is cut into blocks of BLOCK cooldowns. Inside a block the only unknown is the first
-# alert sent, which lies in the block's first cooldown. Per block we work out, for each such
-# start, the last alert sent in the block; chaining these short tables over the blocks gives
-# every block its true start, and the blocks are then resolved in parallel. Alerts of one
-# commodity with equal times are merged first (map-side), so a group holds the distinct times of
-# one commodity in BLOCK cooldowns (8 days by default), not its alerts.
+# alert sent, which lies in the block's first cooldown (or is the first one after it). Per block
+# we work out, for each such start, the last alert sent in the block; chaining these short
+# tables over the blocks gives every block its true start, and the blocks are then resolved in
+# parallel. Alerts of one commodity with equal times are merged first (map-side), so a group
+# holds distinct times of 8 days, not alerts. A group covers all commodities of a slot, which
+# the helpers handle in one pass.
 
 BLOCK = 16
-
-
-def _next_sent(us: np.ndarray, gap: int) -> np.ndarray:
-    """For each alert the position of the next one sent if it is sent (len(us) = none)."""
-    return np.searchsorted(us, us + gap, side="left")
-
-
-def _block_exits(gap: int):
-    def exits(pdf: pd.DataFrame) -> pd.DataFrame:
-        us = np.sort(pdf["us"].to_numpy())
-        nxt = _next_sent(us, gap)
-        here = np.arange(len(us))
-        hop = np.where(nxt < len(us), nxt, here)
+SLOTS = 64
+
+
+class _Times:
+    """Distinct times of one block, sorted by commodity and time."""
+
+    def __init__(self, pdf: pd.DataFrame, gap: int):
+        codes, self.names = pd.factorize(pdf[KEY])
+        self.begin = int(pdf["block"].iloc[0]) * gap * BLOCK
+        rel = pdf["us"].to_numpy() - self.begin
+        self.order = np.lexsort((rel, codes))
+        self.code, self.rel = codes[self.order].astype(np.int64), rel[self.order]
+        self.bits = int(gap * (BLOCK + 2)).bit_length()
+        self.rank = (self.code << self.bits) + self.rel
+        self.size = len(self.rank)
+        after, found = self.first(self.code, self.rel + gap)
+        self.next = np.where(found, after, -1)
+
+    def first(self, code: np.ndarray, rel: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Position of a commodity's first time at or after ``rel``, and whether there is one."""
+        at = np.searchsorted(self.rank, (code << self.bits) + rel, side="left")
+        found = (at < self.size) & (self.code[np.minimum(at, self.size - 1)] == code)
+        return at, found
+
+
+def _block_ends(gap: int):
+    def ends(pdf: pd.DataFrame) -> pd.DataFrame:
+        t = _Times(pdf, gap)
+        hop = np.where(t.next >= 0, t.next, np.arange(t.size))
         while not np.array_equal(hop, hop[hop]):
             hop = hop[hop]
-        block = int(pdf["block"].iloc[0])
-        limit = np.searchsorted(us, block * gap * BLOCK + gap, side="left") + 1
-        table = pd.DataFrame({"upto": us[:limit], "last": us[hop][:limit]})
+        all_codes = np.arange(len(t.names), dtype=np.int64)
+        limit, _ = t.first(all_codes, np.full(len(all_codes), gap))
+        start = np.flatnonzero(np.arange(t.size) <= limit[t.code])
+        code, last = t.code[start], t.rel[hop[start]]
         # Neighbouring starts usually end in the same alert: keep one row per run of equal ends.
-        table = table[table["last"] != table["last"].shift(-1)]
-        table.insert(0, "block", block)
-        table.insert(0, KEY, pdf[KEY].iloc[0])
-        return table
+        keep = np.append((code[1:] != code[:-1]) | (last[1:] != last[:-1]), True)
+        return pd.DataFrame(
+            {
+                "slot": pdf["slot"].iloc[0],
+                KEY: t.names[code[keep]],
+                "block": pdf["block"].iloc[0],
+                "upto": t.rel[start[keep]] + t.begin,
+                "last": last[keep] + t.begin,
+            }
+        )
 
-    return exits
+    return ends
 
 
 def _block_starts(gap: int):
     def starts(pdf: pd.DataFrame) -> pd.DataFrame:
-        seed = pdf["seed"].iloc[0]
-        earliest = np.iinfo(np.int64).min if pd.isna(seed) else int(seed) + gap
-        out = []
-        for block, rows in pdf.sort_values(["block", "upto"]).groupby("block"):
-            out.append((pdf[KEY].iloc[0], block, earliest))
-            reached = rows["upto"].to_numpy() >= earliest
-            if reached.any():
-                earliest = int(rows["last"].to_numpy()[reached.argmax()]) + gap
-        return pd.DataFrame(out, columns=[KEY, "block", "earliest"])
+        pdf = pdf.sort_values([KEY, "block", "upto"])
+        out: list[tuple] = []
+        name = block = earliest = None
+        placed = True
+        for key, b, upto, last, seed in zip(pdf[KEY], pdf["block"], pdf["upto"], pdf["last"], pdf["seed"]):
+            if key != name:
+                name, block = key, None
+                earliest = np.iinfo(np.int64).min if pd.isna(seed) else int(seed) + gap
+            if b != block:
+                block, placed = b, False
+                out.append((name, block, earliest))
+            if not placed and upto >= earliest:
+                earliest, placed = last + gap, True
+        table = pd.DataFrame(out, columns=[KEY, "block", "earliest"])
+        table.insert(0, "slot", pdf["slot"].iloc[0])
+        return table
 
     return starts
 
 
 def _block_sent(gap: int):
-    def sent(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("us")
-        us = pdf["us"].to_numpy()
-        nxt = _next_sent(us, gap)
-        at = int(np.searchsorted(us, int(pdf["earliest"].iloc[0]), side="left"))
-        picked = []
-        while at < len(us):
+    def sent(pdf: pd.DataFrame, starts: pd.DataFrame) -> pd.DataFrame:
+        if pdf.empty:
+            return pdf[[KEY, "us", "first_id"]]
+        t = _Times(pdf, gap)
+        earliest = dict(zip(starts[KEY], starts["earliest"]))
+        begin = np.array([max(earliest[n] - t.begin, 0) for n in t.names], dtype=np.int64)
+        begin = np.minimum(begin, gap * (BLOCK + 1))
+        at, found = t.first(np.arange(len(t.names), dtype=np.int64), begin)
+        at, picked = at[found], []
+        while len(at):
             picked.append(at)
-            at = int(nxt[at])
-        return pdf.iloc[picked][[KEY, "us", "first_id"]]
+            at = t.next[at]
+            at = at[at >= 0]
+        rows = np.concatenate(picked) if picked else np.array([], dtype=np.int64)
+        return pdf.iloc[t.order[rows]][[KEY, "us", "first_id"]]
 
     return sent
 
 
 def cooldown(
-    alerts: DataFrame, hours: int = 12, tie: str = "event_id", seed: DataFrame | None = None
+    alerts: DataFrame, hours: int = 12, tie: str = "event_id", seed: DataFrame | None = None, slots: int = SLOTS
 ) -> DataFrame:
     """Alerts (komoditas, ts, tie key, ...) with ``suppressed``. ``seed`` holds (komoditas, ts) of
-    the last alert sent before these."""
+    the last alert sent before these. ``slots`` spreads the commodities over tasks."""
     gap = hours * 3_600_000_000
     us = F.unix_micros("ts")
     tie_type = alerts.schema[tie].dataType.simpleString()
     times = (
         alerts.groupBy(KEY, us.alias("us"))
         .agg(F.min(tie).alias("first_id"))
-        .withColumn("block", F.floor(F.col("us") / (gap * BLOCK)))
-    )
-    # Both uses read the same columns, so Spark shuffles the alerts once and reuses it.
-    ends = times.groupBy(KEY, "block").applyInPandas(
-        _block_exits(gap), f"{KEY} string, block long, last long, upto long"
+        .withColumns(
+            {"slot": F.pmod(F.hash(KEY), F.lit(slots)), "block": F.floor(F.col("us") / (gap * BLOCK))}
+        )
     )
+    # Both uses group the same table the same way, so Spark shuffles it once and reuses it.
+    groups = times.groupBy("slot", "block")
+    ends = groups.applyInPandas(_block_ends(gap), f"slot int, {KEY} string, block long, upto long, last long")
     if seed is None:
         ends = ends.withColumn("seed", F.lit(None).cast("long"))
     else:
         ends = ends.join(seed.select(KEY, us.alias("seed")), KEY, "left")
-    starts = ends.groupBy(KEY).applyInPandas(_block_starts(gap), f"{KEY} string, block long, earliest long")
+    starts = ends.groupBy("slot").applyInPandas(
+        _block_starts(gap), f"slot int, {KEY} string, block long, earliest long"
+    )
     sent = (
-        times.join(starts, [KEY, "block"])
-        .groupBy(KEY, "block")
+        groups.cogroup(starts.groupBy("slot", "block"))
         .applyInPandas(_block_sent(gap), f"{KEY} string, us long, first_id {tie_type}")
         .select(KEY, F.col("us").alias("_us"), F.col("first_id").alias(tie), F.lit(True).alias("_sent"))
     )
