@@ -86,12 +86,15 @@ def series(spark: SparkSession, sf: str) -> DataFrame:
     return materialize(daily(spark, sf))
 
 
-def risk_index(spark: SparkSession, sf: str, prices: DataFrame | None = None) -> DataFrame:
+def risk_index(
+    spark: SparkSession, sf: str, prices: DataFrame | None = None, speed: DataFrame | None = None
+) -> DataFrame:
+    """Risk index; ``prices`` and ``speed`` (velocity) may be given when already computed."""
     dim = commodities(spark)
     return risk.risk_index(
         risk.price_signal(daily(spark, sf) if prices is None else prices, dim),
         risk.weather_signal(latest_weather(spark, sf), standins.regions(spark, sf), dim),
-        risk.news_signal(velocity(spark, sf), dim),
+        risk.news_signal(velocity(spark, sf) if speed is None else speed, dim),
     )
 
 

@@ -115,10 +115,11 @@ def _directions(spark, sf):
 
 def _report(spark, sf):
     prices = layers.series(spark, sf)
+    speed = materialize(layers.velocity(spark, sf))
     # Velocities doubled, so that some pass the mark of 2.
-    fast = layers.velocity(spark, sf).withColumn("velocity", F.col("velocity") * 2)
+    fast = speed.withColumn("velocity", F.col("velocity") * 2)
     return reports.report_lines(
-        layers.risk_index(spark, sf, prices), layers.forecast(prices), fast, layers.commodities(spark), AS_OF
+        layers.risk_index(spark, sf, prices, speed), layers.forecast(prices), fast, layers.commodities(spark), AS_OF
     )
 
 
