@@ -21,45 +21,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tanisight.llm.common import as_bytes, gram_hashes, id_and_text, mix, signed, slices, starts_of, word_hashes
-from tanisight.session import materialize, scratch_path, ship_package
+from tanisight.llm.common import (
+    as_bytes, by_value, dealt, gram_hashes, group_of, grouped, id_and_text, packed, rows_of, runs_min, signed, slices, starts_of,
+    word_hashes,
+)
+from tanisight.session import materialize, ship_package
 
 ANCHOR = 7
 PREFIXES = (1, 2, 4)
 SLICE = 4000
-SPREAD = 4  # groups per shuffle partition
-PLACES = "part long, kind long, doc_id long, text binary, hashes binary, docs binary, places binary"
-FOUND = PLACES + ", n_words long, sha string"
+PLACES = "part long, kind long, doc_id long, text binary, hashes binary, docs binary, places binary, n_words long, sha string"
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 TEXT, PLACE, DONE, WINDOW = 1, 0, 2, 3  # kinds of rows
 
 
-def rows_of(schema: str, **columns) -> pa.RecordBatch:
-    """A batch with the named columns; the others are null."""
-    kinds = {"long": pa.int64(), "binary": pa.binary(), "string": pa.string()}
-    n = max(len(c) for c in columns.values())
-    fields = [f.strip().split(" ") for f in schema.split(",")]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(columns[name], kinds[kind]) if name in columns else pa.nulls(n, kinds[kind]) for name, kind in fields],
-        [name for name, _ in fields])
-
-
-def group_of(values: np.ndarray, groups: int) -> np.ndarray:
-    return (mix(values.astype(np.uint64)) % np.uint64(groups)).astype(np.int64)
-
-
-def dealt(parts: np.ndarray, schema: str, kind: int, **columns: np.ndarray):
-    """Rows of packed columns, one per part."""
-    order = np.argsort(parts, kind="stable")
-    sorted_parts = parts[order]
-    cuts = np.flatnonzero(np.append(True, sorted_parts[1:] != sorted_parts[:-1])) if len(order) else np.zeros(0, np.int64)
-    ends = np.append(cuts[1:], len(order))
-    if not len(cuts):
-        return
-    packed = {name: [c[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)] for name, c in ((k, v[order]) for k, v in columns.items())}
-    yield rows_of(schema, part=sorted_parts[cuts].tolist(), kind=[kind] * len(cuts), **packed)
-
-
 class Passages:
     """Anchors and windows of a slice of documents."""
 
@@ -99,19 +74,6 @@ def doc_part(ids: np.ndarray, groups: int) -> np.ndarray:
     return (ids ^ (ids >> 15)) % groups
 
 
-def by_value(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """An order by value (stable) and where each run of equal values begins in it."""
-    order = np.argsort(values, kind="stable")
-    ranked = values[order]
-    return order, np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])) if len(order) else np.zeros(0, np.int64)
-
-
-def runs_min(values: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Smallest and largest value of each run, and each element's run."""
-    sizes = np.diff(np.append(begins, len(values)))
-    return np.minimum.reduceat(values, begins), np.maximum.reduceat(values, begins), np.repeat(np.arange(len(begins)), sizes)
-
-
 def slice_ids(batch) -> np.ndarray:
     return np.array(batch.column("doc_id").to_pylist(), np.int64)
 
@@ -138,24 +100,6 @@ def anchors_sent(groups: int, width: int):
     return run
 
 
-def grouped(batches):
-    """(part, rows) of a partition sorted by part."""
-    part, rows = None, []
-    for batch in batches:
-        for row in batch.to_pylist():
-            if row["part"] != part:
-                if rows:
-                    yield part, rows
-                part, rows = row["part"], []
-            rows.append(row)
-    if rows:
-        yield part, rows
-
-
-def packed(rows: list[dict], name: str, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(r[name] for r in rows if r[name] is not None), kind)
-
-
 def anchors_met(groups: int):
     """Per group of anchors: the places of those in two documents at least, dealt by document."""
 
@@ -172,12 +116,12 @@ def anchors_met(groups: int):
     return run
 
 
-def windows_sent(groups: int, width: int, frequent: dict[int, np.ndarray]):
+def windows_sent(groups: int, width: int, frequent: dict[int, np.ndarray], windows_only: bool):
     """Texts meet the flagged places of their anchors.
 
-    Documents without a window that may be repeated are done. The others go on as texts, and their
-    windows by group; of equal windows of the slice only those of the smallest doc_id are sent, the
-    others are known to be removed.
+    Documents without a window that may be repeated are done. The others go on as texts, and, in a
+    second reading of the same shuffle, their windows by group; of equal windows of the slice only
+    those of the smallest doc_id are sent, the others are known to be removed.
     """
 
     def run(batches):
@@ -197,12 +141,12 @@ def windows_sent(groups: int, width: int, frequent: dict[int, np.ndarray]):
             some = np.zeros(len(ids), bool)
             some[p.doc[windows]] = True
             calm, rest = np.flatnonzero(~some), np.flatnonzero(some)
-            if len(calm):
+            if len(calm) and not windows_only:
                 words = [waiting[i][1].split() for i in calm]
-                yield rows_of(FOUND, kind=[DONE] * len(calm), doc_id=ids[calm].tolist(), n_words=list(map(len, words)),
+                yield rows_of(PLACES, kind=[DONE] * len(calm), part=doc_part(ids[calm], groups).tolist(), doc_id=ids[calm].tolist(), n_words=list(map(len, words)),
                               sha=[hashlib.sha256(b" ".join(w)).hexdigest() for w in words])
-            if len(rest):
-                yield rows_of(FOUND, kind=[TEXT] * len(rest), part=doc_part(ids[rest], groups).tolist(), doc_id=ids[rest].tolist(), text=[waiting[i][1] for i in rest])
+            if len(rest) and not windows_only:
+                yield rows_of(PLACES, kind=[TEXT] * len(rest), part=doc_part(ids[rest], groups).tolist(), doc_id=ids[rest].tolist(), text=[waiting[i][1] for i in rest])
             if not len(windows):
                 return
             at = p.starts[windows]
@@ -211,9 +155,11 @@ def windows_sent(groups: int, width: int, frequent: dict[int, np.ndarray]):
             low, _, run_of = runs_min(own[rank], begins)
             later = np.zeros(len(at), bool)
             later[rank] = own[rank] > low[run_of]
-            yield from dealt(doc_part(own[later], groups), FOUND, PLACE, docs=own[later], places=place[later])
+            if not windows_only:
+                yield from dealt(doc_part(own[later], groups), PLACES, PLACE, docs=own[later], places=place[later])
+                return
             key = prefix_keys(p, at[~later], frequent, values[~later])
-            yield from dealt(group_of(key, groups), FOUND, WINDOW, hashes=values[~later], docs=own[~later], places=place[~later])
+            yield from dealt(group_of(key, groups), PLACES, WINDOW, hashes=values[~later], docs=own[~later], places=place[~later])
 
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
@@ -306,11 +252,14 @@ def cut_out(width: int, with_text: bool):
                 if row["kind"] == PLACE:
                     blobs.append(row)
                     continue
+                if row["kind"] == DONE:
+                    out.append((row["doc_id"], row["n_words"], 0, row["sha"], None))
+                    continue
                 if blobs:
                     docs, places = packed(blobs, "docs", np.int64), packed(blobs, "places", np.int32)
                     order = np.argsort(docs, kind="stable")
                     docs, places, blobs = docs[order], places[order], []
-                words = row["text"].split()
+                words = (row["text"] or b"").split()
                 a, b = np.searchsorted(docs, row["doc_id"], "left"), np.searchsorted(docs, row["doc_id"], "right")
                 steps = np.zeros(len(words) + 1, np.int64)
                 at = places[a:b]
@@ -319,10 +268,11 @@ def cut_out(width: int, with_text: bool):
                 np.add.at(steps, at + width, -1)
                 stay = np.cumsum(steps[:-1]) == 0
                 kept = b" ".join(words[i] for i in np.flatnonzero(stay)) if not stay.all() else b" ".join(words)
-                out.append((row["doc_id"], len(words), int((~stay).sum()), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace")))
+                out.append((row["doc_id"], len(words), int((~stay).sum()), hashlib.sha256(kept).hexdigest(), None if stay.all() else kept.decode("utf-8", "replace")))
             if out:
-                columns = list(zip(*out, strict=True))[: 5 if with_text else 4]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc_id", "n_words", "n_removed", "kept_sha256", "text_kept"][: len(columns)])
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()][: 5 if with_text else 4]
+                columns = [pa.array(c, kind) for c, kind in zip(zip(*out, strict=True), kinds, strict=False)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept_sha256", "text_kept"][: len(columns)])
 
     return run
 
@@ -344,7 +294,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, width: int = 13, with_t
     no rows.
     """
     ship_package(spark)
-    groups = SPREAD * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    groups = int(spark.conf.get("spark.sql.shuffle.partitions"))
     known = id_and_text(docs).filter("doc_id is not null")
     frequent = frequent_prefixes(known, width, share, sample)
     anchors = known.mapInArrow(anchors_sent(groups, width), PLACES)
@@ -353,21 +303,17 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, width: int = 13, with_t
     texts = known.select(
         F.pmod(F.col("doc_id").bitwiseXOR(F.shiftright("doc_id", 15)), F.lit(groups)).alias("part"),
         F.lit(TEXT).cast("long").alias("kind"), "doc_id", F.col("text").cast("binary").alias("text"),
-        *[F.lit(None).cast("binary").alias(c) for c in ("hashes", "docs", "places")])
-    folder = scratch_path(spark, "passages")
-    by_part(texts.union(flagged)).mapInArrow(windows_sent(groups, width, frequent), FOUND).write.partitionBy("kind").parquet(folder)
-    found = spark.read.schema(FOUND).parquet(folder)
-
-    def of_kind(*kinds: int) -> DataFrame:
-        return found.filter(F.col("kind").isin(*kinds)).select(texts.columns)
-
-    removed = by_part(of_kind(WINDOW)).mapInArrow(windows_met(groups), PLACES)
+        *[F.lit(None).cast("binary").alias(c) for c in ("hashes", "docs", "places")],
+        F.lit(None).cast("long").alias("n_words"), F.lit(None).cast("string").alias("sha"))
+    met = by_part(texts.union(flagged))
+    windows = met.mapInArrow(windows_sent(groups, width, frequent, True), PLACES)
+    rest = met.mapInArrow(windows_sent(groups, width, frequent, False), PLACES)
+    removed = by_part(windows).mapInArrow(windows_met(groups), PLACES)
     schema = RESULT + ", text_kept string" * with_text
-    cut = by_part(of_kind(TEXT, PLACE).union(removed)).mapInArrow(cut_out(width, with_text), schema)
+    cut = by_part(rest.union(removed)).mapInArrow(cut_out(width, with_text), schema)
     nothing = [F.lit(0).cast("long").alias("n_removed"), "sha", *[F.lit(None).cast("string").alias("text_kept")] * with_text]
-    calm = found.filter(F.col("kind") == DONE).select("doc_id", "n_words", *nothing)
     nameless = id_and_text(docs).filter("doc_id is null").mapInArrow(untouched, "doc_id long, n_words long, sha string").select("doc_id", "n_words", *nothing)
-    return cut.union(calm).union(nameless)
+    return cut.union(nameless)
 
 
 def untouched(batches):
