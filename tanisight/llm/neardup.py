@@ -2,10 +2,12 @@
 
 Each permutation of the shingle hashes gives two values of a set, its minimum and its maximum, so a
 signature of 2 K values takes K evaluations. Rows of the signature form bands; sets that agree in a
-band meet in a bucket. Documents of equal sets are one node. Links are sought in three steps, so
-that no bucket emits all its pairs: each member with the bucket's first; then, where a bucket still
-holds nodes of different components, each component's members with the first of every other round;
-what then remains apart is compared pair by pair if the signatures allow a link at all.
+band meet in a bucket. Documents of equal sets are one node. Links are sought in steps, so that no
+bucket emits all its pairs: each member with the bucket's smallest node; then, where a bucket still
+holds nodes of different components, with another node of it. A node that remains apart can link
+with another only by shingles that both hold: with fewer than `percent` of its shingles in any
+other such node it cannot link at all, and what is left of the rest is compared pair by pair if the
+numbers of such shingles, sizes and signatures allow a link.
 """
 
 from __future__ import annotations
@@ -17,15 +19,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tanisight.llm.common import as_bytes, gram_hashes, id_and_text, mix, signed, slices, starts_of, word_hashes
+from tanisight.llm.common import (
+    as_bytes, by_value, dealt, gram_hashes, group_of, grouped, id_and_text, mix, packed, runs_min, signed, slices, starts_of, word_hashes,
+)
 from tanisight.session import materialize, scratch_path, ship_package
 
 SHINGLE = 5
 PERMUTATIONS = 50
 ROWS = 5  # values per band
 BANDS = 2 * PERMUTATIONS // ROWS
-#: Of 100 values two sets of similarity 0.85 share 85; fewer than this is 7 standard deviations off.
-LEAST_SHARED = 60
+#: Of 100 values two sets of similarity 0.85 share 85; fewer than this is 5.6 standard deviations off.
+LEAST_SHARED = 65
+PACKED = "part long, kind long, hashes binary, docs binary"
 SETS = "doc_id long, n_shingles long, s1 long, s2 long, bands array<long>, signature binary"
 
 
@@ -136,24 +141,49 @@ class Links:
         return materialize(near.join(a, "a").join(b, "b").mapInArrow(confirm(self.percent), "a long, b long").distinct())
 
 
+def shared_shingles(docs: DataFrame, nodes: DataFrame, groups: int) -> DataFrame:
+    """node, n_shared: how many of its shingles another of the nodes holds too. Nodes with none are left out."""
+
+    def send(batches):
+        for batch in slices(batches, 2000):
+            sets = shingle_sets(as_bytes(batch))
+            hashes = np.concatenate(sets)
+            ids = np.repeat(np.array(batch.column("doc_id").to_pylist(), np.int64), [len(x) for x in sets])
+            yield from dealt(group_of(hashes, groups), PACKED, 0, hashes=hashes, docs=ids)
+
+    def meet(batches):
+        for _, rows in grouped(batches):
+            order, begins = by_value(packed(rows, "hashes", np.uint64))
+            docs = packed(rows, "docs", np.int64)[order]
+            low, high, run_of = runs_min(docs, begins)
+            found, n = np.unique(docs[(high > low)[run_of]], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["node", "n"])
+
+    own = docs.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
+    sent = own.mapInArrow(send, PACKED).repartition("part").sortWithinPartitions("part")
+    return sent.mapInArrow(meet, "node long, n long").groupBy("node").agg(F.sum("n").alias("n_shared"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, component: the smallest node that links lead to. Only nodes with links.
 
-    Each round takes the smallest label of the neighbours and then follows the label's own label.
+    Each round takes the smallest label around a node and then that label's own label.
     """
-    both = materialize(links.union(links.select("b", "a")).toDF("node", "other").distinct())
-    labels = materialize(both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("label")))
+    ends = links.select(F.explode(F.array("a", "b")).alias("node"), F.array("a", "b").alias("of"))
+    both = materialize(ends.select("node", F.explode("of").alias("other")).distinct())  # with a loop at each node
+    labels = both.groupBy("node").agg(F.min("other").alias("label"))
     while True:
-        seen = both.join(labels.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.min("label").alias("near"))
-        step = labels.join(seen, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("far"))
-        after = materialize(step.join(jump, "label", "left").select("node", "old", F.least("label", F.coalesce("far", "label")).alias("label")))
+        labels = materialize(labels)
+        seen = both.join(labels.withColumnRenamed("node", "other"), "other").groupBy("node").agg(
+            F.min("label").alias("near"), F.max(F.when(F.col("node") == F.col("other"), F.col("label"))).alias("old"))
+        jump = labels.select(F.col("node").alias("near"), F.col("label").alias("far"))
+        after = materialize(seen.join(jump, "near").select("node", "old", F.col("far").alias("label")))
         if after.filter("label < old").isEmpty():
             return after.select("node", F.col("label").alias("component"))
         labels = after.select("node", "label")
 
 
-def link_copies(spark: SparkSession, docs: DataFrame, percent: int = 85, rounds: int = 3) -> DataFrame:
+def link_copies(spark: SparkSession, docs: DataFrame, percent: int = 85) -> DataFrame:
     """Per document: n_shingles, component_id (smallest doc_id that links lead to) and kept.
 
     A-Z are lower-cased; words are runs of other than ASCII white space; a set holds the distinct
@@ -175,28 +205,25 @@ def link_copies(spark: SparkSession, docs: DataFrame, percent: int = 85, rounds:
     full = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
     members = materialize(members.join(full, "bucket"))
     links = Links(id_and_text(docs).filter("doc_id is not null"), nodes, percent)
-    own = members.select("node", "bucket", F.col("node").alias("component"))
-    edges = None
-    for number in range(rounds + 1):
-        if edges is not None:
-            labels = components(edges)
-            own = members.join(labels, "node", "left").select("node", "bucket", F.coalesce("component", "node").alias("component"))
-        span = own.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        apart = own.join(span.filter("low < high"), "bucket")
-        if number:
-            apart = materialize(apart)
-        if number and apart.isEmpty():
-            break
-        if number < rounds:  # the members of the smallest component with one of the others, in turn
-            head = "node" if number == 0 else "component"
-            pairs = leaders(apart, head, number)
-        else:
-            x = apart.select("bucket", F.col("node").alias("a"), F.col("component").alias("ca"))
-            y = apart.select("bucket", F.col("node").alias("b"), F.col("component").alias("cb"))
-            pairs = x.join(y, "bucket").filter("a < b and ca <> cb").select("a", "b")
-        more = links.of(pairs)
-        edges = more if edges is None else materialize(edges.union(more))
+    edges = links.of(leaders(members.withColumn("component", F.col("node")), F.col("node")))
     labels = components(edges)
+    left = materialize(apart(members, labels))
+    if not left.isEmpty():
+        groups = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        ids = left.select("node").distinct()
+        shared = shared_shingles(links.docs, ids, groups).join(nodes.select("node", "n_shingles"), "node")
+        able = materialize(shared.filter(F.col("n_shared") * 100 >= F.col("n_shingles") * percent))
+        left = materialize(apart(left.select("node", "bucket").join(able, "node"), labels))
+        edges = materialize(edges.union(links.of(leaders(left, F.xxhash64("node"), percent))))
+        labels = components(edges)
+        left = materialize(apart(left.drop("component"), labels))
+        left = left.join(nodes.select("node", "bands"), "node")
+        x, y = (left.select("bucket", *[F.col(c).alias(c + k) for c in ("node", "component", "n_shared", "n_shingles", "bands")]) for k in "ab")
+        once = F.array_min(F.array_intersect("bandsa", "bandsb")) == F.col("bucket")  # of their common buckets, one
+        pairs = x.join(y, "bucket").filter("nodea < nodeb and componenta <> componentb").filter(can_link("a", "b", percent) & once)
+        more = links.of(pairs.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")))
+        if not more.isEmpty():
+            labels = components(edges.union(more))
     whole = classes.join(labels, "node", "left").select("s1", "s2", F.coalesce("component", "node").alias("component"))
     some = linked.select("doc_id", "n_shingles", "s1", "s2").join(whole, ["s1", "s2"]).select("doc_id", "n_shingles", "component")
     none = sets.filter("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component"))
@@ -204,10 +231,27 @@ def link_copies(spark: SparkSession, docs: DataFrame, percent: int = 85, rounds:
         "doc_id", "n_shingles", F.col("component").alias("component_id"), F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"))
 
 
-def leaders(apart: DataFrame, head: str, number: int) -> DataFrame:
-    """Pairs of every bucket member with one node: the bucket's smallest, or, in later rounds, a node
-    of the bucket drawn by hash anew in each round, if it lies in another component."""
-    order = F.col("node") if number == 0 else F.xxhash64("node", F.lit(number))
-    first = apart.groupBy("bucket").agg(F.min_by(F.struct("node", "component"), order).alias("first"))
-    return apart.join(first, "bucket").filter("component <> first.component").select(
-        F.least("node", "first.node").alias("a"), F.greatest("node", "first.node").alias("b"))
+def can_link(a: str, b: str, percent: int):
+    """The intersection holds at most the shared shingles of either."""
+    most = F.least("n_shared" + a, "n_shared" + b)
+    return most * (100 + percent) >= (F.col("n_shingles" + a) + F.col("n_shingles" + b)) * percent
+
+
+def apart(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members, with their components, of the buckets that hold several components."""
+    own = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    span = own.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return own.join(span.filter("low < high").select("bucket"), "bucket")
+
+
+def leaders(members: DataFrame, order, percent: int | None = None) -> DataFrame:
+    """Pairs of every bucket member with the bucket's first node in the order, of another component."""
+    more = [c for c in ("n_shared", "n_shingles") if c in members.columns]
+    first = members.groupBy("bucket").agg(F.min_by(F.struct("node", "component", *more), order).alias("f"))
+    pairs = members.join(first, "bucket").filter("component <> f.component")
+    if percent:
+        pairs = pairs.select("node", "f.node", *[F.col(c).alias(c + "a") for c in more], *[F.col("f." + c).alias(c + "b") for c in more]).toDF(
+            "node", "first", *[c + "a" for c in more], *[c + "b" for c in more]).filter(can_link("a", "b", percent))
+    else:
+        pairs = pairs.select("node", F.col("f.node").alias("first"))
+    return pairs.select(F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b"))
