@@ -88,11 +88,17 @@ def slot(depth: int):
     return F.expr(f"shiftrightunsigned(key, {64 - depth})") if depth else F.lit(0).cast("long")
 
 
-def build(spark: SparkSession, docs: DataFrame, folder: str, capacity: int = 16 << 20, max_depth: int = 16) -> DataFrame:
-    """Write the entries below `folder` and give them with their bucket."""
+def build(spark: SparkSession, docs: DataFrame, folder: str, capacity: int | None = None, max_depth: int = 16) -> DataFrame:
+    """Write the entries below `folder` and give them with their bucket.
+
+    capacity: bytes of a bucket; by default a quarter of a shuffle partition's share, 16 MB at most.
+    """
     entries(docs).write.parquet(folder)
     index = spark.read.schema(ENTRIES).parquet(folder)
     loads = index.groupBy(slot(max_depth).alias("slot")).agg(F.sum(F.col("size") + 64).alias("bytes")).collect()
+    if capacity is None:
+        share = sum(r.bytes for r in loads) // (4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+        capacity = min(16 << 20, max(64 << 10, share))
     directory = Directory({r.slot: r.bytes for r in loads}, max_depth, capacity)
     numbers = F.array(*[F.lit(n) for n in directory.slots()])
     return index.withColumn("bucket", F.get(numbers, slot(directory.depth).cast("int")))
@@ -119,7 +125,7 @@ def chained(index: DataFrame) -> DataFrame:
     return owners.drop("bucket").mapInArrow(run, CHAINED)
 
 
-def deduplicate(spark: SparkSession, docs: DataFrame, capacity: int = 16 << 20, max_depth: int = 16) -> DataFrame:
+def deduplicate(spark: SparkSession, docs: DataFrame, capacity: int | None = None, max_depth: int = 16) -> DataFrame:
     """Per document: keep_id, group_size, kept and text_sha256 of the normalised text.
 
     Texts are equal when identical after lower-casing A-Z; null is empty. Of equal texts the row with
