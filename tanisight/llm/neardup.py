@@ -106,8 +106,8 @@ def alike(batches):
     for batch in batches:
         a = [np.frombuffer(x, np.uint16) for x in batch.column("sign_a").to_pylist()]
         b = [np.frombuffer(x, np.uint16) for x in batch.column("sign_b").to_pylist()]
-        near = pa.array([int((x == y).sum()) >= LEAST_SHARED for x, y in zip(a, b, strict=True)], pa.bool_())
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(near)
+        same = np.array([int((x == y).sum()) for x, y in zip(a, b, strict=True)], np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(same)], ["a", "b", "n"]).filter(pa.array(same >= LEAST_SHARED))
 
 
 def confirm(percent: int):
@@ -129,12 +129,17 @@ class Links:
     def __init__(self, docs: DataFrame, nodes: DataFrame, percent: int):
         self.docs, self.nodes, self.percent = docs, nodes, percent
 
-    def of(self, pairs: DataFrame) -> DataFrame:
+    def of(self, pairs: DataFrame, few: bool = False) -> DataFrame:
+        """few: of each a's candidates, only the smallest and the likeliest."""
         sizes = self.nodes.select("node", "n_shingles", "signature")
         a, b = (sizes.select(F.col("node").alias(x), F.col("n_shingles").alias("n_" + x), F.col("signature").alias("sign_" + x)) for x in "ab")
         fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.percent
         near = pairs.distinct().join(a, "a").join(b, "b").filter(fits)
-        near = materialize(near.select("a", "b", "sign_a", "sign_b").mapInArrow(alike, "a long, b long"))
+        near = near.select("a", "b", "sign_a", "sign_b").mapInArrow(alike, "a long, b long, n long")
+        if few:
+            best = near.groupBy("a").agg(F.array_distinct(F.array(F.min("b"), F.max_by("b", F.struct("n", "b")))).alias("b"))
+            near = best.select("a", F.explode("b").alias("b"))
+        near = materialize(near.select("a", "b"))
         wanted = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
         sets = materialize(self.docs.join(wanted, "doc_id", "left_semi").mapInArrow(whole_sets, "node long, shingles binary"))
         a, b = (sets.select(F.col("node").alias(x), F.col("shingles").alias("set_" + x)) for x in "ab")
@@ -157,11 +162,18 @@ def shared_shingles(docs: DataFrame, nodes: DataFrame, groups: int) -> DataFrame
             docs = packed(rows, "docs", np.int64)[order]
             low, high, run_of = runs_min(docs, begins)
             found, n = np.unique(docs[(high > low)[run_of]], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["node", "n"])
+            yield from dealt(group_of(found, groups), PACKED, 0, hashes=n.astype(np.uint64), docs=found)
+
+    def add(batches):
+        for _, rows in grouped(batches):
+            found, where = np.unique(packed(rows, "docs", np.int64), return_inverse=True)
+            total = np.bincount(where, packed(rows, "hashes", np.uint64).astype(np.float64), len(found))
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total.astype(np.int64))], ["node", "n_shared"])
 
     own = docs.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
-    sent = own.mapInArrow(send, PACKED).repartition("part").sortWithinPartitions("part")
-    return sent.mapInArrow(meet, "node long, n long").groupBy("node").agg(F.sum("n").alias("n_shared"))
+    for step in (send, meet):
+        own = own.mapInArrow(step, PACKED).repartition("part").sortWithinPartitions("part")
+    return own.mapInArrow(add, "node long, n_shared long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -205,7 +217,7 @@ def link_copies(spark: SparkSession, docs: DataFrame, percent: int = 85) -> Data
     full = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
     members = materialize(members.join(full, "bucket"))
     links = Links(id_and_text(docs).filter("doc_id is not null"), nodes, percent)
-    edges = links.of(leaders(members.withColumn("component", F.col("node")), F.col("node")))
+    edges = links.of(leaders(members.withColumn("component", F.col("node")), F.col("node")), few=True)
     labels = components(edges)
     left = materialize(apart(members, labels))
     if not left.isEmpty():
@@ -214,7 +226,7 @@ def link_copies(spark: SparkSession, docs: DataFrame, percent: int = 85) -> Data
         shared = shared_shingles(links.docs, ids, groups).join(nodes.select("node", "n_shingles"), "node")
         able = materialize(shared.filter(F.col("n_shared") * 100 >= F.col("n_shingles") * percent))
         left = materialize(apart(left.select("node", "bucket").join(able, "node"), labels))
-        edges = materialize(edges.union(links.of(leaders(left, F.xxhash64("node"), percent))))
+        edges = materialize(edges.union(links.of(leaders(left, F.xxhash64("node"), percent), few=True)))
         labels = components(edges)
         left = materialize(apart(left.drop("component"), labels))
         left = left.join(nodes.select("node", "bands"), "node")
@@ -254,4 +266,4 @@ def leaders(members: DataFrame, order, percent: int | None = None) -> DataFrame:
             "node", "first", *[c + "a" for c in more], *[c + "b" for c in more]).filter(can_link("a", "b", percent))
     else:
         pairs = pairs.select("node", F.col("f.node").alias("first"))
-    return pairs.select(F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b"))
+    return pairs.select(F.col("node").alias("a"), F.col("first").alias("b"))
