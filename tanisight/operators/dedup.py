@@ -24,10 +24,11 @@ STREAM_KEYS = {
 }
 
 
-def top_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
-    """The first ``n`` rows per key in the given order, with their rank in ``_rank``."""
+def top_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int | None) -> DataFrame:
+    """The first ``n`` rows per key in the given order, or all, with their rank in ``_rank``."""
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= n)
+    ranked = df.withColumn("_rank", F.row_number().over(w))
+    return ranked if n is None else ranked.filter(F.col("_rank") <= n)
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

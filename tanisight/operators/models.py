@@ -172,7 +172,7 @@ def forecast_table(store: DataFrame, trees: int = 200, parallel: int = 4) -> Dat
 def ranked_importance(importance: DataFrame, k: int | None = None) -> DataFrame:
     """Features of each model by importance, all or the first ``k``."""
     rounded = importance.withColumn("importance", F.round("importance", 6))
-    ranked = top_rows(rounded, [KEY], [F.col("importance").desc(), F.col("feature")], k or 1000)
+    ranked = top_rows(rounded, [KEY], [F.col("importance").desc(), F.col("feature")], k)
     return ranked.withColumnRenamed("_rank", "rank")
 
 

@@ -19,17 +19,17 @@ def _line(spark, sf):
 
 
 def _bronze_merge(spark, sf):
-    """Remote copy: urgent orders. Local copy: high-priority orders, with one column more."""
+    """Remote copy: all orders. Local copy: those that are not open, with one column more."""
     orders = standins.table(spark, sf, "orders")
 
-    def copy(priority):
-        return orders.filter(F.col("o_orderpriority") == priority).select(
+    def copy(rows):
+        return rows.select(
             F.lit("USD/IDR").alias("pair"), F.col("o_totalprice").alias("kurs_tengah"),
             F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("fetched_at_utc"), "o_orderkey",
         )
 
-    local = copy("2-HIGH").withColumn("data_source", F.lit("local"))
-    return dedup.merge_copies([copy("1-URGENT"), local], "kurs", ["fetched_at_utc", "o_orderkey"])
+    local = copy(orders.filter(F.col("o_orderstatus") != "O")).withColumn("data_source", F.lit("local"))
+    return dedup.merge_copies([copy(orders), local], "kurs", ["fetched_at_utc", "o_orderkey"])
 
 
 def _keep_last(spark, sf):
@@ -179,10 +179,10 @@ SQL = {
     "bronze_merge": """
         SELECT 'USD/IDR' AS pair, o_totalprice AS kurs_tengah,
                strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS fetched_at_utc, o_orderkey,
-               CASE WHEN o_orderpriority = '2-HIGH' THEN 'local' END AS data_source
-        FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')
+               CASE WHEN c = 1 THEN 'local' END AS data_source
+        FROM (SELECT 0 AS c, * FROM orders UNION ALL SELECT 1, * FROM orders WHERE o_orderstatus <> 'O')
         QUALIFY row_number() OVER (PARTITION BY CAST(o_orderdate AS DATE)
-                                   ORDER BY o_orderpriority DESC, o_orderdate DESC, o_orderkey DESC) = 1""",
+                                   ORDER BY c DESC, o_orderdate DESC, o_orderkey DESC) = 1""",
     "dedup_keep_last": sql(f"""
         SELECT commodity, day, price FROM s_price
         QUALIFY row_number() OVER (PARTITION BY commodity, day ORDER BY {_tie_desc}) = 1""", "s_price"),

@@ -66,7 +66,7 @@ def _append_merge(spark, sf):
     status = F.col("o_orderstatus")
     tables.write_table(orders.filter(status == "F").select("o_orderkey", "o_totalprice"), path, "overwrite")
     tables.write_table(
-        orders.filter(status == "O").select("o_orderkey", "o_totalprice", "o_orderpriority"), path
+        orders.filter(status != "F").select("o_orderkey", "o_totalprice", "o_orderpriority"), path
     )
     tables.write_table(orders.filter(status == "none").select("o_orderkey"), path)
     return tables.read_table(spark, path)
@@ -228,7 +228,7 @@ _ROW = """event_id, user_id, value, CAST(json_extract(props, '$.k') AS INT) AS k
 
 view("landed", """
 SELECT 'prices' AS stream, commodity AS key, day AS date FROM s_price
-UNION ALL SELECT 'kurs', o_orderstatus, CAST(o_orderdate AS DATE) FROM orders WHERE o_orderpriority = '1-URGENT'
+UNION ALL SELECT 'kurs', o_orderstatus, CAST(o_orderdate AS DATE) FROM orders
 UNION ALL SELECT 'weather', sentra, date_parsed FROM s_wx""", "s_price", "s_wx")
 
 SQL = {
@@ -238,8 +238,8 @@ SQL = {
               FROM events WHERE event_id % 50 = 0) GROUP BY 1""",
     "write_partitioned": """SELECT CASE WHEN event_id % 97 <> 0 THEN strftime(ts, '%Y-%m-%d') ELSE '1970-01-01' END AS date,
         count(*) AS n, min(event_id) AS first_id FROM events GROUP BY 1""",
-    "append_schema_merge": """SELECT o_orderkey, o_totalprice, CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END
-        AS o_orderpriority FROM orders WHERE o_orderstatus IN ('F', 'O')""",
+    "append_schema_merge": """SELECT o_orderkey, o_totalprice, CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END
+        AS o_orderpriority FROM orders""",
     "version_as_of": "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus <> 'P'",
     "table_history": """
         SELECT CAST(0 AS BIGINT) AS version, '2026-01-01 00:00:00' AS timestamp, 'CREATE' AS operation, count(*) AS n_rows
@@ -247,7 +247,7 @@ SQL = {
         UNION ALL SELECT 1, '2026-01-02 00:00:00', 'WRITE', count(*) FROM orders WHERE o_orderstatus <> 'P'
         UNION ALL SELECT 2, '2026-01-03 00:00:00', 'OVERWRITE', count(*) FROM orders""",
     "bronze_metadata": """SELECT 'bronze' AS _source_layer, 'kurs' AS _stream_name, o_orderstatus AS source, count(*) AS n
-        FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 3""",
+        FROM orders GROUP BY 3""",
     "export_json_roundtrip": sql("SELECT * FROM daily", "daily"),
     "price_history": sql("""
         SELECT komoditas, CAST(row_number() OVER (PARTITION BY komoditas ORDER BY date_parsed) - 1 AS INT) AS pos,

@@ -81,8 +81,8 @@ def prices(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def kurs(spark: SparkSession, sf: str) -> DataFrame:
-    """Exchange-rate feed: urgent orders, source = order status."""
-    orders = table(spark, sf, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
+    """Exchange-rate feed: all orders, source = order status."""
+    orders = table(spark, sf, "orders")
     return orders.select(
         F.col("o_orderstatus").alias("source"),
         F.lit("USD/IDR").alias("pair"),

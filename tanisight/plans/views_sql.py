@@ -112,7 +112,7 @@ SELECT date_parsed, komoditas, avg_price, CAST(round(avg_price * 100) AS BIGINT)
 view("silver_kurs", """
 SELECT o_orderstatus AS source, CAST(o_orderdate AS DATE) AS date_parsed, o_totalprice AS kurs_tengah,
        'USD/IDR' AS pair
-FROM orders WHERE o_orderpriority = '1-URGENT'
+FROM orders
 QUALIFY row_number() OVER (PARTITION BY o_orderstatus, CAST(o_orderdate AS DATE) ORDER BY o_orderkey, o_custkey) = 1""")
 
 view("daily_fx", f"SELECT date_parsed, {eavg('kurs_tengah')} AS kurs_usd_idr FROM silver_kurs GROUP BY 1",
