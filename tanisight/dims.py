@@ -212,7 +212,14 @@ FEATURES_7D = [
     "price_pct_7d", "price_pct_30d",
     "precip_roll7", "temp_roll7", "news_score", "news_velocity",
 ]
-FEATURES_14D = FEATURES_7D[:13] + ["day_of_week", "month", "trend_idx"] + FEATURES_7D[13:]
+FEATURES_14D = [
+    "price_lag_1d", "price_lag_3d", "price_lag_7d", "price_lag_14d", "price_lag_30d",
+    "price_ma_7d", "price_ma_14d", "price_ma_30d",
+    "price_std_7d", "price_std_14d", "price_std_30d",
+    "price_pct_7d", "price_pct_30d",
+    "day_of_week", "month", "trend_idx",
+    "precip_roll7", "temp_roll7", "news_score", "news_velocity",
+]
 FEATURES_MAGNITUDE = [
     "price_lag_1d", "price_lag_3d", "price_lag_7d", "price_lag_14d",
     "price_ma_7d", "price_ma_14d", "price_ma_30d", "price_std_7d", "price_std_14d",

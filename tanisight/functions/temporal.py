@@ -8,14 +8,18 @@ from pyspark.sql import types as T
 
 
 def iso_date(x: Column | str) -> Column:
-    """Date of an ISO-8601 text, null when it is not one.
+    """Date of an ISO-8601 text as it is written, null when it is not one. An offset moves no day.
 
-    The form YYYY or YYYY-... is required: a cast alone would also take a bare time of day and
-    put today's date on it.
+    The form YYYY, YYYY-... or YYYYMMDD is required: a cast alone would also take a bare time of
+    day and put today's date on it.
     """
     text = F.trim(F.col(x) if isinstance(x, str) else x)
     starts_with_year = (F.substring(text, 5, 1) == "-") | (F.length(text) == 4)
-    return F.when(starts_with_year, F.to_date(text.try_cast("timestamp")))
+    written = F.regexp_extract(text, r"^(\d{4}(?:-\d{1,2}){0,2})", 1).try_cast("date")
+    basic = F.to_date(F.try_to_timestamp(F.substring(text, 1, 8), F.lit("yyyyMMdd")))
+    return F.when(starts_with_year & text.try_cast("timestamp").isNotNull(), written).when(
+        text.rlike(r"^\d{8}(T\d{2}.*)?$"), basic
+    )
 
 
 def day_of(df: DataFrame, column: str) -> Column:

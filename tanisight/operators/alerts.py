@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tanisight.dims import ACTIONS, AlertSettings
 from tanisight.functions.numeric import rnd
@@ -110,12 +111,12 @@ def suppressed_list(alerts: DataFrame) -> DataFrame:
 # --- cooldown -----------------------------------------------------------------------------
 # An alert is sent when the last *sent* one of its commodity is at least the cooldown old, so
 # each decision depends on the one before. To keep one busy commodity off a single task, its
-# time line is cut into blocks of BLOCK cooldowns. Inside a block the only unknown is the first
+# time line is cut into blocks of ``block`` cooldowns. Inside a block the only unknown is the first
 # alert sent, which lies in the block's first cooldown (or is the first one after it). Per block
 # we work out, for each such start, the last alert sent in the block; chaining these short
 # tables over the blocks gives every block its true start, and the blocks are then resolved in
 # parallel. Alerts of one commodity with equal times are merged first (map-side), so a group
-# holds distinct times of 8 days, not alerts. A group covers all commodities of a slot, which
+# holds distinct times of 8 days (with the defaults), not alerts. A group covers all commodities of a slot, which
 # the helpers handle in one pass.
 
 BLOCK = 16
@@ -125,13 +126,13 @@ SLOTS = 64
 class _Times:
     """Distinct times of one block, sorted by commodity and time."""
 
-    def __init__(self, pdf: pd.DataFrame, gap: int):
+    def __init__(self, pdf: pd.DataFrame, gap: int, block: int):
         codes, self.names = pd.factorize(pdf[KEY])
-        self.begin = int(pdf["block"].iloc[0]) * gap * BLOCK
+        self.begin = int(pdf["block"].iloc[0]) * gap * block
         rel = pdf["us"].to_numpy() - self.begin
         self.order = np.lexsort((rel, codes))
         self.code, self.rel = codes[self.order].astype(np.int64), rel[self.order]
-        self.bits = int(gap * (BLOCK + 2)).bit_length()
+        self.bits = int(gap * (block + 2)).bit_length()
         self.rank = (self.code << self.bits) + self.rel
         self.size = len(self.rank)
         after, found = self.first(self.code, self.rel + gap)
@@ -144,9 +145,9 @@ class _Times:
         return at, found
 
 
-def _block_ends(gap: int):
+def _block_ends(gap: int, block: int):
     def ends(pdf: pd.DataFrame) -> pd.DataFrame:
-        t = _Times(pdf, gap)
+        t = _Times(pdf, gap, block)
         hop = np.where(t.next >= 0, t.next, np.arange(t.size))
         while not np.array_equal(hop, hop[hop]):
             hop = hop[hop]
@@ -191,14 +192,14 @@ def _block_starts(gap: int):
     return starts
 
 
-def _block_sent(gap: int):
+def _block_sent(gap: int, block: int):
     def sent(pdf: pd.DataFrame, starts: pd.DataFrame) -> pd.DataFrame:
         if pdf.empty:
             return pdf[[KEY, "us", "first_id"]]
-        t = _Times(pdf, gap)
+        t = _Times(pdf, gap, block)
         earliest = dict(zip(starts[KEY], starts["earliest"]))
         begin = np.array([max(earliest[n] - t.begin, 0) for n in t.names], dtype=np.int64)
-        begin = np.minimum(begin, gap * (BLOCK + 1))
+        begin = np.minimum(begin, gap * (block + 1))
         at, found = t.first(np.arange(len(t.names), dtype=np.int64), begin)
         at, picked = at[found], []
         while len(at):
@@ -212,23 +213,31 @@ def _block_sent(gap: int):
 
 
 def cooldown(
-    alerts: DataFrame, hours: int = 12, tie: str = "event_id", seed: DataFrame | None = None, slots: int = SLOTS
+    alerts: DataFrame, hours: int = 12, tie: str = "event_id", seed: DataFrame | None = None, slots: int = SLOTS,
+    block: int = BLOCK,
 ) -> DataFrame:
     """Alerts (komoditas, ts, tie key, ...) with ``suppressed``. ``seed`` holds (komoditas, ts) of
-    the last alert sent before these. ``slots`` spreads the commodities over tasks."""
+    the last alert sent before these. ``slots`` spreads the commodities over tasks, ``block`` is the
+    length of a group in cooldowns.
+
+    Of alerts with equal commodity and time the one with the smallest tie key can be sent; of rows
+    equal in the tie key too, one. An alert without commodity or time belongs to no series and is
+    never held back.
+    """
     gap = hours * 3_600_000_000
     us = F.unix_micros("ts")
     tie_type = alerts.schema[tie].dataType.simpleString()
+    in_series = F.col(KEY).isNotNull() & F.col("ts").isNotNull()
     times = (
-        alerts.groupBy(KEY, us.alias("us"))
+        alerts.filter(in_series).groupBy(KEY, us.alias("us"))
         .agg(F.min(tie).alias("first_id"))
         .withColumns(
-            {"slot": F.pmod(F.hash(KEY), F.lit(slots)), "block": F.floor(F.col("us") / (gap * BLOCK))}
+            {"slot": F.pmod(F.hash(KEY), F.lit(slots)), "block": F.floor(F.col("us") / (gap * block))}
         )
     )
     # Both uses group the same table the same way, so Spark shuffles it once and reuses it.
     groups = times.groupBy("slot", "block")
-    ends = groups.applyInPandas(_block_ends(gap), f"slot int, {KEY} string, block long, upto long, last long")
+    ends = groups.applyInPandas(_block_ends(gap, block), f"slot int, {KEY} string, block long, upto long, last long")
     if seed is None:
         ends = ends.withColumn("seed", F.lit(None).cast("long"))
     else:
@@ -238,14 +247,18 @@ def cooldown(
     )
     sent = (
         groups.cogroup(starts.groupBy("slot", "block"))
-        .applyInPandas(_block_sent(gap), f"{KEY} string, us long, first_id {tie_type}")
-        .select(KEY, F.col("us").alias("_us"), F.col("first_id").alias(tie), F.lit(True).alias("_sent"))
+        .applyInPandas(_block_sent(gap, block), f"{KEY} string, us long, first_id {tie_type}")
+        .select(F.col(KEY).alias("_key"), F.col("us").alias("_at"), F.col("first_id").alias("_id"))
     )
+    rows = alerts.withColumn("_us", us)
+    match = (F.col(KEY) == F.col("_key")) & (F.col("_us") == F.col("_at")) & F.col(tie).eqNullSafe(F.col("_id"))
+    plain = [f.name for f in alerts.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    again = F.row_number().over(Window.partitionBy(KEY, "_us", tie).orderBy(F.xxhash64(*plain)))
     return (
-        alerts.withColumn("_us", us)
-        .join(sent, [KEY, "_us", tie], "left")
-        .withColumn("suppressed", F.col("_sent").isNull())
-        .drop("_us", "_sent")
+        rows.join(sent, match, "left")
+        .withColumn("_again", again)
+        .withColumn("suppressed", in_series & (F.col("_key").isNull() | (F.col("_again") > 1)))
+        .drop("_us", "_key", "_at", "_id", "_again")
     )
 
 

@@ -30,9 +30,10 @@ def resolve(df: DataFrame, spec: Mapping[str, Sequence[str]], keep: Sequence[str
 
 
 def record_date(df: DataFrame) -> Column:
-    """Date of a raw record from its first timestamp column; 1970-01-01 when it has none."""
-    name = first_present(df, TIMESTAMPS)
-    return day_of(df, name) if name else F.to_date(F.lit("1970-01-01"))
+    """Date of a raw record from its first timestamp that holds one; 1970-01-01 when the table has
+    no timestamp column."""
+    days = [day_of(df, name) for name in TIMESTAMPS if name in df.columns]
+    return F.coalesce(*days) if days else F.to_date(F.lit("1970-01-01"))
 
 
 def canonical_filter(df: DataFrame, commodities: Sequence[str], column: str = "komoditas") -> DataFrame:

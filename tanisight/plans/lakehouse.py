@@ -144,7 +144,8 @@ def run_alerts(
     spark: SparkSession, lake: str, as_of: str, settings: dims.AlertSettings = dims.AlertSettings()
 ) -> DataFrame:
     """Alerts of this run; those within the cooldown of the last one sent are marked suppressed.
-    Sent alerts are appended to the alert log, which is the state of the next run."""
+    Sent alerts go to the alert log, one folder per run. It is the state of later runs: a run reads
+    the alerts sent before it only, so it can be repeated."""
     signals, _ = run_news(spark, lake, as_of[:10])
     risk_index = spark.read.parquet(f"{lake}/export/risk_index")
     forecast = tables.read_table(
@@ -157,12 +158,13 @@ def run_alerts(
     records = alerts.alert_records(due, now).withColumn("ts", now)
     log = f"{lake}/export/alerts"
     sent = tables.read_table(spark, log, schemas.schema(spark, "komoditas string, ts timestamp"))
-    seed = sent.groupBy("komoditas").agg(F.max("ts").alias("ts"))
+    seed = sent.filter(F.col("ts") < now).groupBy("komoditas").agg(F.max("ts").alias("ts"))
     checked = alerts.cooldown(records, settings.cooldown_hours, "id", seed)
-    path = f"{lake}/export/alert_runs/run={as_of.replace(' ', 'T').replace(':', '')}"
+    run = f"run={as_of.replace(' ', 'T').replace(':', '')}"
+    path = f"{lake}/export/alert_runs/{run}"
     checked.write.mode("overwrite").parquet(path)
     result = spark.read.parquet(path)
-    tables.write_table(result.filter(~F.col("suppressed")), log)
+    result.filter(~F.col("suppressed")).write.mode("overwrite").parquet(f"{log}/{run}")
     return result
 
 

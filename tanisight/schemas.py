@@ -12,19 +12,15 @@ PRICE = (
     "provinsi string, price_idr_per_kg double, price double, currency string, unit string, "
     f"country string, {_STAMPS}"
 )
+# The live weather service returns a forecast: one array element per day, today first. Records with
+# a single value per field are read as arrays of one.
 WEATHER = (
     "source string, sentra string, lat double, lon double, komoditas array<string>, "
     "current struct<temperature_2m: double, relative_humidity_2m: int, precipitation: double, "
     "rain: double, wind_speed_10m: double, weather_code: int>, "
-    "daily struct<temperature_2m_max: double, temperature_2m_min: double, precipitation_sum: double, "
-    f"rain_sum: double, wind_speed_10m_max: double>, {_STAMPS}"
-)
-# The live weather service returns a forecast: one array element per day, today first.
-WEATHER_FORECAST = WEATHER.replace("daily struct<", "daily struct<time: array<string>, ").replace(
-    "temperature_2m_max: double, temperature_2m_min: double, precipitation_sum: double, rain_sum: double, "
-    "wind_speed_10m_max: double",
-    "temperature_2m_max: array<double>, temperature_2m_min: array<double>, precipitation_sum: array<double>, "
-    "rain_sum: array<double>, wind_speed_10m_max: array<double>",
+    "daily struct<time: array<string>, temperature_2m_max: array<double>, temperature_2m_min: array<double>, "
+    "precipitation_sum: array<double>, rain_sum: array<double>, wind_speed_10m_max: array<double>>, "
+    f"{_STAMPS}"
 )
 NEWS = (
     "source string, article_id string, url string, title string, summary string, published string, "

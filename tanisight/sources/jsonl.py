@@ -2,30 +2,61 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import ArrayType, DataType, FractionalType, IntegralType, StringType, StructType
 
+from tanisight.functions.numeric import safe_double
 from tanisight.functions.temporal import date_prefix
 from tanisight.functions.text import pin
 
 
+def _texts(schema: StructType) -> StructType:
+    """The same fields, all as text: a JSON value of any form fits."""
+    out = StructType()
+    for field in schema.fields:
+        out = out.add(field.name, StringType())
+    return out
+
+
+def _typed(text: Column, kind: DataType) -> Column:
+    """JSON text as a value of the type, null where it is none. A single value fits an array."""
+    if isinstance(kind, IntegralType):
+        return F.coalesce(text.try_cast(kind), safe_double(text).try_cast(kind))
+    if isinstance(kind, FractionalType):
+        return safe_double(text).cast(kind)
+    if isinstance(kind, ArrayType):
+        parts = F.coalesce(F.from_json(text, ArrayType(StringType())), F.when(text.isNotNull(), F.array(text)))
+        return F.transform(parts, lambda part: _typed(part, kind.elementType))
+    if isinstance(kind, StructType):
+        # The lambda names the parsed struct, so it is parsed once for all its fields
+        parsed = F.array(F.from_json(text, _texts(kind)))
+        return F.get(F.transform(parsed, lambda s: F.when(text.isNotNull(), _struct(s, kind))), F.lit(0))
+    return text if isinstance(kind, StringType) else text.try_cast(kind)
+
+
+def _struct(parsed: Column, kind: StructType) -> Column:
+    return F.struct(*[_typed(parsed[f.name], f.dataType).alias(f.name) for f in kind.fields])
+
+
 def decode(lines: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
-    """Parse JSON text into ``record`` (typed struct); ``_corrupt`` keeps text that does not parse.
+    """Parse JSON text into ``record`` (typed struct); ``_corrupt`` keeps text that is no JSON object.
 
-    Works on batch and streaming tables. Each line is parsed once.
+    A field that does not fit its type becomes null and the rest of the record stays; a number given
+    as text is a number. Works on batch and streaming tables. Each line is parsed once.
     """
-    full = StructType(schema.fields).add("_corrupt", StringType())
+    full = _texts(schema).add("_corrupt", StringType())
     parsed = F.from_json(
         F.col(value).cast("string"), full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
     )
-    rows = pin(lines, "record", parsed)
-    return rows.withColumn("_corrupt", F.when(F.col("record").isNull(), F.col(value)).otherwise(F.col("record._corrupt")))
+    rows = pin(lines, "_parsed", parsed)
+    corrupt = F.when(F.col("_parsed").isNull(), F.col(value)).otherwise(F.col("_parsed._corrupt"))
+    return rows.withColumn("_corrupt", corrupt).withColumn("record", _struct(F.col("_parsed"), schema)).drop("_parsed")
 
 
 def good(decoded: DataFrame, *keep: str) -> DataFrame:
     """Fields of the rows that parsed."""
-    fields = [f for f in decoded.schema["record"].dataType.names if f != "_corrupt"]
+    fields = decoded.schema["record"].dataType.names
     return decoded.filter(F.col("_corrupt").isNull()).select(*keep, *[F.col(f"record.{f}") for f in fields])
 
 

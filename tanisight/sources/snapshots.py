@@ -1,7 +1,8 @@
 """Versioned tables: every save is kept, with a history and reads as of a version.
 
 A version's rows live below ``data/_version=N``; its history row is written last and makes it
-visible, so a save that dies half-way is never read. A partition filter reads one version only.
+visible, so a save that dies half-way is never read. A read opens the files of one version only, so
+versions may differ in their column types.
 """
 
 from __future__ import annotations
@@ -44,7 +45,8 @@ def read_version(spark: SparkSession, path: str, version: int | None = None) ->
     known = history(spark, path)
     if version is None:
         version = known.agg(F.max("version")).first()[0]
+        if version is None:
+            raise ValueError(f"no version of {path}")
     elif known.filter(F.col("version") == version).isEmpty():
         raise ValueError(f"no version {version} of {path}")
-    table = spark.read.option("mergeSchema", True).parquet(f"{path}/data")
-    return table.filter(F.col("_version") == version).drop("_version")
+    return spark.read.parquet(f"{path}/data/_version={version}")

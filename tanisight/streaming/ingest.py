@@ -8,13 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tanisight.operators.alerts import KEY, cooldown
+from tanisight.operators.alerts import BLOCK, KEY, SLOTS, cooldown
 from tanisight.sources import jsonl
 
 DRAIN = {"availableNow": True}
@@ -107,7 +106,8 @@ def read_upserts(spark: SparkSession, folder: str, keys: Sequence[str], value: s
 
 
 def cooldown_to(
-    alerts: DataFrame, folder: str, hours: int = 12, tie: str = "event_id", trigger: dict = EVERY_10S
+    alerts: DataFrame, folder: str, hours: int = 12, tie: str = "event_id", trigger: dict = EVERY_10S,
+    slots: int = SLOTS, block: int = BLOCK,
 ) -> StreamingQuery:
     """Alerts with ``suppressed``; the last alert sent per commodity is carried between batches.
 
@@ -118,15 +118,11 @@ def cooldown_to(
 
     def write(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        seed = None
-        if epoch > 0:
-            try:
-                seed = spark.read.parquet(f"{folder}/state/_batch={epoch - 1}")
-            except AnalysisException:
-                seed = None
-        cooldown(batch, hours, tie, seed).write.mode("overwrite").parquet(f"{folder}/data/_batch={epoch}")
+        # Every batch writes its state, so after the first a missing one is an error
+        seed = spark.read.parquet(f"{folder}/state/_batch={epoch - 1}") if epoch > 0 else None
+        cooldown(batch, hours, tie, seed, slots, block).write.mode("overwrite").parquet(f"{folder}/data/_batch={epoch}")
         done = spark.read.parquet(f"{folder}/data/_batch={epoch}")
-        last = done.filter(~F.col("suppressed")).select(KEY, "ts")
+        last = done.filter(~F.col("suppressed") & F.col(KEY).isNotNull() & F.col("ts").isNotNull()).select(KEY, "ts")
         if seed is not None:
             last = last.unionByName(seed)
         last.groupBy(KEY).agg(F.max("ts").alias("ts")).write.mode("overwrite").parquet(

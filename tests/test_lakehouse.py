@@ -53,6 +53,16 @@ def lake(spark, tmp_path_factory):
         for i, d in enumerate(DAYS[-5:])])]
     landing["batch_produksi"] = [write(root, "batch_produksi", [
         {"source": "bps", "komoditas": "beras", "tahun": 2026, "bulan": 5, "produksi_ton": 5.0, "luas_panen_ha": 2.0, **ts(DAYS[5])}])]
+    odd = {"source": "odd", "komoditas": "gula_pasir", "ingestion_ts": f"{DAYS[0]}T01:00:00+07:00"}
+    folder = root / "odd"
+    folder.mkdir()
+    (folder / "batch_2.jsonl").write_text("\n".join(json.dumps(r) for r in (
+        odd | {"price_idr_per_kg": "13500"}, odd | {"source": "none", "price_idr_per_kg": "n/a", "unit": ["kg"]})))
+    landing["price_pihps"].append(str(folder))
+    live = {"source": "live", "sentra": "live", "lat": "-6.3", "komoditas": "beras", **ts(END),
+            "current": {"time": "x", "precipitation": 1, "relative_humidity_2m": 81.0, "weather_code": "3"},
+            "daily": {"time": ["2026-06-23", "2026-06-24"], "precipitation_sum": [12.0, 40.0], "temperature_2m_max": [31, 33]}}
+    landing["weather"].append(write(root, "live", [live, live | {"sentra": "mute", "current": "n/a", "daily": None}]))
     lakehouse.run_bronze(spark, landing, out)
     lakehouse.run_silver(spark, out)
     lakehouse.run_gold(spark, out, f"{END} 07:00:00")
@@ -64,20 +74,32 @@ def test_bronze_and_silver(spark, lake):
     assert rows(bronze.select("_source_layer", "_stream_name").distinct()) == [("bronze", "price_pihps")]
     assert spark.read.parquet(f"{lake}/quarantine/price_pihps").count() == len(DAYS)
     silver = spark.read.parquet(f"{lake}/silver/silver_prices")
-    assert silver.count() == 3 * 2 * len(DAYS)
+    assert silver.filter("komoditas <> 'gula_pasir'").count() == 3 * 2 * len(DAYS)
     assert "jagung" not in {r[0] for r in silver.select("komoditas").distinct().collect()}
 
 
+def test_odd_fields_stay(spark, lake):
+    silver = spark.read.parquet(f"{lake}/silver/silver_prices").filter("komoditas = 'gula_pasir'")
+    assert rows(silver, "source", "price_idr_per_kg", "date_parsed") in (
+        [("odd", 13500.0, DAYS[0])], [("none", None, DAYS[0])])  # copies are merged by commodity and day
+    weather = {r["sentra"]: r for r in spark.read.parquet(f"{lake}/silver/silver_weather").filter(f"date_parsed = '{END}'").collect()}
+    live = weather["live"]
+    assert (live["lat"], live["komoditas"], live["current"]["relative_humidity_2m"], live["current"]["weather_code"]) == (-6.3, ["beras"], 81, 3)
+    assert (live["daily"]["precipitation_sum"], live["daily"]["temperature_2m_max"]) == ([12.0, 40.0], [31.0, 33.0])
+    assert weather["mute"]["current"]["precipitation"] is None and weather["mute"]["daily"] is None
+    assert weather["brebes"]["daily"]["precipitation_sum"] == [12.0]
+
+
 def test_gold(spark, lake):
-    store = snapshots.read_version(spark, f"{lake}/gold/feature_store")
+    store = snapshots.read_version(spark, f"{lake}/gold/feature_store").filter("komoditas <> 'gula_pasir'")
     assert store.count() == 2 * len(DAYS)
     assert rows(store.select("n_sources").distinct()) == [(3,)]
     assert store.filter(F.col("kurs_usd_idr").isNull()).count() == 0
     assert store.filter(F.col("produksi_ton") == 5.0).count() == 2 * (len(DAYS) - 5)
     last = store.filter((F.col("date_parsed") == str(END)) & (F.col("komoditas") == "beras")).first()
     assert (last["precipitation_sum"], last["temperature_max"], last["news_score"]) == (12.0, 31.0, 9.0)
-    assert rows(snapshots.history(spark, f"{lake}/gold/feature_store"), "version", "n_rows") == [(0, 120)]
-    assert spark.read.json(f"{lake}/export/price_history").count() == 2
+    assert rows(snapshots.history(spark, f"{lake}/gold/feature_store"), "version", "n_rows") == [(0, 121)]
+    assert spark.read.json(f"{lake}/export/price_history").count() in (2, 3)
 
 
 def test_risk_alerts_and_recommendations(spark, lake):
@@ -89,6 +111,8 @@ def test_risk_alerts_and_recommendations(spark, lake):
     low = AlertSettings(risk_warning=30.0, risk_high=40.0)
     first = lakehouse.run_alerts(spark, lake, f"{END} 07:00:00", low)
     assert "beras" in {r["komoditas"] for r in first.filter("not suppressed").collect()}
+    sent = rows(first, "id", "suppressed")
+    assert rows(lakehouse.run_alerts(spark, lake, f"{END} 07:00:00", low), "id", "suppressed") == sent
     again = lakehouse.run_alerts(spark, lake, f"{END} 12:00:00", low)
     assert again.count() > 0 and again.filter("not suppressed").count() == 0
     later = lakehouse.run_alerts(spark, lake, f"{END} 19:00:00", low)

@@ -52,10 +52,11 @@ def test_frames_match_pandas_and_flat_series_have_no_spread(spark):
 
 
 def test_iso_date(spark):
-    values = ["2026-06-20", "2026-06-20T10:00:00+00:00", "2026-06-20T10:00:00.123Z", "12:30:15", "T07:00", "x", "", None]
+    values = ["2026-06-20", "2026-06-20T10:00:00+00:00", "2026-06-20T10:00:00.123Z", "2026-06-20T03:00:00+07:00", "20260620",
+              "20260620T101500Z", "12:30:15", "T07:00", "20261320", "x", "", None]
     df = spark.createDataFrame([(v,) for v in values], "v string")
     got = [str(r[0]) for r in df.select(temporal.iso_date("v")).collect()]
-    assert got == ["2026-06-20"] * 3 + ["None"] * 5
+    assert got == ["2026-06-20"] * 6 + ["None"] * 6
 
 
 def test_white_space_set_matches_python(spark):

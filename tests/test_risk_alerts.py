@@ -227,3 +227,13 @@ def test_recommendations(spark):
     assert "[WASPADA] Beras: Pantau" in got["umkm"]
     calm = dict(rows(reports.recommendations(risk.high_risk(levels.limit(0)), labels)))
     assert calm == reports.CALM
+
+
+def test_cooldown_without_key_or_time_and_with_repeated_rows(spark):
+    t = dt.datetime(2026, 1, 1, 6)
+    df = spark.createDataFrame(
+        [("a", t, 1), ("a", t, 1), ("a", t, 2), (None, t, 3), ("a", None, 4), ("b", t, None), ("b", t, None)],
+        "komoditas string, ts timestamp, event_id long")
+    got = [(r[0], r[1], r[2]) for r in alerts.cooldown(df, block=2, slots=3).select("komoditas", "event_id", "suppressed").collect()]
+    assert sorted(got, key=str) == sorted([
+        ("a", 1, False), ("a", 1, True), ("a", 2, True), (None, 3, False), ("a", 4, False), ("b", None, False), ("b", None, True)], key=str)
