@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tanisight import dims, schemas
-from tanisight.operators import alerts, clean, dedup, gold, models, news, reports, risk
+from tanisight.operators import alerts, clean, dedup, evaluate, gold, models, news, reports, risk
 from tanisight.sources import jsonl, snapshots, tables
 
 PRICE_FEEDS = ["price_bapanas", "price_pihps", "price_siskaperbapo"]
@@ -24,6 +24,11 @@ TIES = {
     "price": ["fetched_at_utc", "ingestion_ts", "price_idr_per_kg", "price"],
 }
 
+FORECAST = (
+    "komoditas string, current_price double, forecast_7d double, predicted_change_pct double, "
+    "model_mape double, rmse_avg double"
+)
+
 
 def _table(spark: SparkSession, lake: str, layer: str, name: str, ddl: str) -> DataFrame:
     return tables.read_table(spark, f"{lake}/{layer}/{name}", schemas.schema(spark, ddl))
@@ -140,6 +145,45 @@ def run_forecast(spark: SparkSession, lake: str, trees: int = 200) -> DataFrame:
     return spark.read.parquet(f"{lake}/export/price_forecast")
 
 
+def run_magnitude(spark: SparkSession, lake: str, trees: int = 150) -> DataFrame:
+    """Quantiles of the price move per commodity."""
+    store = snapshots.read_version(spark, f"{lake}/gold/feature_store")
+    models.magnitude(store, trees).write.mode("overwrite").parquet(f"{lake}/export/magnitude")
+    return spark.read.parquet(f"{lake}/export/magnitude")
+
+
+def run_timing(spark: SparkSession, lake: str, trees: int = 200) -> DataFrame:
+    """Window of the next spike per commodity."""
+    store = snapshots.read_version(spark, f"{lake}/gold/feature_store")
+    models.timing(store, trees).write.mode("overwrite").parquet(f"{lake}/export/timing")
+    return spark.read.parquet(f"{lake}/export/timing")
+
+
+def _forecasts(spark: SparkSession, lake: str) -> DataFrame:
+    return tables.read_table(spark, f"{lake}/export/price_forecast", schemas.schema(spark, FORECAST))
+
+
+def run_evaluation(spark: SparkSession, lake: str) -> DataFrame:
+    """Error of the forecast next to the baseline's; without a forecast, the baseline alone."""
+    store = snapshots.read_version(spark, f"{lake}/gold/feature_store")
+    errors = _forecasts(spark, lake).select("komoditas", F.col("model_mape").alias("mape_avg"), "rmse_avg")
+    report = evaluate.model_vs_baseline(errors, evaluate.naive_backtest(store))
+    report.write.mode("overwrite").parquet(f"{lake}/export/evaluation")
+    return spark.read.parquet(f"{lake}/export/evaluation")
+
+
+def run_report(spark: SparkSession, lake: str, as_of: str) -> DataFrame:
+    """The situation report as one text, from the risk index, the forecast and news velocity."""
+    order = spark.createDataFrame([(k, i) for i, k in enumerate(dims.LABELS)], "komoditas string, position int")
+    _, velocity = run_news(spark, lake, as_of)
+    lines = reports.report_lines(
+        spark.read.parquet(f"{lake}/export/risk_index"), _forecasts(spark, lake), velocity,
+        dims.commodity_table(spark).join(order, "komoditas"), as_of,
+    )
+    reports.report_text(lines).write.mode("overwrite").parquet(f"{lake}/export/report")
+    return spark.read.parquet(f"{lake}/export/report")
+
+
 def run_alerts(
     spark: SparkSession, lake: str, as_of: str, settings: dims.AlertSettings = dims.AlertSettings()
 ) -> DataFrame:
@@ -148,10 +192,7 @@ def run_alerts(
     the alerts sent before it only, so it can be repeated."""
     signals, _ = run_news(spark, lake, as_of[:10])
     risk_index = spark.read.parquet(f"{lake}/export/risk_index")
-    forecast = tables.read_table(
-        spark, f"{lake}/export/price_forecast",
-        schemas.schema(spark, "komoditas string, current_price double, forecast_7d double, predicted_change_pct double"),
-    )
+    forecast = _forecasts(spark, lake)
     phrases = news.phrase_lists(news.top_phrases(signals, as_of[:10]))
     due = alerts.due_alerts(dims.commodity_table(spark), risk_index, forecast, phrases, settings)
     now = F.lit(as_of).cast("timestamp")

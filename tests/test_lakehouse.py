@@ -118,3 +118,16 @@ def test_risk_alerts_and_recommendations(spark, lake):
     later = lakehouse.run_alerts(spark, lake, f"{END} 19:00:00", low)
     assert later.filter("suppressed").count() == 0
     assert {r["audience"] for r in lakehouse.run_recommendations(spark, lake).collect()} == {"government", "umkm"}
+
+
+def test_evaluation_and_report(spark, lake):
+    lakehouse.run_risk(spark, lake, str(END))
+    alone = {r["komoditas"]: r for r in lakehouse.run_evaluation(spark, lake).collect()}
+    assert {"beras", "cabai_keriting"} == set(alone)
+    assert alone["beras"]["mape_avg"] is None and not alone["beras"]["model_wins"]
+    spark.createDataFrame([("beras", 19000.0, 20000.0, 5.3, 0.01, 3.0)], lakehouse.FORECAST).write.parquet(f"{lake}/export/price_forecast")
+    both = {r["komoditas"]: r for r in lakehouse.run_evaluation(spark, lake).collect()}
+    assert both["beras"]["model_wins"] and not both["cabai_keriting"]["model_wins"]
+    lines = lakehouse.run_report(spark, lake, str(END)).first()["report"].split("\n")
+    assert sum("/100 [" in line for line in lines) == 10
+    assert [line for line in lines if "20.000" in line or "20,000" in line]
