@@ -16,6 +16,7 @@ from tanisight.llm.queries import BYTE_BPE, held, table
 from tanisight.session import materialize, scratch_path, ship_package
 
 TOXIC = 0.7
+NEAR = 80  # percent of shared shingles from which the later of two texts goes
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +51,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep(docs, neardup.link_copies(spark, docs).select("doc_id", "kept"))
+    return keep(docs, neardup.link_copies(spark, docs, NEAR).select("doc_id", "kept"))
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,14 +26,23 @@ from tanisight.session import materialize, scratch_path, ship_package
 
 SHINGLE = 5
 PERMUTATIONS = 50
-ROWS = 5  # values per band
-BANDS = 2 * PERMUTATIONS // ROWS
-#: Of 100 values two sets of similarity 0.85 share 85; fewer than this is 5.6 standard deviations off.
-LEAST_SHARED = 65
+MISSED = 1e-5  # of the pairs at the threshold, the share that may agree in no band
 PACKED = "part long, kind long, hashes binary, docs binary"
 SETS = "doc_id long, n_shingles long, s1 long, s2 long, bands array<long>, signature binary"
 
 
+def rows_per_band(percent: int) -> int:
+    """The most values a band can have so that all bands miss a pair at the threshold with a probability under MISSED."""
+    size, p = 2 * PERMUTATIONS, percent / 100
+    return max((r for r in range(1, size + 1) if size % r == 0 and (1 - p**r) ** (size // r) < MISSED), default=1)
+
+
+def least_shared(percent: int) -> int:
+    """Equal values of two signatures, below which a pair at the threshold would be 5.6 standard deviations off."""
+    size, p = 2 * PERMUTATIONS, percent / 100
+    return max(0, int(size * p - 5.6 * (size * p * (1 - p)) ** 0.5))
+
+
 def multipliers() -> tuple[np.ndarray, np.ndarray]:
     random = np.random.default_rng(20240229)
     return random.integers(0, 1 << 63, PERMUTATIONS).astype(np.uint64) * np.uint64(2) + np.uint64(1), random.integers(0, 1 << 63, PERMUTATIONS).astype(np.uint64)
@@ -69,30 +78,34 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out.T
 
 
-def describe(batches):
-    """Size, identity, bands and signature of each document's set; copies in a slice carry no bands."""
-    numbers = np.arange(BANDS, dtype=np.uint64)
-    for batch in slices(batches, 500):
-        docs = batch.column("doc_id").to_pylist()
-        sets = shingle_sets(as_bytes(batch))
-        identity = [(int(signed(mix(s).sum(keepdims=True))[0]), int(signed(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(keepdims=True))[0])) if len(s) else (0, 0) for s in sets]
-        first: dict = {}
-        for i, doc in enumerate(docs):
-            if len(sets[i]) and doc is not None and (identity[i] not in first or doc < docs[first[identity[i]]]):
-                first[identity[i]] = i
-        bands: list = [None] * len(docs)
-        marks: list = [None] * len(docs)
-        if chosen := sorted(first.values()):
-            signs = signatures([sets[i] for i in chosen])
-            keys = numbers[None, :].repeat(len(chosen), 0)
-            for r in range(ROWS):
-                keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) ^ signs[:, r::ROWS])
-            for i, key, sign in zip(chosen, keys, signs, strict=True):
-                bands[i], marks[i] = signed(key), (mix(sign) >> np.uint64(48)).astype(np.uint16).tobytes()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(docs, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([x for x, _ in identity], pa.int64()),
-             pa.array([x for _, x in identity], pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(marks, pa.binary())],
-            ["doc_id", "n_shingles", "s1", "s2", "bands", "signature"])
+def describe(rows: int):
+    """Size, identity, bands and signature of each document's set; copies in a slice carry no bands. rows: values per band."""
+
+    def run(batches):
+        numbers = np.arange(2 * PERMUTATIONS // rows, dtype=np.uint64)
+        for batch in slices(batches, 500):
+            docs = batch.column("doc_id").to_pylist()
+            sets = shingle_sets(as_bytes(batch))
+            identity = [(int(signed(mix(s).sum(keepdims=True))[0]), int(signed(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(keepdims=True))[0])) if len(s) else (0, 0) for s in sets]
+            first: dict = {}
+            for i, doc in enumerate(docs):
+                if len(sets[i]) and doc is not None and (identity[i] not in first or doc < docs[first[identity[i]]]):
+                    first[identity[i]] = i
+            bands: list = [None] * len(docs)
+            marks: list = [None] * len(docs)
+            if chosen := sorted(first.values()):
+                signs = signatures([sets[i] for i in chosen])
+                keys = numbers[None, :].repeat(len(chosen), 0)
+                for r in range(rows):
+                    keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) ^ signs[:, r::rows])
+                for i, key, sign in zip(chosen, keys, signs, strict=True):
+                    bands[i], marks[i] = signed(key), (mix(sign) >> np.uint64(48)).astype(np.uint16).tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(docs, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([x for x, _ in identity], pa.int64()),
+                 pa.array([x for _, x in identity], pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(marks, pa.binary())],
+                ["doc_id", "n_shingles", "s1", "s2", "bands", "signature"])
+
+    return run
 
 
 def whole_sets(batches):
@@ -101,13 +114,17 @@ def whole_sets(batches):
         yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "shingles"])
 
 
-def alike(batches):
+def alike(least: int):
     """Pairs whose signatures share enough values to be looked at."""
-    for batch in batches:
-        a = [np.frombuffer(x, np.uint16) for x in batch.column("sign_a").to_pylist()]
-        b = [np.frombuffer(x, np.uint16) for x in batch.column("sign_b").to_pylist()]
-        same = np.array([int((x == y).sum()) for x, y in zip(a, b, strict=True)], np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(same)], ["a", "b", "n"]).filter(pa.array(same >= LEAST_SHARED))
+
+    def run(batches):
+        for batch in batches:
+            a = [np.frombuffer(x, np.uint16) for x in batch.column("sign_a").to_pylist()]
+            b = [np.frombuffer(x, np.uint16) for x in batch.column("sign_b").to_pylist()]
+            same = np.array([int((x == y).sum()) for x, y in zip(a, b, strict=True)], np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(same)], ["a", "b", "n"]).filter(pa.array(same >= least))
+
+    return run
 
 
 def confirm(percent: int):
@@ -135,7 +152,7 @@ class Links:
         a, b = (sizes.select(F.col("node").alias(x), F.col("n_shingles").alias("n_" + x), F.col("signature").alias("sign_" + x)) for x in "ab")
         fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.percent
         near = pairs.distinct().join(a, "a").join(b, "b").filter(fits)
-        near = near.select("a", "b", "sign_a", "sign_b").mapInArrow(alike, "a long, b long, n long")
+        near = near.select("a", "b", "sign_a", "sign_b").mapInArrow(alike(least_shared(self.percent)), "a long, b long, n long")
         if few:
             best = near.groupBy("a").agg(F.array_distinct(F.array(F.min("b"), F.max_by("b", F.struct("n", "b")))).alias("b"))
             near = best.select("a", F.explode("b").alias("b"))
@@ -206,7 +223,7 @@ def link_copies(spark: SparkSession, docs: DataFrame, percent: int = 85) -> Data
     """
     ship_package(spark)
     folder = scratch_path(spark, "sets")
-    id_and_text(docs).mapInArrow(describe, SETS).write.parquet(folder)
+    id_and_text(docs).mapInArrow(describe(rows_per_band(percent)), SETS).write.parquet(folder)
     sets = spark.read.schema(SETS).parquet(folder)
     linked = sets.filter("n_shingles > 0 and doc_id is not null")
     classes = linked.groupBy("s1", "s2").agg(F.min("doc_id").alias("node"))

@@ -244,3 +244,28 @@ def test_pipeline_stages_keep_columns_and_take_effect(spark):
         docs = docs.checkpoint()
     texts = [r.text.lower() for r in docs.collect()]
     assert len(texts) == len(set(texts)) and docs.count() > 0
+
+
+def test_near_copies_stage_takes_pairs_from_80_percent(spark):
+    import corpus_pipeline
+
+    texts = []
+    for k in range(30):
+        words = [f"d{k}w{i}" for i in range(204)]  # 200 shingles
+        swapped = 1 + k % 5  # each takes 5 of them: 0.951, 0.905, 0.860, 0.818, 0.778
+        texts += [" ".join(words), " ".join(f"d{k}x{i}" if i % 40 == 20 and i < 40 * swapped else w for i, w in enumerate(words))]
+    sets = [{tuple(w[j : j + 5]) for j in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    same = [len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in range(0, 60, 2)]
+    assert sum(0.8 <= s < 0.85 for s in same) == sum(s < 0.8 for s in same) == 6
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for percent in (80, 85):
+        wanted = [True if i % 2 == 0 else same[i // 2] < percent / 100 for i in range(60)]
+        assert {r.doc_id: r.kept for r in neardup.link_copies(spark, docs, percent).collect()} == dict(enumerate(wanted))
+    stage = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()}
+    assert stage == {i for i in range(60) if i % 2 == 0 or same[i // 2] < 0.8}
+
+
+def test_bands_and_signatures_follow_the_threshold():
+    assert (neardup.rows_per_band(85), neardup.least_shared(85)) == (5, 65)
+    assert (neardup.rows_per_band(80), neardup.least_shared(80)) == (4, 57)
+    assert all((1 - (p / 100) ** (r := neardup.rows_per_band(p))) ** (100 // r) < 1e-5 for p in range(40, 100))
