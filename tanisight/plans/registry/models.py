@@ -1,6 +1,6 @@
 """Fitted models. No SQL can refit them; tests check their properties instead.
 
-Few trees keep a run short; the operators default to the full number.
+All fit the operators' own numbers of trees.
 """
 
 from __future__ import annotations
@@ -9,31 +9,29 @@ from tanisight.operators import evaluate, models
 from tanisight.plans import layers
 from tanisight.session import materialize
 
-TREES = 3
-
 
 def _store(spark, sf):
     return materialize(layers.model_input(spark, sf))
 
 
 def _forecast(spark, sf):
-    return models.forecast(_store(spark, sf), "7d", TREES, parallel=6)
+    return models.forecast(_store(spark, sf), "7d", parallel=6)
 
 
 def _comparison(spark, sf):
     store = _store(spark, sf)
-    model, _ = models.forecast(store, "7d", TREES, parallel=6)
+    model, _ = models.forecast(store, "7d", parallel=6)
     return evaluate.model_vs_baseline(model, evaluate.naive_backtest(store))
 
 
 QUERIES = {
     "forecast_7d": lambda s, d: _forecast(s, d)[0],
-    "forecast_7_14": lambda s, d: models.forecast_table(_store(s, d), TREES, parallel=6),
+    "forecast_7_14": lambda s, d: models.forecast_table(_store(s, d), parallel=6),
     "feature_importance": lambda s, d: models.ranked_importance(_forecast(s, d)[1]),
     "top_features": lambda s, d: models.ranked_importance(_forecast(s, d)[1], 3),
     "model_vs_baseline": _comparison,
-    "magnitude_quantiles": lambda s, d: models.magnitude(_store(s, d), TREES, parallel=6),
-    "timing_windows": lambda s, d: models.timing(_store(s, d), TREES, parallel=6),
+    "magnitude_quantiles": lambda s, d: models.magnitude(_store(s, d), parallel=6),
+    "timing_windows": lambda s, d: models.timing(_store(s, d), parallel=6),
 }
 
 SQL: dict[str, str] = {}

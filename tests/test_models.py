@@ -47,3 +47,28 @@ def test_timing_probabilities(spark, store):
         assert sum(p) == pytest.approx(1.0, abs=0.003) and r["confidence"] == max(p)
         assert len(r["key_triggers"].split(", ")) == 3
     assert rows(store.select("komoditas").distinct()) == [("a",), ("b",)]
+
+
+def test_registered_queries_fit_the_full_number_of_trees(spark, monkeypatch):
+    from tanisight.plans.registry import models as registry
+
+    seen = []
+
+    class Stop(Exception):
+        pass
+
+    def booster(features, target, trees):
+        seen.append(trees)
+        raise Stop
+
+    def forest(**settings):
+        seen.append(settings["numTrees"])
+        raise Stop
+
+    monkeypatch.setattr(registry, "_store", lambda spark, sf: spark.createDataFrame(series(150, seed=11, names=("a",), gaps=False)))
+    monkeypatch.setattr(models, "_booster", booster)
+    monkeypatch.setattr(models, "RandomForestClassifier", forest)
+    for name, query in registry.QUERIES.items():
+        with pytest.raises(Stop):
+            query(spark, "")
+        assert seen.pop() == (150 if name == "magnitude_quantiles" else 200), name
