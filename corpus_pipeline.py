@@ -58,11 +58,11 @@ def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Texts without the passages that an earlier document holds; texts of which nothing is left go.
 
     A text that loses nothing stays as it is; otherwise its words are joined by one space, and n_chars,
-    if there, is counted anew. Rows that share a doc_id with another row are left as they are.
+    if there, is counted anew. Of rows that share a doc_id each loses its own passages.
     """
-    found = materialize(substrings.remove_repeats(spark, docs, with_text=True).filter("n_removed > 0").select(F.col("doc_id").alias("_id"), F.col("text_kept").alias("_text")))
-    once = found.groupBy("_id").agg(F.count("*").alias("_rows"), F.first("_text").alias("_text")).filter("_rows = 1").select("_id", "_text")
-    joined = docs.join(once, docs["doc_id"] == F.col("_id"), "left").filter("_text is null or _text <> ''")
+    found = materialize(substrings.remove_repeats(spark, docs, with_text=True).filter("n_removed > 0").select(F.col("doc_id").alias("_id"), F.col("text_kept").alias("_text"), F.col("row").alias("_row")))
+    once = found.groupBy("_id", "_row").agg(F.first("_text").alias("_text"))
+    joined = docs.join(once, (docs["doc_id"] == F.col("_id")) & (substrings.row_key(docs) == F.col("_row")), "left").filter("_text is null or _text <> ''")
     new = {"text": F.coalesce("_text", "text")}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.when(F.col("_text").isNotNull(), F.char_length("_text").cast("long")).otherwise(F.col("n_chars"))

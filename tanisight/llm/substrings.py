@@ -30,11 +30,16 @@ from tanisight.session import materialize, ship_package
 ANCHOR = 7
 PREFIXES = (1, 2, 4)
 SLICE = 4000
-PLACES = "part long, kind long, doc_id long, text binary, hashes binary, docs binary, places binary, n_words long, sha string"
+PLACES = "part long, kind long, doc_id long, text binary, hashes binary, docs binary, places binary, marks binary, n_words long, sha string, row long"
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 TEXT, PLACE, DONE, WINDOW = 1, 0, 2, 3  # kinds of rows
 
 
+def row_key(docs: DataFrame):
+    """Tells rows apart that share a doc_id: equal only for equal texts."""
+    return F.xxhash64(docs["doc_id"].cast("long"), docs["text"].cast("binary"))
+
+
 class Passages:
     """Anchors and windows of a slice of documents."""
 
@@ -127,11 +132,11 @@ def windows_sent(groups: int, width: int, frequent: dict[int, np.ndarray], windo
     def run(batches):
         docs = places = order = None
         part = None
-        waiting: list[tuple[int, bytes]] = []
+        waiting: list[tuple[int, bytes, int]] = []
 
         def flush():
-            ids = np.array([d for d, _ in waiting], np.int64)
-            p = Passages(ids, [t for _, t in waiting], width)
+            ids, marks = np.array([d for d, _, _ in waiting], np.int64), np.array([m for _, _, m in waiting], np.int64)
+            p = Passages(ids, [t for _, t, _ in waiting], width)
             flagged = np.zeros(len(p.anchors), bool)
             first, last = np.searchsorted(docs, ids, "left").tolist(), np.searchsorted(docs, ids, "right").tolist()
             for i, (a, b) in enumerate(zip(first, last, strict=True)):
@@ -144,22 +149,23 @@ def windows_sent(groups: int, width: int, frequent: dict[int, np.ndarray], windo
             if len(calm) and not windows_only:
                 words = [waiting[i][1].split() for i in calm]
                 yield rows_of(PLACES, kind=[DONE] * len(calm), part=doc_part(ids[calm], groups).tolist(), doc_id=ids[calm].tolist(), n_words=list(map(len, words)),
-                              sha=[hashlib.sha256(b" ".join(w)).hexdigest() for w in words])
+                              sha=[hashlib.sha256(b" ".join(w)).hexdigest() for w in words], row=marks[calm].tolist())
             if len(rest) and not windows_only:
-                yield rows_of(PLACES, kind=[TEXT] * len(rest), part=doc_part(ids[rest], groups).tolist(), doc_id=ids[rest].tolist(), text=[waiting[i][1] for i in rest])
+                yield rows_of(PLACES, kind=[TEXT] * len(rest), part=doc_part(ids[rest], groups).tolist(), doc_id=ids[rest].tolist(), text=[waiting[i][1] for i in rest], row=marks[rest].tolist())
             if not len(windows):
                 return
             at = p.starts[windows]
             values, own, place = gram_hashes(p.hashes, width)[at], ids[p.doc[windows]], (at - p.offsets[p.doc[windows]]).astype(np.int32)
+            mark = marks[p.doc[windows]]
             rank, begins = by_value(values)
             low, _, run_of = runs_min(own[rank], begins)
             later = np.zeros(len(at), bool)
             later[rank] = own[rank] > low[run_of]
             if not windows_only:
-                yield from dealt(doc_part(own[later], groups), PLACES, PLACE, docs=own[later], places=place[later])
+                yield from dealt(doc_part(own[later], groups), PLACES, PLACE, marks=mark[later], places=place[later])
                 return
             key = prefix_keys(p, at[~later], frequent, values[~later])
-            yield from dealt(group_of(key, groups), PLACES, WINDOW, hashes=values[~later], docs=own[~later], places=place[~later])
+            yield from dealt(group_of(key, groups), PLACES, WINDOW, hashes=values[~later], docs=own[~later], places=place[~later], marks=mark[~later])
 
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
@@ -176,7 +182,7 @@ def windows_sent(groups: int, width: int, frequent: dict[int, np.ndarray], windo
                         docs, places = packed(blobs, "docs", np.int64), packed(blobs, "places", np.int32)
                         order = np.argsort(docs, kind="stable")
                         docs, places, blobs = docs[order], places[order], []
-                    waiting.append((row["doc_id"], row["text"] or b""))
+                    waiting.append((row["doc_id"], row["text"] or b"", row["row"]))
                     if len(waiting) >= SLICE:
                         yield from flush()
                         waiting = []
@@ -229,38 +235,38 @@ def windows_met(groups: int):
     def run(batches):
         for _, rows in grouped(batches):
             order, begins = by_value(packed(rows, "hashes", np.uint64))
-            docs, places = packed(rows, "docs", np.int64)[order], packed(rows, "places", np.int32)[order]
+            docs, places, marks = packed(rows, "docs", np.int64)[order], packed(rows, "places", np.int32)[order], packed(rows, "marks", np.int64)[order]
             low, _, run_of = runs_min(docs, begins)
             later = docs > low[run_of]
-            yield from dealt(doc_part(docs[later], groups), PLACES, PLACE, docs=docs[later], places=places[later])
+            yield from dealt(doc_part(docs[later], groups), PLACES, PLACE, marks=marks[later], places=places[later])
 
     return run
 
 
 def cut_out(width: int, with_text: bool):
-    """Texts meet the places of their removed windows."""
+    """Texts meet the places of their removed windows, each row its own."""
 
     def run(batches):
         part, blobs = None, []
-        docs, places = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        marks, places = np.zeros(0, np.int64), np.zeros(0, np.int32)
         for batch in slices(batches, SLICE):
             out = []
             for row in batch.to_pylist():
                 if row["part"] != part:
                     part, blobs = row["part"], []
-                    docs, places = np.zeros(0, np.int64), np.zeros(0, np.int32)
+                    marks, places = np.zeros(0, np.int64), np.zeros(0, np.int32)
                 if row["kind"] == PLACE:
                     blobs.append(row)
                     continue
                 if row["kind"] == DONE:
-                    out.append((row["doc_id"], row["n_words"], 0, row["sha"], None))
+                    out.append((row["doc_id"], row["n_words"], 0, row["sha"], None, row["row"]))
                     continue
                 if blobs:
-                    docs, places = packed(blobs, "docs", np.int64), packed(blobs, "places", np.int32)
-                    order = np.argsort(docs, kind="stable")
-                    docs, places, blobs = docs[order], places[order], []
+                    marks, places = packed(blobs, "marks", np.int64), packed(blobs, "places", np.int32)
+                    order = np.argsort(marks, kind="stable")
+                    marks, places, blobs = marks[order], places[order], []
                 words = (row["text"] or b"").split()
-                a, b = np.searchsorted(docs, row["doc_id"], "left"), np.searchsorted(docs, row["doc_id"], "right")
+                a, b = np.searchsorted(marks, row["row"], "left"), np.searchsorted(marks, row["row"], "right")
                 steps = np.zeros(len(words) + 1, np.int64)
                 at = places[a:b]
                 at = at[at + width <= len(words)]
@@ -268,11 +274,11 @@ def cut_out(width: int, with_text: bool):
                 np.add.at(steps, at + width, -1)
                 stay = np.cumsum(steps[:-1]) == 0
                 kept = b" ".join(words[i] for i in np.flatnonzero(stay)) if not stay.all() else b" ".join(words)
-                out.append((row["doc_id"], len(words), int((~stay).sum()), hashlib.sha256(kept).hexdigest(), None if stay.all() else kept.decode("utf-8", "replace")))
+                out.append((row["doc_id"], len(words), int((~stay).sum()), hashlib.sha256(kept).hexdigest(), None if stay.all() else kept.decode("utf-8", "replace"), row["row"]))
             if out:
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()][: 5 if with_text else 4]
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()][: 6 if with_text else 4]
                 columns = [pa.array(c, kind) for c, kind in zip(zip(*out, strict=True), kinds, strict=False)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept_sha256", "text_kept"][: len(columns)])
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept_sha256", "text_kept", "row"][: len(columns)])
 
     return run
 
@@ -287,10 +293,10 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, width: int = 13, with_t
     A word goes if a window of `width` words that covers it also starts in a document with a smaller
     doc_id; windows are judged on the input. Words are runs of other than ASCII white space.
     with_text adds text_kept, the staying words with one space between; it is null where nothing
-    goes.
+    goes; and row, the row_key of the row.
 
     Null and empty text, or fewer words than `width`: nothing goes. Rows that repeat a doc_id are one
-    document for the judgement. Null doc_ids are left out of it: nothing goes. An empty table gives
+    document for the judgement, and each loses its own places. Null doc_ids are left out of it: nothing goes. An empty table gives
     no rows.
     """
     ship_package(spark)
@@ -303,15 +309,15 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, width: int = 13, with_t
     texts = known.select(
         F.pmod(F.col("doc_id").bitwiseXOR(F.shiftright("doc_id", 15)), F.lit(groups)).alias("part"),
         F.lit(TEXT).cast("long").alias("kind"), "doc_id", F.col("text").cast("binary").alias("text"),
-        *[F.lit(None).cast("binary").alias(c) for c in ("hashes", "docs", "places")],
-        F.lit(None).cast("long").alias("n_words"), F.lit(None).cast("string").alias("sha"))
+        *[F.lit(None).cast("binary").alias(c) for c in ("hashes", "docs", "places", "marks")],
+        F.lit(None).cast("long").alias("n_words"), F.lit(None).cast("string").alias("sha"), row_key(known).alias("row"))
     met = by_part(texts.union(flagged))
     windows = met.mapInArrow(windows_sent(groups, width, frequent, True), PLACES)
     rest = met.mapInArrow(windows_sent(groups, width, frequent, False), PLACES)
     removed = by_part(windows).mapInArrow(windows_met(groups), PLACES)
-    schema = RESULT + ", text_kept string" * with_text
+    schema = RESULT + ", text_kept string, row long" * with_text
     cut = by_part(rest.union(removed)).mapInArrow(cut_out(width, with_text), schema)
-    nothing = [F.lit(0).cast("long").alias("n_removed"), "sha", *[F.lit(None).cast("string").alias("text_kept")] * with_text]
+    nothing = [F.lit(0).cast("long").alias("n_removed"), "sha", *[F.lit(None).cast("string").alias("text_kept"), F.lit(None).cast("long").alias("row")] * with_text]
     nameless = id_and_text(docs).filter("doc_id is null").mapInArrow(untouched, "doc_id long, n_words long, sha string").select("doc_id", "n_words", *nothing)
     return cut.union(nameless)
 

@@ -269,3 +269,32 @@ def test_bands_and_signatures_follow_the_threshold():
     assert (neardup.rows_per_band(85), neardup.least_shared(85)) == (5, 65)
     assert (neardup.rows_per_band(80), neardup.least_shared(80)) == (4, 57)
     assert all((1 - (p / 100) ** (r := neardup.rows_per_band(p))) ** (100 // r) < 1e-5 for p in range(40, 100))
+
+
+def test_passages_of_rows_that_share_a_doc_id(spark):
+    import corpus_pipeline
+
+    clean, other = " ".join(f"clean{i}" for i in range(60)), " ".join(f"other{i}" for i in range(30))
+    rows = [
+        (1, PASSAGE), (1, other),
+        (2, "start here " + PASSAGE + " and end"), (2, clean),  # one of two rows loses words
+        (3, "a b " + PASSAGE), (3, other + " c"), (3, other + " c"),  # all lose words, two are equal
+        (4, PASSAGE), (4, clean + " d"),  # nothing is left of one; the other repeats row 2
+        (5, "two of " + clean[:200].rsplit(" ", 1)[0] + " in"), (5, " ".join(f"new{i}" for i in range(40))),
+        (6, " ".join(f"new{i}" for i in range(40, 80))), (6, " ".join(f"new{i}" for i in range(40, 80)) + " longer"),  # shared by one id only
+    ]
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in rows], "doc_id long, text string, n_chars long").repartition(3)
+    first = {}
+    for i, t in rows:
+        w = t.split()
+        for j in range(len(w) - 12):
+            first[tuple(w[j : j + 13])] = min(i, first.get(tuple(w[j : j + 13]), i))
+    wanted, counts = [], []
+    for i, t in rows:
+        w = t.split()
+        gone = {k for j in range(len(w) - 12) if first[tuple(w[j : j + 13])] < i for k in range(j, j + 13)}
+        kept = " ".join(x for k, x in enumerate(w) if k not in gone)
+        counts.append((i, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+        wanted += [(i, kept, len(kept))] if kept else []
+    assert sorted(map(tuple, substrings.remove_repeats(spark, docs).collect())) == sorted(counts)
+    assert sorted(map(tuple, corpus_pipeline.cut_passages(spark, docs, "").collect())) == sorted(wanted)
