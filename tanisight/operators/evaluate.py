@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tanisight.functions.numeric import exact_avg, fixed_sum, rnd, scaled
-from tanisight.operators.features import DAY, KEY, PRICE, by_day, clean_series
+from tanisight.operators.features import DAY, KEY, PRICE, by_day, change, clean_series
 
 
 def naive_backtest(daily: DataFrame, horizon: int = 7, min_rows: int = 30) -> DataFrame:
@@ -42,6 +42,18 @@ def evaluation_summary(report: DataFrame) -> DataFrame:
     )
 
 
+def spike_and_alert_days(
+    daily: DataFrame, daily_risk: DataFrame, spike_pct: float = 10.0, risk_at: float = 60.0, horizon: int = 7
+) -> tuple[DataFrame, DataFrame]:
+    """(spikes, alerts): days whose price rose by ``spike_pct`` or more over ``horizon`` rows, and days
+    whose risk index is ``risk_at`` or more."""
+    moves = clean_series(daily, horizon + 1).withColumn("_move", change(horizon))
+    return (
+        moves.filter(F.col("_move") >= spike_pct).select(KEY, DAY),
+        daily_risk.filter(F.col("risk_index") >= risk_at).select(KEY, DAY).distinct(),
+    )
+
+
 def lead_times(spikes: DataFrame, alerts: DataFrame, max_days: int = 30) -> DataFrame:
     """For every spike day the latest alert strictly before it, if 1..``max_days`` days apart.
 

@@ -24,6 +24,7 @@ TIES = {
     "price": ["fetched_at_utc", "ingestion_ts", "price_idr_per_kg", "price"],
 }
 
+RISK_DAILY = "komoditas string, date_parsed date, risk_index double"
 FORECAST = (
     "komoditas string, current_price double, forecast_7d double, predicted_change_pct double, "
     "model_mape double, rmse_avg double"
@@ -123,7 +124,8 @@ def run_news(spark: SparkSession, lake: str, as_of: str) -> tuple[DataFrame, Dat
 
 
 def run_risk(spark: SparkSession, lake: str, as_of: str) -> DataFrame:
-    """Risk index per commodity from the feature store, bronze weather and news velocity."""
+    """Risk index per commodity from the feature store, bronze weather and news velocity. It is also
+    kept by day, as the series that lead times are taken from."""
     dim = dims.commodity_table(spark)
     store = snapshots.read_version(spark, f"{lake}/gold/feature_store")
     weather = _table(spark, lake, "bronze", "weather", schemas.WEATHER)
@@ -135,6 +137,8 @@ def run_risk(spark: SparkSession, lake: str, as_of: str) -> DataFrame:
         risk.news_signal(velocity, dim),
     )
     index.write.mode("overwrite").parquet(f"{lake}/export/risk_index")
+    done = spark.read.parquet(f"{lake}/export/risk_index").select("komoditas", F.lit(as_of[:10]).cast("date").alias("date_parsed"), "risk_index")
+    done.write.mode("overwrite").parquet(f"{lake}/export/risk_daily/run={as_of[:10]}")
     return spark.read.parquet(f"{lake}/export/risk_index")
 
 
@@ -164,10 +168,14 @@ def _forecasts(spark: SparkSession, lake: str) -> DataFrame:
 
 
 def run_evaluation(spark: SparkSession, lake: str) -> DataFrame:
-    """Error of the forecast next to the baseline's; without a forecast, the baseline alone."""
+    """Error of the forecast next to the baseline's (without a forecast, the baseline alone), and the lead
+    time of the risk indexes of the days that ``run_risk`` was run for."""
     store = snapshots.read_version(spark, f"{lake}/gold/feature_store")
     errors = _forecasts(spark, lake).select("komoditas", F.col("model_mape").alias("mape_avg"), "rmse_avg")
     report = evaluate.model_vs_baseline(errors, evaluate.naive_backtest(store))
+    indexes = tables.read_table(spark, f"{lake}/export/risk_daily", schemas.schema(spark, RISK_DAILY))
+    leads = evaluate.lead_times(*evaluate.spike_and_alert_days(store, indexes))
+    report = report.join(evaluate.lead_time_stats(leads, report), "komoditas")
     report.write.mode("overwrite").parquet(f"{lake}/export/evaluation")
     return spark.read.parquet(f"{lake}/export/evaluation")
 

@@ -129,3 +129,16 @@ def test_live_change(spark):
     assert change([100, 100]) == (100.0, 0.0, 0.0)                 # all equal: row before
     assert change([100, 200, 1, 1, 1, 1, 1, 50]) == (50.0, 4900.0, -75.0)
     assert change([100]) == (100.0, None, None)
+
+
+def test_spikes_from_ten_percent_and_alerts_by_risk(spark):
+    days = [START + dt.timedelta(days=i) for i in range(14)]
+    prices = [100.0] * 10 + [110.0, 109.0, 125.0, 100.0]  # rises over 7 rows: 10, 9, 25 and 0 percent
+    daily = spark.createDataFrame([("a", d, p) for d, p in zip(days, prices)], "komoditas string, date_parsed date, avg_price double")
+    index = spark.createDataFrame(
+        [("a", days[5], 60.0), ("a", days[8], 59.9), ("a", days[11], 81.0), ("a", days[12], 90.0)],
+        "komoditas string, date_parsed date, risk_index double")
+    spikes, alerts = evaluate.spike_and_alert_days(daily, index)
+    assert rows(spikes) == [("a", days[10]), ("a", days[12])]
+    assert rows(alerts) == sorted([("a", days[5]), ("a", days[11]), ("a", days[12])], key=repr)
+    assert rows(evaluate.lead_times(spikes, alerts)) == [("a", days[10], days[5], 5), ("a", days[12], days[11], 1)]

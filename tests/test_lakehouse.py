@@ -131,3 +131,10 @@ def test_evaluation_and_report(spark, lake):
     lines = lakehouse.run_report(spark, lake, str(END)).first()["report"].split("\n")
     assert sum("/100 [" in line for line in lines) == 10
     assert [line for line in lines if "20.000" in line or "20,000" in line]
+
+
+def test_evaluation_has_lead_times_of_daily_risk(spark, lake):
+    lakehouse.run_risk(spark, lake, str(END))
+    assert all(r["events"] == 0 for r in lakehouse.run_evaluation(spark, lake).collect())
+    kept = spark.read.parquet(f"{lake}/export/risk_daily").filter(F.col("date_parsed") == str(END))
+    assert rows(kept, "komoditas", "risk_index") == rows(spark.read.parquet(f"{lake}/export/risk_index"), "komoditas", "risk_index")
