@@ -1,12 +1,11 @@
 """Removal of word passages that an earlier document holds too.
 
-A passage of `width` words that starts in several documents is a node that deep in the suffix tree
-of all documents. The tree is never built whole: suffixes are split by their first words into groups
-that fit in memory, and each group's subtree is cut at `width` words, below which only the smallest
-doc_id matters. A group's prefix is as long as needed: one word for most, more for frequent ones,
-up to the whole passage.
+A passage of `width` words that starts in several documents would be a node that deep in the suffix
+tree of all documents. No suffix is sent and no tree is built: only the smallest doc_id of such a
+passage matters, so hashes of whole windows are sorted in groups. A group is chosen by a prefix of the
+window: one word for most, more for frequent ones, up to the whole passage.
 
-Most suffixes are unique and never sent as such. Each window of `width` words has an anchor, the
+Most windows are unique and never sent. Each window of `width` words has an anchor, the
 run of `ANCHOR` words of smallest hash in it; equal windows have equal anchors. Anchors that occur in
 one document only rule their windows out. Within a slice of documents equal anchors and windows meet
 before they are shuffled, so a passage in a third of all documents costs a row per slice.
