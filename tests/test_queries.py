@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as spark_entry
+from tanisight.plans import catalog
 from tools.check import TABLES, compare
 
 QUERIES, SQL = spark_entry.queries(), spark_entry.oracle_sql()
@@ -36,7 +37,7 @@ def test_query_equals_sql(spark, sf, duck, name):
 
 
 def test_only_models_lack_sql():
-    assert sorted(set(QUERIES) - set(SQL)) == [
+    assert sorted(set(catalog.queries()) - set(catalog.oracle_sql())) == [
         "feature_importance", "forecast_7_14", "forecast_7d", "magnitude_quantiles", "model_vs_baseline",
         "timing_windows", "top_features",
     ]
