@@ -28,6 +28,18 @@ def slices(batches, rows: int = 512):
             yield batch.slice(start, rows)
 
 
+def small_slices(batches, rows: int = 500, size: int = 4 << 20, name: str = "text"):
+    """Arrow batches in slices of at most so many rows and bytes of text; a longer text is a slice of its own."""
+    for batch in batches:
+        ends = np.append(0, np.cumsum(pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy(zero_copy_only=False)))
+        start = 0
+        while start < batch.num_rows:
+            stop = int(np.searchsorted(ends, ends[start] + size, "right")) - 1
+            stop = min(max(stop, start + 1), start + rows, batch.num_rows)
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def word_hashes(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words (runs of other than ASCII white space) in a row, and the offset of
     each document (one more than documents). lower: A-Z are lower-cased first."""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tanisight.llm import bpe, exact, language, licenses, neardup, packing, quality, substrings, tokenfiles, toxicity
+from tanisight.llm import bpe, exact, infill, language, licenses, neardup, packing, quality, resampling, substrings, tokenfiles, toxicity
 from tanisight.session import ship_package
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -72,6 +72,17 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.deduplicate(spark, table(spark, sf_dir, "documents"))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = infill.transform(table(spark, sf_dir, "documents"), seed=42, rate=50, spm_rate=80)
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(infill.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.draw(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank", "n_words")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -89,11 +100,38 @@ QUERIES = {
     "op8_line_first_quality": op8,
     "op9_suffix_tree_dedup": op9,
     "op10_extendible_hash_dedup": op10,
+    "op11_repeated_capture_infill": op11,
+    "op12_bracketed_resampling": op12,
     "pipeline": pipeline,
 }
 
 #: Texts that SQL can state whole. The other operators are tested against brute force, the library or held-out rows.
 SQL = {
+    "op11_repeated_capture_infill": r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || CAST(doc_id AS VARCHAR)) AS x,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+  FROM documents
+), h AS (
+  SELECT *, CAST(len(u) AS BIGINT) AS n, CAST('0x' || x[1:8] AS BIGINT) AS h1, CAST('0x' || x[9:16] AS BIGINT) AS h2,
+         CAST('0x' || x[17:24] AS BIGINT) AS h3, CAST('0x' || x[25:32] AS BIGINT) AS h4
+  FROM t
+), c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+              WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM h
+), p AS (
+  SELECT doc_id, n, form, text, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:n], '') AS suffix
+  FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE text END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+""",
     "op10_extendible_hash_dedup": """
 WITH t AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS n
