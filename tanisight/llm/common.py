@@ -8,6 +8,8 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 
+from tanisight.session import scratch_path
+
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -16,6 +18,14 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text")
 
 
+def written(df: DataFrame, name: str = "table") -> DataFrame:
+    """The table written to the shared folder and read back. Unlike a checkpoint it has a known size, so that
+    Spark broadcasts it where it is small."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def as_bytes(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """UTF-8 of a string column; null counts as empty."""
     return [x or b"" for x in batch.column(name).cast(pa.binary()).to_pylist()]

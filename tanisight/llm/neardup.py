@@ -4,10 +4,8 @@ Each permutation of the shingle hashes gives two values of a set, its minimum an
 signature of 2 K values takes K evaluations. Rows of the signature form bands; sets that agree in a
 band meet in a bucket. Documents of equal sets are one node. Links are sought in steps, so that no
 bucket emits all its pairs: each member with the bucket's smallest node; then, where a bucket still
-holds nodes of different components, with another node of it. A node that remains apart can link
-with another only by shingles that both hold: with fewer than `percent` of its shingles in any
-other such node it cannot link at all, and what is left of the rest is compared pair by pair if the
-numbers of such shingles, sizes and signatures allow a link.
+holds nodes of different components, a node with fewer than `percent` of its shingles in any other
+such node cannot link at all, and the rest is joined by its differences from a centre (closeness).
 """
 
 from __future__ import annotations
@@ -19,8 +17,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tanisight.llm import closeness
 from tanisight.llm.common import (
-    as_bytes, by_value, dealt, gram_hashes, group_of, grouped, id_and_text, mix, packed, runs_min, signed, slices, starts_of, word_hashes,
+    as_bytes, by_value, dealt, gram_hashes, group_of, grouped, id_and_text, mix, packed, runs_min, signed, slices, small_slices, starts_of, word_hashes,
+    written,
 )
 from tanisight.session import materialize, scratch_path, ship_package
 
@@ -28,6 +28,7 @@ SHINGLE = 5
 PERMUTATIONS = 50
 MISSED = 1e-5  # of the pairs at the threshold, the share that may agree in no band
 PACKED = "part long, kind long, hashes binary, docs binary"
+SHINGLES = "node long, shingles binary"
 SETS = "doc_id long, n_shingles long, s1 long, s2 long, bands array<long>, signature binary"
 
 
@@ -48,11 +49,11 @@ def multipliers() -> tuple[np.ndarray, np.ndarray]:
     return random.integers(0, 1 << 63, PERMUTATIONS).astype(np.uint64) * np.uint64(2) + np.uint64(1), random.integers(0, 1 << 63, PERMUTATIONS).astype(np.uint64)
 
 
-def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
+def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text; a text of fewer words is one shingle."""
     hashes, offsets = word_hashes(texts, lower=True)
-    at, doc = starts_of(offsets, SHINGLE)
-    grams = gram_hashes(hashes, SHINGLE)[at] if len(at) else np.zeros(0, np.uint64)
+    at, doc = starts_of(offsets, size)
+    grams = gram_hashes(hashes, size)[at] if len(at) else np.zeros(0, np.uint64)
     ends = np.searchsorted(doc, np.arange(len(texts) + 1))
     out = []
     for i, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
@@ -83,7 +84,7 @@ def describe(rows: int):
 
     def run(batches):
         numbers = np.arange(2 * PERMUTATIONS // rows, dtype=np.uint64)
-        for batch in slices(batches, 500):
+        for batch in small_slices(batches):
             docs = batch.column("doc_id").to_pylist()
             sets = shingle_sets(as_bytes(batch))
             identity = [(int(signed(mix(s).sum(keepdims=True))[0]), int(signed(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(keepdims=True))[0])) if len(s) else (0, 0) for s in sets]
@@ -109,7 +110,7 @@ def describe(rows: int):
 
 
 def whole_sets(batches):
-    for batch in slices(batches, 500):
+    for batch in small_slices(batches):
         sets = shingle_sets(as_bytes(batch))
         yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "shingles"])
 
@@ -141,10 +142,14 @@ def confirm(percent: int):
 
 
 class Links:
-    """Confirms candidate pairs of nodes; sets are made again from the texts, of the nodes in question only."""
+    """Confirms candidate pairs of nodes on their whole sets.
+
+    nodes: node, n_shingles, signature. check: which pairs of signatures are worth it (a, b, n: how alike).
+    sets: from the ids (doc_id) of the nodes in question to their shingles.
+    """
 
-    def __init__(self, docs: DataFrame, nodes: DataFrame, percent: int):
-        self.docs, self.nodes, self.percent = docs, nodes, percent
+    def __init__(self, nodes: DataFrame, percent: int, check, sets):
+        self.nodes, self.percent, self.check, self.sets = nodes, percent, check, sets
 
     def of(self, pairs: DataFrame, few: bool = False) -> DataFrame:
         """few: of each a's candidates, only the smallest and the likeliest."""
@@ -152,34 +157,64 @@ class Links:
         a, b = (sizes.select(F.col("node").alias(x), F.col("n_shingles").alias("n_" + x), F.col("signature").alias("sign_" + x)) for x in "ab")
         fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.percent
         near = pairs.distinct().join(a, "a").join(b, "b").filter(fits)
-        near = near.select("a", "b", "sign_a", "sign_b").mapInArrow(alike(least_shared(self.percent)), "a long, b long, n long")
+        near = near.select("a", "b", "sign_a", "sign_b").mapInArrow(self.check, "a long, b long, n long")
         if few:
             best = near.groupBy("a").agg(F.array_distinct(F.array(F.min("b"), F.max_by("b", F.struct("n", "b")))).alias("b"))
             near = best.select("a", F.explode("b").alias("b"))
-        near = materialize(near.select("a", "b"))
-        wanted = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
-        sets = materialize(self.docs.join(wanted, "doc_id", "left_semi").mapInArrow(whole_sets, "node long, shingles binary"))
+        near = written(near.select("a", "b"), "near")
+        sets = self.sets(written(near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct(), "wanted"))
         a, b = (sets.select(F.col("node").alias(x), F.col("shingles").alias("set_" + x)) for x in "ab")
-        return materialize(near.join(a, "a").join(b, "b").mapInArrow(confirm(self.percent), "a long, b long").distinct())
+        return written(near.join(a, "a").join(b, "b").mapInArrow(confirm(self.percent), "a long, b long").distinct(), "links")
+
+
+def sets_from(docs: DataFrame):
+    """Makes the sets of the wanted ids again from the texts."""
+
+    def make(wanted: DataFrame) -> DataFrame:
+        return written(docs.join(wanted, "doc_id", "left_semi").mapInArrow(whole_sets, SHINGLES), "sets")
 
+    return make
 
-def shared_shingles(docs: DataFrame, nodes: DataFrame, groups: int) -> DataFrame:
-    """node, n_shared: how many of its shingles another of the nodes holds too. Nodes with none are left out."""
+
+def shared_shingles(sets: DataFrame, group_bytes: int = 16 << 20) -> DataFrame:
+    """node, n_shared: how many of its shingles another of the nodes holds too. Nodes with none are left out.
+
+    Shingles are dealt to groups of about group_bytes. A shingle that several nodes of a task's slice hold is
+    counted there and sent on once, so a common one sends a row per slice.
+    """
+    total = sets.agg(F.sum(F.octet_length("shingles"))).first()[0] or 0
+    groups = max(1, -(-2 * total // group_bytes))
 
     def send(batches):
         for batch in slices(batches, 2000):
-            sets = shingle_sets(as_bytes(batch))
-            hashes = np.concatenate(sets)
-            ids = np.repeat(np.array(batch.column("doc_id").to_pylist(), np.int64), [len(x) for x in sets])
-            yield from dealt(group_of(hashes, groups), PACKED, 0, hashes=hashes, docs=ids)
+            own = [np.frombuffer(x, np.uint64) for x in batch.column("shingles").to_pylist()]
+            hashes = np.concatenate(own)
+            ids = np.repeat(batch.column("node").to_numpy(), [len(x) for x in own])
+            order, begins = by_value(hashes)
+            hashes, ids = hashes[order], ids[order]
+            low, high, run_of = runs_min(ids, begins)
+            here = (high > low)[run_of]
+            found, n = np.unique(ids[here], return_counts=True)
+            yield from dealt(group_of(found, groups), PACKED, 1, hashes=n.astype(np.uint64), docs=found)
+            stands = begins[high > low]  # the first of those counted here stands for all of them
+            yield from dealt(group_of(hashes[stands], groups), PACKED, 2, hashes=hashes[stands], docs=ids[stands])
+            yield from dealt(group_of(hashes[~here], groups), PACKED, 0, hashes=hashes[~here], docs=ids[~here])
 
     def meet(batches):
         for _, rows in grouped(batches):
-            order, begins = by_value(packed(rows, "hashes", np.uint64))
-            docs = packed(rows, "docs", np.int64)[order]
-            low, high, run_of = runs_min(docs, begins)
-            found, n = np.unique(docs[(high > low)[run_of]], return_counts=True)
-            yield from dealt(group_of(found, groups), PACKED, 0, hashes=n.astype(np.uint64), docs=found)
+            sent, stands, done = ([r for r in rows if r["kind"] == k] for k in (0, 2, 1))
+            hashes, docs = packed(sent + stands, "hashes", np.uint64), packed(sent + stands, "docs", np.int64)
+            if len(hashes):
+                open_ = np.arange(len(hashes)) < len(packed(sent, "docs", np.int64))  # not counted yet
+                order, begins = by_value(hashes)
+                docs, open_ = docs[order], open_[order]
+                low, high, run_of = runs_min(docs, begins)
+                met = ((high > low) | ~np.logical_and.reduceat(open_, begins))[run_of]
+                found, n = np.unique(docs[met & open_], return_counts=True)
+                yield from dealt(group_of(found, groups), PACKED, 1, hashes=n.astype(np.uint64), docs=found)
+            if done:
+                docs = packed(done, "docs", np.int64)
+                yield from dealt(group_of(docs, groups), PACKED, 1, hashes=packed(done, "hashes", np.uint64), docs=docs)
 
     def add(batches):
         for _, rows in grouped(batches):
@@ -187,7 +222,7 @@ def shared_shingles(docs: DataFrame, nodes: DataFrame, groups: int) -> DataFrame
             total = np.bincount(where, packed(rows, "hashes", np.uint64).astype(np.float64), len(found))
             yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total.astype(np.int64))], ["node", "n_shared"])
 
-    own = docs.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
+    own = sets
     for step in (send, meet):
         own = own.mapInArrow(step, PACKED).repartition("part").sortWithinPartitions("part")
     return own.mapInArrow(add, "node long, n_shared long")
@@ -233,26 +268,19 @@ def link_copies(spark: SparkSession, docs: DataFrame, percent: int = 85) -> Data
     members = nodes.select("node", F.explode("bands").alias("bucket"))
     full = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
     members = materialize(members.join(full, "bucket"))
-    links = Links(id_and_text(docs).filter("doc_id is not null"), nodes, percent)
-    edges = links.of(leaders(members.withColumn("component", F.col("node")), F.col("node")), few=True)
+    remake = sets_from(id_and_text(docs).filter("doc_id is not null"))
+    links = Links(nodes, percent, alike(least_shared(percent)), remake)
+    edges = links.of(leaders(members, F.col("node")), few=True)
     labels = components(edges)
-    left = materialize(apart(members, labels))
+    left = written(apart(members.select("node", "bucket"), labels), "apart")
     if not left.isEmpty():
-        groups = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        ids = left.select("node").distinct()
-        shared = shared_shingles(links.docs, ids, groups).join(nodes.select("node", "n_shingles"), "node")
-        able = materialize(shared.filter(F.col("n_shared") * 100 >= F.col("n_shingles") * percent))
-        left = materialize(apart(left.select("node", "bucket").join(able, "node"), labels))
-        edges = materialize(edges.union(links.of(leaders(left, F.xxhash64("node"), percent), few=True)))
-        labels = components(edges)
-        left = materialize(apart(left.drop("component"), labels))
-        left = left.join(nodes.select("node", "bands"), "node")
-        x, y = (left.select("bucket", *[F.col(c).alias(c + k) for c in ("node", "component", "n_shared", "n_shingles", "bands")]) for k in "ab")
-        once = F.array_min(F.array_intersect("bandsa", "bandsb")) == F.col("bucket")  # of their common buckets, one
-        pairs = x.join(y, "bucket").filter("nodea < nodeb and componenta <> componentb").filter(can_link("a", "b", percent) & once)
-        more = links.of(pairs.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")))
-        if not more.isEmpty():
-            labels = components(edges.union(more))
+        sets_left = remake(left.select(F.col("node").alias("doc_id")).distinct())
+        shared = shared_shingles(sets_left).join(nodes.select("node", "n_shingles"), "node")
+        able = shared.filter(F.col("n_shared") * 100 >= F.col("n_shingles") * percent).select("node")
+        left = written(apart(left.select("node", "bucket").join(able, "node"), labels).select("bucket", "node"), "apart")
+        if not left.isEmpty():
+            links.sets = lambda wanted: sets_left.join(wanted.withColumnRenamed("doc_id", "node"), "node", "left_semi")
+            edges, labels = closeness.resolve(links, left, sets_left, edges, labels, components, percent)
     whole = classes.join(labels, "node", "left").select("s1", "s2", F.coalesce("component", "node").alias("component"))
     some = linked.select("doc_id", "n_shingles", "s1", "s2").join(whole, ["s1", "s2"]).select("doc_id", "n_shingles", "component")
     none = sets.filter("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component"))
@@ -260,12 +288,6 @@ def link_copies(spark: SparkSession, docs: DataFrame, percent: int = 85) -> Data
         "doc_id", "n_shingles", F.col("component").alias("component_id"), F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"))
 
 
-def can_link(a: str, b: str, percent: int):
-    """The intersection holds at most the shared shingles of either."""
-    most = F.least("n_shared" + a, "n_shared" + b)
-    return most * (100 + percent) >= (F.col("n_shingles" + a) + F.col("n_shingles" + b)) * percent
-
-
 def apart(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members, with their components, of the buckets that hold several components."""
     own = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -273,14 +295,7 @@ def apart(members: DataFrame, labels: DataFrame) -> DataFrame:
     return own.join(span.filter("low < high").select("bucket"), "bucket")
 
 
-def leaders(members: DataFrame, order, percent: int | None = None) -> DataFrame:
-    """Pairs of every bucket member with the bucket's first node in the order, of another component."""
-    more = [c for c in ("n_shared", "n_shingles") if c in members.columns]
-    first = members.groupBy("bucket").agg(F.min_by(F.struct("node", "component", *more), order).alias("f"))
-    pairs = members.join(first, "bucket").filter("component <> f.component")
-    if percent:
-        pairs = pairs.select("node", "f.node", *[F.col(c).alias(c + "a") for c in more], *[F.col("f." + c).alias(c + "b") for c in more]).toDF(
-            "node", "first", *[c + "a" for c in more], *[c + "b" for c in more]).filter(can_link("a", "b", percent))
-    else:
-        pairs = pairs.select("node", F.col("f.node").alias("first"))
-    return pairs.select(F.col("node").alias("a"), F.col("first").alias("b"))
+def leaders(members: DataFrame, order) -> DataFrame:
+    """Pairs of every bucket member with the bucket's first node in the order."""
+    first = members.groupBy("bucket").agg(F.min_by("node", order).alias("first"))
+    return members.join(first, "bucket").filter("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tanisight.llm import bpe, exact, infill, language, licenses, neardup, packing, quality, resampling, substrings, tokenfiles, toxicity
+from tanisight.llm import bpe, exact, infill, jaccardjoin, language, licenses, neardup, packing, quality, resampling, substrings, tokenfiles, toxicity
 from tanisight.session import ship_package
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -83,6 +83,10 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "n_features", "weight", "score", "rank", "n_words")
 
 
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccardjoin.join_documents(spark, table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -102,6 +106,7 @@ QUERIES = {
     "op10_extendible_hash_dedup": op10,
     "op11_repeated_capture_infill": op11,
     "op12_bracketed_resampling": op12,
+    "op13_multi_match_jaccard_join": op13,
     "pipeline": pipeline,
 }
 
