@@ -110,18 +110,25 @@ def still_apart(table: DataFrame, *keys: str) -> DataFrame:
     return table.join(span.filter("one < other").select(*keys), list(keys))
 
 
-def resolve(links, members: DataFrame, sets: DataFrame, edges: DataFrame, labels: DataFrame, components, percent: int):
+def resolve(links, members: DataFrame, sets: DataFrame, edges: DataFrame, labels: DataFrame, components):
     """(edges, labels) with every link between members that share a bucket and lie in different components.
 
     members: bucket, node. sets: node, shingles of the members; a node may have several, each by itself.
     links.of confirms pairs on whole sets.
     """
+    percent = links.percent
     own = written(families(members).join(sets, "node").withColumn("part", F.xxhash64("shingles")), "families")
     measured = written(own.join(centres(own), "family", "left").mapInArrow(measure(percent), MEASURED), "measured")
     low = written(measured.groupBy("family").agg(F.min("f").alias("m"), F.min_by("node", F.struct("f", "node")).alias("first")), "low")
     sure = measured.join(low, "family").filter("f <= -m and node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
-    edges = written(edges.union(sure), "edges")
-    labels = components(edges)
+
+    def add(found: DataFrame, edges: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+        if found.isEmpty():
+            return edges, labels
+        edges = written(edges.union(found), "edges")
+        return edges, components(edges)
+
+    edges, labels = add(sure, edges, labels)
     lists = written(lists_of(still_apart(labelled(measured, labels), "family"), low, percent), "lists")
     for order in (F.struct("f", "node"), F.struct(F.xxhash64("node"), "node")):
         if lists.isEmpty():
@@ -130,13 +137,10 @@ def resolve(links, members: DataFrame, sets: DataFrame, edges: DataFrame, labels
         pairs = lists.join(head, ["family", "element"]).filter("component <> h.component")
         pairs = pairs.select("node", F.col("n").alias("na"), F.col("mark").alias("marka"), F.col("h.node").alias("head"), F.col("h.n").alias("nb"), F.col("h.mark").alias("markb"))
         found = links.of(pairs.filter(differ_little("a", "b", percent)).select(F.col("node").alias("a"), F.col("head").alias("b")))
-        edges = written(edges.union(found), "edges")
-        labels = components(edges)
-        lists = written(still_apart(labelled(lists, labels), "family", "element"), "lists")
+        before = labels
+        edges, labels = add(found, edges, labels)
+        if labels is not before:
+            lists = written(still_apart(labelled(lists, labels), "family", "element"), "lists")
     x, y = (lists.select("family", "element", *[F.col(c).alias(c + k) for c in ("node", "component", "n", "mark")]) for k in "ab")
     rest = x.join(y, ["family", "element"]).filter("nodea < nodeb and componenta <> componentb").filter(differ_little("a", "b", percent))
-    more = links.of(rest.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")))
-    if not more.isEmpty():
-        edges = edges.union(more)
-        labels = components(edges)
-    return edges, labels
+    return add(links.of(rest.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b"))), edges, labels)

@@ -109,10 +109,13 @@ def describe(rows: int):
     return run
 
 
-def whole_sets(batches):
-    for batch in small_slices(batches):
-        sets = shingle_sets(as_bytes(batch))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "shingles"])
+def whole_sets(size: int):
+    def run(batches):
+        for batch in small_slices(batches):
+            sets = shingle_sets(as_bytes(batch), size)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "shingles"])
+
+    return run
 
 
 def alike(least: int):
@@ -167,11 +170,11 @@ class Links:
         return written(near.join(a, "a").join(b, "b").mapInArrow(confirm(self.percent), "a long, b long").distinct(), "links")
 
 
-def sets_from(docs: DataFrame):
+def sets_from(docs: DataFrame, size: int = SHINGLE):
     """Makes the sets of the wanted ids again from the texts."""
 
     def make(wanted: DataFrame) -> DataFrame:
-        return written(docs.join(wanted, "doc_id", "left_semi").mapInArrow(whole_sets, SHINGLES), "sets")
+        return written(docs.join(wanted, "doc_id", "left_semi").mapInArrow(whole_sets(size), SHINGLES), "sets")
 
     return make
 
@@ -247,6 +250,25 @@ def components(links: DataFrame) -> DataFrame:
         labels = after.select("node", "label")
 
 
+def rest_of_links(links: Links, members: DataFrame, nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(edges, labels) with all links between members of a bucket, given those found so far.
+
+    Of the nodes in buckets of several components, those stay that share enough shingles with others of them.
+    """
+    labels = components(edges)
+    left = written(apart(members, labels), "apart")
+    if left.isEmpty():
+        return edges, labels
+    sets = links.sets(left.select(F.col("node").alias("doc_id")).distinct())
+    shared = shared_shingles(sets).join(nodes.select("node", "n_shingles"), "node")
+    able = shared.filter(F.col("n_shared") * 100 >= F.col("n_shingles") * links.percent).select("node").distinct()
+    left = written(apart(left.select("node", "bucket").join(able, "node"), labels).select("bucket", "node"), "apart")
+    if left.isEmpty():
+        return edges, labels
+    links.sets = lambda wanted: sets.join(wanted.withColumnRenamed("doc_id", "node"), "node", "left_semi")
+    return closeness.resolve(links, left, sets, edges, labels, components)
+
+
 def link_copies(spark: SparkSession, docs: DataFrame, percent: int = 85) -> DataFrame:
     """Per document: n_shingles, component_id (smallest doc_id that links lead to) and kept.
 
@@ -271,16 +293,7 @@ def link_copies(spark: SparkSession, docs: DataFrame, percent: int = 85) -> Data
     remake = sets_from(id_and_text(docs).filter("doc_id is not null"))
     links = Links(nodes, percent, alike(least_shared(percent)), remake)
     edges = links.of(leaders(members, F.col("node")), few=True)
-    labels = components(edges)
-    left = written(apart(members.select("node", "bucket"), labels), "apart")
-    if not left.isEmpty():
-        sets_left = remake(left.select(F.col("node").alias("doc_id")).distinct())
-        shared = shared_shingles(sets_left).join(nodes.select("node", "n_shingles"), "node")
-        able = shared.filter(F.col("n_shared") * 100 >= F.col("n_shingles") * percent).select("node")
-        left = written(apart(left.select("node", "bucket").join(able, "node"), labels).select("bucket", "node"), "apart")
-        if not left.isEmpty():
-            links.sets = lambda wanted: sets_left.join(wanted.withColumnRenamed("doc_id", "node"), "node", "left_semi")
-            edges, labels = closeness.resolve(links, left, sets_left, edges, labels, components, percent)
+    edges, labels = rest_of_links(links, members.select("node", "bucket"), nodes, edges)
     whole = classes.join(labels, "node", "left").select("s1", "s2", F.coalesce("component", "node").alias("component"))
     some = linked.select("doc_id", "n_shingles", "s1", "s2").join(whole, ["s1", "s2"]).select("doc_id", "n_shingles", "component")
     none = sets.filter("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component"))

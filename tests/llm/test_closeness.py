@@ -133,9 +133,10 @@ def test_pairs_over_the_threshold_share_m_shingles_of_their_prefixes():
 
 
 def test_prefixes_grow_where_lists_are_long():
-    rare, mixed = np.full(100, 3), np.sort(np.r_[np.full(5, 1), np.full(95, 4000)])
-    assert jaccardjoin.matches(rare, 85, 10) == 1
-    assert jaccardjoin.matches(mixed, 85, 10) > 1
+    rare, common, mixed = np.full(100, 3), np.full(100, 4000), np.r_[np.full(25, 3), np.full(75, 4000)]
+    assert jaccardjoin.matches(mixed, 85, 10) == jaccardjoin.least_matches(100) == 10
+    assert jaccardjoin.matches(common, 85, 10) >= jaccardjoin.matches(rare, 85, 10) >= 10
+    assert [jaccardjoin.matches(np.full(n, 9), 85, 10) for n in (1, 2, 5)] == [1, 1, 1]
 
 
 def test_shared_shingles_equal_brute_force(spark):
