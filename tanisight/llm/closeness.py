@@ -8,7 +8,8 @@ differ in |d(X)| + |d(Y)| - 2 |d(X) and d(Y)| shingles, so with
 
 X and Y are linked exactly when f(X) + f(Y) <= 2 (100 + p) |d(X) and d(Y)|. The member A of smallest f is
 hence linked with every member with f <= -f(A), without a comparison; any other link needs common elements
-of the differences, at least so many that both meet at one of their rarest elements (prefix filtering).
+of the differences, at least so many that both meet at one of their first elements in a common order (prefix
+filtering): what a member has beyond the centre comes before what it lacks, as it is rarer.
 What most members share is in no difference, so the lists of nodes by element are short where buckets are
 long. Each list is joined with its first nodes before its remaining pairs of different components are taken.
 """
@@ -19,11 +20,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from tanisight.llm.common import slices, written
 
 MARK = 16  # 64-bit words of parity
+FEW = 8  # members of a family whose pairs are taken as they are, at most 28
 MEASURED = "family long, node long, part long, n long, nd long, f long, d array<long>, mark array<long>"
 
 
@@ -43,14 +44,14 @@ def each_shingle(batches):
 
 
 def measure(percent: int):
-    """Difference from the centre, f, and the parity of the difference over 64 MARK places."""
+    """Difference from the centre (additions, then what is missing), f, and the difference's parity over 64 MARK places."""
 
     def run(batches):
         for part in slices(batches, 500):
             sets = [np.frombuffer(x, np.int64) for x in part.column("shingles").to_pylist()]
             ends = np.cumsum(part.column("centre").value_lengths().fill_null(0).to_numpy())
             centres = np.split(part.column("centre").flatten().to_numpy(), ends[:-1])
-            diffs = [np.setxor1d(s, c, assume_unique=True) for s, c in zip(sets, centres, strict=True)]
+            diffs = [np.concatenate([np.setdiff1d(s, c, True), np.setdiff1d(np.sort(c), s, True)]) for s, c in zip(sets, centres, strict=True)]
             n, nd = np.array([len(s) for s in sets], np.int64), np.array([len(d) for d in diffs], np.int64)
             marks = []
             for d in diffs:
@@ -81,23 +82,27 @@ def differ_little(a: str, b: str, percent: int) -> Column:
 
 
 def lists_of(measured: DataFrame, low: DataFrame, percent: int) -> DataFrame:
-    """family, element, node, component, n, f, mark: the nodes by the rarest elements of their differences.
+    """family, element, node, component, n, f, mark: the nodes by the first elements of their differences.
 
-    measured holds the components. Elements that only one component holds take no part; a node that must share
-    k elements with any node it is not yet joined to is listed under all but the last k - 1 of the others.
+    measured holds the components. A node that must share k elements with any node it is not yet joined to is
+    listed under all but the last k - 1. Elements that only one component holds take no part.
     """
     twice = 2 * (100 + percent)
     within = F.floor(F.col("n") * (100 - percent) / percent)  # the most shingles in which a linked set differs
     apart = F.greatest(F.ceil((F.col("f") + F.col("m")) / twice), F.col("nd") - within, F.lit(1))
     joined = F.greatest(F.ceil((F.col("f") - F.col("m") + 1) / twice), F.lit(1))  # a partner has f > -m
     wide = measured.join(low.select("family", "m"), "family").withColumn("k", F.when(F.col("f") > -F.col("m"), apart).otherwise(joined))
-    elements = wide.select("family", "node", "part", "component", "k", F.explode("d").alias("element"))
-    held = elements.groupBy("family", "element").agg(F.count("*").alias("holders"), F.min("component").alias("one"), F.max("component").alias("other"))
-    shared = elements.join(held.filter("one < other"), ["family", "element"])
-    own = Window.partitionBy("family", "node", "part")
-    ranked = shared.select("family", "element", "node", "part", "k", F.row_number().over(own.orderBy("holders", "element")).alias("at"), F.count("*").over(own).alias("of"))
-    listed = ranked.filter("at <= of - k + 1").select("family", "element", "node", "part")
-    return listed.join(wide.select("family", "node", "part", "component", "n", "f", "mark"), ["family", "node", "part"])
+    first = F.slice("d", F.lit(1), F.greatest(F.col("nd") - F.col("k") + 1, F.lit(0)).cast("int"))
+    elements = written(wide.select("family", "node", "part", "component", "n", "f", F.explode(first).alias("element")), "elements")
+    lists = still_apart(elements.select("family", "element", "node", "part", "component", "n", "f"), "family", "element")
+    return lists.join(measured.select("family", "node", "part", "mark"), ["family", "node", "part"]).drop("part")
+
+
+def different(table: DataFrame, keys: list[str], percent: int) -> DataFrame:
+    """Pairs of nodes of different components that share the keys, if sizes and parities allow a link."""
+    x, y = (table.select(*keys, *[F.col(c).alias(c + k) for c in ("node", "component", "n", "mark")]) for k in "ab")
+    pairs = x.join(y, keys).filter("nodea < nodeb and componenta <> componentb").filter(differ_little("a", "b", percent))
+    return pairs.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b"))
 
 
 def labelled(table: DataFrame, labels: DataFrame) -> DataFrame:
@@ -119,7 +124,7 @@ def resolve(links, members: DataFrame, sets: DataFrame, edges: DataFrame, labels
     percent = links.percent
     own = written(families(members).join(sets, "node").withColumn("part", F.xxhash64("shingles")), "families")
     measured = written(own.join(centres(own), "family", "left").mapInArrow(measure(percent), MEASURED), "measured")
-    low = written(measured.groupBy("family").agg(F.min("f").alias("m"), F.min_by("node", F.struct("f", "node")).alias("first")), "low")
+    low = written(measured.groupBy("family").agg(F.count("*").alias("members"), F.min("f").alias("m"), F.min_by("node", F.struct("f", "node")).alias("first")), "low")
     sure = measured.join(low, "family").filter("f <= -m and node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
 
     def add(found: DataFrame, edges: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -129,7 +134,10 @@ def resolve(links, members: DataFrame, sets: DataFrame, edges: DataFrame, labels
         return edges, components(edges)
 
     edges, labels = add(sure, edges, labels)
-    lists = written(lists_of(still_apart(labelled(measured, labels), "family"), low, percent), "lists")
+    several = written(still_apart(labelled(measured, labels), "family").join(low.select("family", "members"), "family"), "several")
+    few = several.filter((F.col("members") > 2) & (F.col("members") <= FEW))  # of two, the centre is what both hold: nothing else is common
+    edges, labels = add(links.of(different(few, ["family"], percent)), edges, labels)
+    lists = written(lists_of(several.filter(F.col("members") > FEW), low, percent), "lists")
     for order in (F.struct("f", "node"), F.struct(F.xxhash64("node"), "node")):
         if lists.isEmpty():
             return edges, labels
@@ -141,6 +149,4 @@ def resolve(links, members: DataFrame, sets: DataFrame, edges: DataFrame, labels
         edges, labels = add(found, edges, labels)
         if labels is not before:
             lists = written(still_apart(labelled(lists, labels), "family", "element"), "lists")
-    x, y = (lists.select("family", "element", *[F.col(c).alias(c + k) for c in ("node", "component", "n", "mark")]) for k in "ab")
-    rest = x.join(y, ["family", "element"]).filter("nodea < nodeb and componenta <> componentb").filter(differ_little("a", "b", percent))
-    return add(links.of(rest.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b"))), edges, labels)
+    return add(links.of(different(lists, ["family", "element"], percent)), edges, labels)

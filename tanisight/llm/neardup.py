@@ -259,7 +259,7 @@ def rest_of_links(links: Links, members: DataFrame, nodes: DataFrame, edges: Dat
     left = written(apart(members, labels), "apart")
     if left.isEmpty():
         return edges, labels
-    sets = links.sets(left.select(F.col("node").alias("doc_id")).distinct())
+    sets = links.sets(written(left.select(F.col("node").alias("doc_id")).distinct(), "ids"))
     shared = shared_shingles(sets).join(nodes.select("node", "n_shingles"), "node")
     able = shared.filter(F.col("n_shared") * 100 >= F.col("n_shingles") * links.percent).select("node").distinct()
     left = written(apart(left.select("node", "bucket").join(able, "node"), labels).select("bucket", "node"), "apart")
