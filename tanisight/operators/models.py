@@ -1,32 +1,24 @@
-"""Forecast, size-of-move and timing models with MLlib.
+"""Forecast, size-of-move and timing models.
 
-Training rows are daily: at most one per commodity and calendar day. The matrix is computed once
-and shared by all fits; fits of different commodities run side by side as separate Spark jobs.
-MLlib has no quantile loss and no multi-class boosting, so the size of a move is the boosted
-mean plus quantiles of its walk-forward errors, and the timing model is a random forest.
+Training rows are daily: at most one per commodity and calendar day. All models of a kind, one per commodity and
+fold or quantile, are fitted side by side in one Spark stage (boosting); errors, the choice of a fold's model
+and importances are aggregates over its output.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
-
-from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tanisight.dims import WINDOW_LABELS
+from tanisight.operators.boosting import Pinball, Settings, Softmax, Squared, boost, importances
 from tanisight.operators.dedup import top_rows
 from tanisight.operators.features import (
-    KEY, MATRICES, PRICE, class_weights, feature_matrix, scoring_rows, time_folds,
+    DAY, KEY, MATRICES, PRICE, class_weights, feature_matrix, scoring_rows, time_folds,
 )
-from tanisight.session import materialize, materialize_by
+from tanisight.session import materialize
+
+QUANTILES = {"p10": 0.1, "p50": 0.5, "p90": 0.9}
 
 # Names of the timing features as triggers
 TRIGGERS = {
@@ -48,112 +40,62 @@ TRIGGERS = {
 }
 
 
-def _names(table: DataFrame) -> list[str]:
-    """Commodities of a scoring table, which has one row each."""
-    return sorted(r[0] for r in table.select(KEY).distinct().collect())
-
-
-def _each(spark: SparkSession, names: Sequence[str], work: Callable, parallel: int) -> list:
-    """Run the fits of several commodities side by side; each is a set of Spark jobs."""
-    with ThreadPoolExecutor(parallel) as pool:
-        return list(pool.map(inheritable_thread_target(spark)(work), names))
-
-
-def _booster(features: Sequence[str], target: str, trees: int) -> Pipeline:
-    return Pipeline(
-        stages=[
-            VectorAssembler(inputCols=list(features), outputCol="_x"),
-            GBTRegressor(
-                featuresCol="_x", labelCol=target, predictionCol="_hat", maxIter=trees, maxDepth=4,
-                stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42,
-            ),
-        ]
-    )
-
-
-def _fold_errors(scored: DataFrame, target: str) -> tuple[float, float]:
-    """(MAPE in percent, RMSE) of a test fold."""
-    error = F.col(target) - F.col("_hat")
-    row = scored.agg(
-        (F.avg(F.when(F.col(target) != 0, F.abs(error / F.col(target)))) * 100).alias("mape"),
-        F.sqrt(F.avg(error * error)).alias("rmse"),
-    ).first()
-    return row["mape"], row["rmse"]
-
-
-def _walk_forward(folds: DataFrame, name: str, pipeline: Pipeline, target: str, splits: int):
-    """Fit each fold on all rows before it: [(model, MAPE, RMSE, scored test rows)]."""
-    mine = folds.filter(F.col(KEY) == name)
-    out = []
-    for k in range(splits):
-        part = mine.filter(F.col("fold") == k)
-        model: PipelineModel = pipeline.fit(part.filter(F.col("role") == "train"))
-        scored = model.transform(part.filter(F.col("role") == "test"))
-        out.append((model, *_fold_errors(scored, target), scored))
-    return out
+def _with_newest(rows: DataFrame, newest: DataFrame, **columns) -> DataFrame:
+    """Rows and, with role `new`, the newest row of each commodity; both with the columns."""
+    new = newest.withColumns({"role": F.lit("new"), **columns})
+    return rows.unionByName(new, allowMissingColumns=True)
 
 
-def _mean(values: Sequence[float]) -> float:
-    return sum(values) / len(values)
-
-
-def _spread(values: Sequence[float]) -> float:
-    centre = _mean(values)
-    return math.sqrt(_mean([(v - centre) ** 2 for v in values]))
+def fold_predictions(store: DataFrame, kind: str, loss, settings: Settings, splits: int = 3, strict_reference: bool = False) -> DataFrame:
+    """Predictions of each fold's model for the fold's test rows and for the newest row."""
+    _, features, target = MATRICES[kind]
+    folds = time_folds(feature_matrix(store, kind), splits)
+    every = F.explode(F.array(*[F.lit(k) for k in range(splits)]))
+    rows = _with_newest(folds, scoring_rows(store, kind, strict_reference), fold=every)
+    return boost(rows, [KEY, "fold"], features, target, loss, settings)
 
 
 def forecast(
-    store: DataFrame, kind: str = "7d", trees: int = 200, splits: int = 3, parallel: int = 4,
-    strict_reference: bool = False,
+    store: DataFrame, kind: str = "7d", trees: int = 200, splits: int = 3, strict_reference: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(forecast and errors, feature importance) per commodity.
 
     The fold model with the lowest RMSE scores the newest row.
     """
-    spark = store.sparkSession
-    _, features, target = MATRICES[kind]
-    folds = materialize_by(time_folds(feature_matrix(store, kind), splits), KEY)
-    newest = materialize(scoring_rows(store, kind, strict_reference))
-    pipeline = _booster(features, target, trees)
-
-    def work(name: str):
-        fits = _walk_forward(folds, name, pipeline, target, splits)
-        best = min(fits, key=lambda f: f[2])[0]
-        row = best.transform(newest.filter(F.col(KEY) == name)).select(PRICE, "_hat").first()
-        n = folds.filter((F.col(KEY) == name) & (F.col("fold") == splits - 1)).count()
-        mapes, rmses = [f[1] for f in fits], [f[2] for f in fits]
-        importance = best.stages[-1].featureImportances.toArray()
-        return (
-            (name, float(row[0]), float(row[1]), _mean(mapes), _spread(mapes), _mean(rmses), n),
-            [(name, f, float(v)) for f, v in zip(features, importance)],
-        )
-
-    done = _each(spark, _names(newest), work, parallel)
-    raw = spark.createDataFrame(
-        [d[0] for d in done],
-        f"{KEY} string, price double, hat double, mape_avg double, mape_std double, rmse_avg double, "
-        "training_samples long",
+    features = MATRICES[kind][1]
+    scored = materialize(fold_predictions(store, kind, Squared(), Settings(trees=trees), splits, strict_reference))
+    hat = F.col("predicted")[0]
+    error = F.col("target") - hat
+    tested = scored.filter("role = 'test'").groupBy(KEY, "fold").agg(
+        (F.avg(F.when(F.col("target") != 0, F.abs(error / F.col("target")))) * 100).alias("mape"),
+        F.sqrt(F.avg(error * error)).alias("rmse"),
     )
-    forecasts = raw.select(
+    errors = tested.groupBy(KEY).agg(
+        F.avg("mape").alias("mape_avg"), F.stddev_pop("mape").alias("mape_std"), F.avg("rmse").alias("rmse_avg"),
+        F.min_by("fold", F.struct("rmse", "fold")).alias("fold"),
+    )
+    best = scored.filter("role = 'new'").join(errors, [KEY, "fold"])
+    now = scoring_rows(store, kind, strict_reference).select(KEY, PRICE)
+    known = feature_matrix(store, kind).groupBy(KEY).agg(F.count(F.lit(1)).alias("training_samples"))
+    joined = best.withColumn("hat", hat).join(now, KEY).join(known, KEY)
+    forecasts = joined.select(
         KEY,
-        F.round("price", 0).alias("current_price"),
+        F.round(PRICE, 0).alias("current_price"),
         F.round("hat", 0).alias("forecast"),
-        F.round(F.try_divide(F.col("hat") - F.col("price"), F.col("price")) * 100, 2).alias("change_pct"),
+        F.round(F.try_divide(F.col("hat") - F.col(PRICE), F.col(PRICE)) * 100, 2).alias("change_pct"),
         F.round("mape_avg", 2).alias("mape_avg"),
         F.round("mape_std", 2).alias("mape_std"),
         F.round("rmse_avg", 0).alias("rmse_avg"),
         "training_samples",
     )
-    importance = spark.createDataFrame(
-        [x for d in done for x in d[1]], f"{KEY} string, feature string, importance double"
-    )
-    return forecasts, importance
+    chosen = scored.filter("row = 0").join(errors.select(KEY, "fold"), [KEY, "fold"], "left_semi")
+    return forecasts, importances(chosen, [KEY], features)
 
 
-def forecast_table(store: DataFrame, trees: int = 200, parallel: int = 4) -> DataFrame:
+def forecast_table(store: DataFrame, trees: int = 200) -> DataFrame:
     """Seven- and fourteen-row forecasts, changes, and the interval forecast +- RMSE."""
-    week, _ = forecast(store, "7d_calendar", trees, parallel=parallel)
-    fortnight, _ = forecast(store, "14d", trees, parallel=parallel)
+    week, _ = forecast(store, "7d_calendar", trees)
+    fortnight, _ = forecast(store, "14d", trees)
     later = fortnight.select(KEY, F.col("forecast").alias("forecast_14d"))
     joined = week.join(later, KEY, "left").withColumns(
         {"forecast_7d": F.col("forecast"), "forecast_14d": F.coalesce("forecast_14d", "forecast")}
@@ -176,74 +118,45 @@ def ranked_importance(importance: DataFrame, k: int | None = None) -> DataFrame:
     return ranked.withColumnRenamed("_rank", "rank")
 
 
-def magnitude(store: DataFrame, trees: int = 150, splits: int = 3, parallel: int = 4) -> DataFrame:
-    """10/50/90 % quantiles of the seven-row move, in rupiah and percent."""
-    spark = store.sparkSession
-    _, features, target = MATRICES["magnitude"]
-    folds = materialize_by(time_folds(feature_matrix(store, "magnitude"), splits), KEY)
-    newest = materialize(scoring_rows(store, "magnitude"))
-    pipeline = _booster(features, target, trees)
-    levels = F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9))
-
-    def work(name: str):
-        fits = _walk_forward(folds, name, pipeline, target, splits)
-        row = fits[-1][0].transform(newest.filter(F.col(KEY) == name)).select(PRICE, "_hat").first()
-        errors = None
-        for *_, scored in fits:
-            part = scored.select((F.col(target) - F.col("_hat")).alias("e"), PRICE)
-            errors = part if errors is None else errors.unionByName(part)
-        q = errors.agg(
-            F.percentile("e", levels).alias("rp"), F.percentile(F.col("e") / F.col(PRICE) * 100, levels).alias("pct")
-        ).first()
-        hat, share = float(row["_hat"]), float(row["_hat"]) / float(row[PRICE]) * 100
-        return (name, *[hat + e for e in q["rp"]], *[share + e for e in q["pct"]])
-
-    columns = [f"rpkg_{p}" for p in ("p10", "p50", "p90")] + [f"pct_{p}" for p in ("p10", "p50", "p90")]
-    rows = spark.createDataFrame(
-        _each(spark, _names(newest), work, parallel), f"{KEY} string, " + ", ".join(f"{c} double" for c in columns)
-    )
-    return rows.select(KEY, *[F.round(c, 0 if c.startswith("rpkg") else 2).alias(c) for c in columns])
-
+def magnitude(store: DataFrame, trees: int = 150) -> DataFrame:
+    """10/50/90 % quantiles of the seven-row move, in rupiah and percent, by quantile loss on all known moves.
 
-def timing(store: DataFrame, trees: int = 200, parallel: int = 4) -> DataFrame:
+    Each quantile is a model of its own; the three values of a row are put in rising order.
+    """
+    _, features, target = MATRICES["magnitude"]
+    known = feature_matrix(store, "magnitude")
+    moves = F.explode(F.array(
+        F.struct(F.lit("rpkg").alias("unit"), F.col(target).cast("double").alias("move")),
+        F.struct(F.lit("pct").alias("unit"), F.col("target_change_pct").cast("double").alias("move"))))
+    levels = F.explode(F.array(*[F.lit(q) for q in QUANTILES.values()]))
+    rows = known.withColumns({"role": F.lit("train"), "m": moves}).select("*", "m.unit", "m.move").drop("m")
+    new = scoring_rows(store, "magnitude").withColumns({"role": F.lit("new"), "unit": F.explode(F.array(F.lit("rpkg"), F.lit("pct")))})
+    both = rows.unionByName(new, allowMissingColumns=True).withColumn("level", levels)
+    scored = boost(both, [KEY, "unit", "level"], features, "move", lambda key: Pinball(key[2]), Settings(trees=trees, rows=1.0, columns=1.0))
+    sorted_ = scored.groupBy(KEY, "unit").agg(F.array_sort(F.collect_list(F.col("predicted")[0])).alias("q"))
+    wide = sorted_.groupBy(KEY).agg(*[
+        F.max(F.when(F.col("unit") == unit, F.round(F.col("q")[i], places))).alias(f"{unit}_{name}")
+        for unit, places in (("rpkg", 0), ("pct", 2)) for i, name in enumerate(QUANTILES)])
+    return wide
+
+
+def timing(store: DataFrame, trees: int = 200) -> DataFrame:
     """Window of the next spike per commodity, with the probability of each window."""
-    spark = store.sparkSession
-    _, features, _ = MATRICES["timing"]
+    _, features, target = MATRICES["timing"]
     matrix = feature_matrix(store, "timing")
-    weights = class_weights(matrix).select(KEY, "target_class", "weight")
-    classes = {"ml_attr": {"type": "nominal", "vals": [str(c) for c in WINDOW_LABELS]}}
-    weighted = materialize_by(
-        matrix.join(weights, [KEY, "target_class"]).withColumn("target_class", F.col("target_class").cast("double")),
+    weights = class_weights(matrix).select(KEY, target, "weight")
+    rows = _with_newest(matrix.join(weights, [KEY, target]).withColumn("role", F.lit("train")), scoring_rows(store, "timing"))
+    scored = materialize(boost(rows, [KEY], features, target, Softmax(len(WINDOW_LABELS)), Settings(trees=trees), "weight"))
+    labels = F.array(*[F.lit(WINDOW_LABELS[c]) for c in range(len(WINDOW_LABELS))])
+    p = F.col("predicted")
+    best = F.array_max(p)
+    top = top_rows(importances(scored, [KEY], features), [KEY], [F.col("importance").desc(), F.col("feature")], 3)
+    names = F.coalesce(F.create_map(*[F.lit(x) for kv in TRIGGERS.items() for x in kv])[F.col("feature")], F.col("feature"))
+    triggers = top.groupBy(KEY).agg(F.array_sort(F.collect_list(F.struct("_rank", names.alias("name")))).alias("t")).select(
+        KEY, F.array_join(F.col("t.name"), ", ").alias("key_triggers"))
+    return scored.select(
         KEY,
-    ).withColumn("target_class", F.col("target_class").alias("target_class", metadata=classes))
-    newest = materialize(scoring_rows(store, "timing"))
-    forest = Pipeline(
-        stages=[
-            VectorAssembler(inputCols=list(features), outputCol="_x"),
-            RandomForestClassifier(
-                featuresCol="_x", labelCol="target_class", weightCol="weight", numTrees=trees, maxDepth=4,
-                subsamplingRate=0.8, seed=42, probabilityCol="_p",
-            ),
-        ]
-    )
-
-    def work(name: str):
-        model = forest.fit(weighted.filter(F.col(KEY) == name))
-        row = model.transform(newest.filter(F.col(KEY) == name)).select(vector_to_array("_p").alias("p")).first()
-        p = [float(v) for v in row["p"]]
-        best = max(range(len(p)), key=lambda i: p[i])
-        weight = model.stages[-1].featureImportances.toArray()
-        top = sorted(range(len(features)), key=lambda i: -weight[i])[:3]
-        triggers = ", ".join(TRIGGERS.get(features[i], features[i]) for i in top)
-        return (name, WINDOW_LABELS[best], *p, p[best], triggers)
-
-    names = [f"p_window_{c}" for c in WINDOW_LABELS]
-    rows = spark.createDataFrame(
-        _each(spark, _names(newest), work, parallel),
-        f"{KEY} string, predicted_window string, " + ", ".join(f"{n} double" for n in names)
-        + ", confidence double, key_triggers string",
-    )
-    return rows.select(
-        KEY, "predicted_window", *[F.round(n, 3).alias(n) for n in names],
-        F.round("confidence", 3).alias("confidence"), "key_triggers",
-    )
+        F.element_at(labels, F.array_position(p, best).cast("int")).alias("predicted_window"),
+        *[F.round(p[c], 3).alias(f"p_window_{c}") for c in range(len(WINDOW_LABELS))],
+        F.round(best, 3).alias("confidence"),
+    ).join(triggers, KEY)

@@ -52,23 +52,15 @@ def test_timing_probabilities(spark, store):
 def test_registered_queries_fit_the_full_number_of_trees(spark, monkeypatch):
     from tanisight.plans.registry import models as registry
 
-    seen = []
-
     class Stop(Exception):
         pass
 
-    def booster(features, target, trees):
-        seen.append(trees)
-        raise Stop
-
-    def forest(**settings):
-        seen.append(settings["numTrees"])
-        raise Stop
+    def boosted(rows, by, features, target, loss, settings, weight=None):
+        raise Stop(settings.trees)
 
     monkeypatch.setattr(registry, "_store", lambda spark, sf: spark.createDataFrame(series(150, seed=11, names=("a",), gaps=False)))
-    monkeypatch.setattr(models, "_booster", booster)
-    monkeypatch.setattr(models, "RandomForestClassifier", forest)
-    for name, query in registry.QUERIES.items():
-        with pytest.raises(Stop):
+    monkeypatch.setattr(models, "boost", boosted)
+    for name, query in registry.FITTED.items():
+        with pytest.raises(Stop) as seen:
             query(spark, "")
-        assert seen.pop() == (150 if name == "magnitude_quantiles" else 200), name
+        assert seen.value.args == (150 if name == "magnitude_quantiles" else 200,), name
