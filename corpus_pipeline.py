@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tanisight.llm import exact, neardup, packing, substrings, toxicity
-from tanisight.llm.common import as_bytes, slices
+from tanisight.llm.common import as_bytes, small_slices
 from tanisight.llm.queries import BYTE_BPE, held, table
 from tanisight.session import materialize, scratch_path, ship_package
 
@@ -28,29 +28,38 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = spark.sparkContext.broadcast(machine)
 
     def clean(batches):
-        for batch in slices(batches, 2000):
+        for batch in small_slices(batches, 2000):
             yield batch.filter(pa.array(model.value.scores(as_bytes(batch)) < TOXIC))
 
     return docs.mapInArrow(clean, docs.schema)
 
 
+def fresh(docs: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores put before those that the table has already."""
+    taken = {c.lower() for c in docs.columns}
+    return [next(n for k in range(len(taken) + 1) if (n := "_" * k + name).lower() not in taken) for name in names]
+
+
 def keep(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
     """Documents with a kept verdict. Rows that repeat a doc_id and its text become one row."""
-    per_id = materialize(verdicts.groupBy(F.col("doc_id").alias("_id")).agg(F.max("kept").alias("_kept"), F.count("*").alias("_rows")))
-    dropped, again = per_id.filter("not _kept").select("_id"), per_id.filter("_kept and _rows > 1").select("_id")
-    stay = docs.join(dropped, docs["doc_id"].eqNullSafe(dropped["_id"]), "left_anti")
+    own, = fresh(docs, "id")
+    per_id = materialize(verdicts.groupBy(F.col("doc_id").alias(own)).agg(F.max("kept").alias("kept"), F.count("*").alias("rows")))
+    dropped, again = per_id.filter("not kept").select(own), per_id.filter("kept and rows > 1").select(own)
+    stay = docs.join(dropped, docs["doc_id"].eqNullSafe(dropped[own]), "left_anti")
     if again.isEmpty():
         return stay
-    same = stay["doc_id"].eqNullSafe(again["_id"])
+    same = stay["doc_id"].eqNullSafe(again[own])
     return stay.join(again, same, "left_anti").union(stay.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that are equal but for the case of A-Z, the one of the largest doc_id. Null counts as empty text."""
     ship_package(spark)
     return keep(docs, exact.deduplicate(spark, docs).select("doc_id", "kept"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by 80 percent of shared five-word shingles, the one of the smallest doc_id. Those without a word stay."""
     return keep(docs, neardup.link_copies(spark, docs, NEAR).select("doc_id", "kept"))
 
 
@@ -60,16 +69,18 @@ def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     A text that loses nothing stays as it is; otherwise its words are joined by one space, and n_chars,
     if there, is counted anew. Of rows that share a doc_id each loses its own passages.
     """
-    found = materialize(substrings.remove_repeats(spark, docs, with_text=True).filter("n_removed > 0").select(F.col("doc_id").alias("_id"), F.col("text_kept").alias("_text"), F.col("row").alias("_row")))
-    once = found.groupBy("_id", "_row").agg(F.first("_text").alias("_text"))
-    joined = docs.join(once, (docs["doc_id"] == F.col("_id")) & (substrings.row_key(docs) == F.col("_row")), "left").filter("_text is null or _text <> ''")
-    new = {"text": F.coalesce("_text", "text")}
+    own, cut, row = fresh(docs, "id", "cut", "row")
+    lost = substrings.remove_repeats(spark, docs, with_text=True).filter("n_removed > 0")
+    found = materialize(lost.groupBy(F.col("doc_id").alias(own), F.col("row").alias(row)).agg(F.first("text_kept").alias(cut)))
+    joined = docs.join(found, (docs["doc_id"] == found[own]) & (substrings.row_key(docs) == found[row]), "left").filter(f"{cut} is null or {cut} <> ''")
+    new = {"text": F.coalesce(cut, "text")}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("_text").isNotNull(), F.char_length("_text").cast("long")).otherwise(F.col("n_chars"))
+        new["n_chars"] = F.when(F.col(cut).isNotNull(), F.char_length(cut).cast("long")).otherwise(F.col("n_chars"))
     return joined.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of at most 2048 tokens."""
     ship_package(spark)
     return packing.pack(docs, BYTE_BPE)
 
@@ -82,7 +93,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: Models and near duplicates cannot be stated in SQL; tests compare each stage with brute force.
+#: A fitted model and packing cannot be stated in SQL; tests compare the stages, one by one and as a run, with plain loops.
 ORACLE_SQL = None
 
 
