@@ -72,22 +72,28 @@ def has_runs(text: str, data: bytes) -> bool:
 
 
 class Cache(dict):
-    """Part -> ids as bytes. Emptied when full, which only costs time."""
+    """Part -> ids as bytes. Emptied when it would hold over LIMIT parts or SIZE bytes of parts and ids; that
+    only costs time."""
 
-    LIMIT = 400_000
+    LIMIT = 100_000
+    SIZE = 16 << 20
 
     def __init__(self, learn):
         super().__init__()
-        self.learn = learn
+        self.learn, self.size = learn, 0
 
     def ids(self, parts: list) -> list[bytes]:
         found = list(map(self.get, parts))
         if None in found:
             new = [p for p, x in zip(parts, found, strict=True) if x is None]
-            if len(self) + len(new) > self.LIMIT:
-                self.clear()
             learned = dict(zip(new, self.learn(new), strict=True))
-            self.update(learned)
+            size = sum(map(len, learned)) + sum(map(len, learned.values()))
+            if len(self) + len(new) > self.LIMIT or self.size + size > self.SIZE:
+                self.clear()
+                self.size = 0
+            if size <= self.SIZE:
+                self.update(learned)
+                self.size += size
             found = [learned[p] if x is None else x for p, x in zip(parts, found, strict=True)]
         return found
 
@@ -234,7 +240,8 @@ _OPEN: dict[tuple[str, type], Encoder] = {}
 
 
 def encoder(path: str, kind: type[Encoder]) -> Encoder:
-    """One encoder per worker process, kept between tasks."""
+    """The encoder of this worker process, kept between the tasks of a stage; only the last one used is kept."""
     if (path, kind) not in _OPEN:
+        _OPEN.clear()
         _OPEN[path, kind] = kind(path)
     return _OPEN[path, kind]

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tanisight.llm.common import as_bytes, id_and_text, slices
+from tanisight.llm.common import as_bytes, id_and_text, small_slices
 from tanisight.llm.encoding import ByteEncoder, encoder
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
@@ -118,7 +118,7 @@ def pack(docs: DataFrame, path: str, size: int = 2048, end_id: int = 1, with_ids
         windows = Windows(size, TaskContext.get().partitionId() << 33)
         end = end_id.to_bytes(WORD, "little")
         block = size * WORD
-        for batch in slices(batches, 4000):
+        for batch in small_slices(batches, 4000):
             for doc, ids in zip(batch.column("doc_id").to_pylist(), found.encode(as_bytes(batch)), strict=True):
                 ids = ids.tobytes() + end
                 total = len(ids) // WORD

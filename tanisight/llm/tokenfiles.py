@@ -161,7 +161,8 @@ def read(manifest: DataFrame) -> DataFrame:
                     ], ["part", "doc_id", "start_in_part", "n_tokens", "ids_crc32"])
                 file.close()
 
-    return manifest.select("part", "folder").repartition("part").mapInArrow(run, SPANS)
+    tasks = max(1, min(manifest.count(), 10_000))  # a fixed number: the manifest is so small that Spark would read all files in one task
+    return manifest.select("part", "folder").repartition(tasks, "part").mapInArrow(run, SPANS)
 
 
 def saved(spark: SparkSession, docs: DataFrame, path: str, **options) -> DataFrame:
