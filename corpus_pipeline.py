@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tanisight.llm import exact, neardup, packing, substrings, toxicity
-from tanisight.llm.common import as_bytes, small_slices
+from tanisight.llm.common import as_bytes, small_slices, written
 from tanisight.llm.queries import BYTE_BPE, held, table
-from tanisight.session import materialize, scratch_path, ship_package
+from tanisight.session import materialize, scratch_path, scratch_scope, ship_package
 
 TOXIC = 0.7
 NEAR = 80  # percent of shared shingles from which the later of two texts goes
@@ -40,10 +40,12 @@ def fresh(docs: DataFrame, *names: str) -> list[str]:
     return [next(n for k in range(len(taken) + 1) if (n := "_" * k + name).lower() not in taken) for name in names]
 
 
-def keep(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Documents with a kept verdict. Rows that repeat a doc_id and its text become one row."""
+def keep(docs: DataFrame, judge) -> DataFrame:
+    """Documents that judge() marks as kept. Rows that repeat a doc_id and its text become one row."""
     own, = fresh(docs, "id")
-    per_id = materialize(verdicts.groupBy(F.col("doc_id").alias(own)).agg(F.max("kept").alias("kept"), F.count("*").alias("rows")))
+    with scratch_scope(docs.sparkSession):
+        verdicts = judge()
+        per_id = materialize(verdicts.groupBy(F.col("doc_id").alias(own)).agg(F.max("kept").alias("kept"), F.count("*").alias("rows")))
     dropped, again = per_id.filter("not kept").select(own), per_id.filter("kept and rows > 1").select(own)
     stay = docs.join(dropped, docs["doc_id"].eqNullSafe(dropped[own]), "left_anti")
     if again.isEmpty():
@@ -55,28 +57,32 @@ def keep(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that are equal but for the case of A-Z, the one of the largest doc_id. Null counts as empty text."""
     ship_package(spark)
-    return keep(docs, exact.deduplicate(spark, docs).select("doc_id", "kept"))
+    return keep(docs, lambda: exact.deduplicate(spark, docs).select("doc_id", "kept"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by 80 percent of shared five-word shingles, the one of the smallest doc_id. Those without a word stay."""
-    return keep(docs, neardup.link_copies(spark, docs, NEAR).select("doc_id", "kept"))
+    return keep(docs, lambda: neardup.link_copies(spark, docs, NEAR).select("doc_id", "kept"))
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that an earlier document holds; texts of which nothing is left go.
 
     A text that loses nothing stays as it is; otherwise its words are joined by one space, and n_chars,
-    if there, is counted anew. Of rows that share a doc_id each loses its own passages.
+    if there, is counted anew. Of rows that share a doc_id each loses its own passages. Only rows that lose
+    something are joined with their new texts; the others are told by their keys.
     """
-    own, cut, row = fresh(docs, "id", "cut", "row")
-    lost = substrings.remove_repeats(spark, docs, with_text=True).filter("n_removed > 0")
-    found = materialize(lost.groupBy(F.col("doc_id").alias(own), F.col("row").alias(row)).agg(F.first("text_kept").alias(cut)))
-    joined = docs.join(found, (docs["doc_id"] == found[own]) & (substrings.row_key(docs) == found[row]), "left").filter(f"{cut} is null or {cut} <> ''")
-    new = {"text": F.coalesce(cut, "text")}
+    own, row, cut = fresh(docs, "id", "row", "cut")
+    with scratch_scope(spark):
+        lost = substrings.remove_repeats(spark, docs, with_text=True).filter("n_removed > 0")
+        found = materialize(lost.groupBy(F.col("doc_id").alias(own), F.col("row").alias(row)).agg(F.first("text_kept").alias(cut)))
+    keys = written(found.select(own, row), "keys")
+    touched = (docs["doc_id"] == keys[own]) & (substrings.row_key(docs) == keys[row])
+    changed = docs.join(keys, touched, "inner").drop("text").join(found, [own, row]).filter(f"{cut} <> ''")
+    new = {"text": F.col(cut)}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col(cut).isNotNull(), F.char_length(cut).cast("long")).otherwise(F.col("n_chars"))
-    return joined.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
+        new["n_chars"] = F.char_length(cut).cast("long")
+    return docs.join(keys, touched, "left_anti").union(changed.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns]))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL_FOLDERS: dict[str, str] = {}
 _SHIPPED: set[str] = set()
+_SCOPES: list[list[str]] = []
 
 
 def build_session(app_name: str = "tanisight", master: str | None = None, **conf: str) -> SparkSession:
@@ -71,8 +75,31 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/scratch/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below the shared folder. It belongs to the innermost open scratch_scope, if there is one."""
+    path = f"{shared_folder(spark)}/scratch/{name}-{uuid.uuid4().hex[:12]}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end the scratch paths made within. What is needed later must be materialized inside.
+
+    Dropped references also let Spark's cleaner remove the shuffle files of finished work.
+    """
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(made)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for name in made:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
+        gc.collect()
+        spark.sparkContext._jvm.java.lang.System.gc()
 
 
 def materialize(df: DataFrame) -> DataFrame:
