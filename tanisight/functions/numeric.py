@@ -103,6 +103,11 @@ def spread_agg(x: Column | str, scale: int = 2) -> tuple[Column, Column, Column]
     return _spread(scaled(x, scale), None)
 
 
+def spread_over(x: Column | str, w: WindowSpec, scale: int = 2) -> tuple[Column, Column, Column]:
+    """(n, sum, n * sum of squares - sum^2) over a frame."""
+    return _spread(scaled(x, scale), w)
+
+
 def fixed_sum(x: Column | str, digits: int = 8) -> Column:
     """Sum of values cut to ``digits`` decimals; independent of row order."""
     factor = float(10**digits)

@@ -14,7 +14,7 @@ KEY = "komoditas"
 TITLE = "=== RINGKASAN KONDISI PANGAN TERKINI ==="
 RISK_HEADING = "--- Indeks Risiko Lonjakan Harga ---"
 FORECAST_HEADING = "--- Prediksi Harga 7 Hari ke Depan ---"
-NEWS_HEADING = "--- Sinyal Berita Signifikan (velocity ≥ 2×) ---"
+NEWS_HEADING = "--- Sinyal Berita Signifikan (velocity ≥ {}×) ---"
 
 # Recommendation texts per audience. {} takes the list of commodities.
 CALM = {
@@ -70,11 +70,13 @@ def _section(df: DataFrame, section: int, line: Column) -> DataFrame:
 
 
 def report_lines(
-    risk: DataFrame, forecast: DataFrame, velocity: DataFrame, commodities: DataFrame, as_of: str
+    risk: DataFrame, forecast: DataFrame, velocity: DataFrame, commodities: DataFrame, as_of: str,
+    fast_at: float = 2.0,
 ) -> DataFrame:
     """Lines of the situation report as rows (section, position, line).
 
-    ``commodities`` has (komoditas, label, position). The tables hold one row per commodity.
+    ``commodities`` has (komoditas, label, position). The tables hold one row per commodity. News of a
+    velocity of ``fast_at`` or more have a section.
     """
     spark = risk.sparkSession
     named = commodities.select(KEY, "label", "position")
@@ -101,9 +103,9 @@ def report_lines(
     news_line = F.concat(
         F.lit("• "), "label", F.lit(": velocity="), one_decimal(rnd("velocity", 1)), F.lit("x rata-rata 7 hari")
     )
-    fast = velocity.filter(F.col("velocity") >= 2.0)
+    fast = velocity.filter(F.col("velocity") >= fast_at)
     heading = fast.limit(1).select(
-        F.explode(F.array(F.struct(F.lit(0), F.lit("")), F.struct(F.lit(1), F.lit(NEWS_HEADING)))).alias("h")
+        F.explode(F.array(F.struct(F.lit(0), F.lit("")), F.struct(F.lit(1), F.lit(NEWS_HEADING.format(f"{fast_at:g}"))))).alias("h")
     ).select(F.lit(6).alias("section"), F.col("h.col1").alias("position"), F.col("h.col2").alias("line"))
     parts = [
         day,

@@ -114,12 +114,16 @@ def run_gold(spark: SparkSession, lake: str, as_of: str) -> DataFrame:
     return saved
 
 
-def run_news(spark: SparkSession, lake: str, as_of: str) -> tuple[DataFrame, DataFrame]:
-    """(signals, velocity per commodity) from the silver articles."""
+def _signals(spark: SparkSession, lake: str) -> DataFrame:
     articles = _table(spark, lake, "silver", "silver_news", schemas.NEWS + ", date_parsed date")
     path = f"{lake}/export/nlp_signals"
     news.extract_signals(articles, dims.NEWS).write.mode("overwrite").parquet(path)
-    signals = spark.read.parquet(path)
+    return spark.read.parquet(path)
+
+
+def run_news(spark: SparkSession, lake: str, as_of: str) -> tuple[DataFrame, DataFrame]:
+    """(signals, velocity per commodity) from the silver articles."""
+    signals = _signals(spark, lake)
     return signals, news.keyword_velocity(signals, dims.commodity_table(spark), as_of)
 
 
@@ -142,6 +146,19 @@ def run_risk(spark: SparkSession, lake: str, as_of: str) -> DataFrame:
     return spark.read.parquet(f"{lake}/export/risk_index")
 
 
+def run_risk_history(spark: SparkSession, lake: str) -> DataFrame:
+    """Risk index of every commodity and day of the feature store, as known on that day. Lead times are
+    taken from it and from the days that ``run_risk`` was run for."""
+    store = snapshots.read_version(spark, f"{lake}/gold/feature_store").select("komoditas", "date_parsed", "avg_price")
+    weather = _table(spark, lake, "bronze", "weather", schemas.WEATHER)
+    index = risk.daily_risk_index(
+        store, weather.withColumn("date_parsed", clean.record_date(weather)), dims.region_table(spark),
+        news.mentions_daily(_signals(spark, lake)),
+    )
+    index.write.mode("overwrite").parquet(f"{lake}/export/risk_history")
+    return spark.read.parquet(f"{lake}/export/risk_history")
+
+
 def run_forecast(spark: SparkSession, lake: str, trees: int = 200) -> DataFrame:
     """Forecast table of all commodities with enough history."""
     store = snapshots.read_version(spark, f"{lake}/gold/feature_store")
@@ -169,11 +186,14 @@ def _forecasts(spark: SparkSession, lake: str) -> DataFrame:
 
 def run_evaluation(spark: SparkSession, lake: str) -> DataFrame:
     """Error of the forecast next to the baseline's (without a forecast, the baseline alone), and the lead
-    time of the risk indexes of the days that ``run_risk`` was run for."""
+    time of the risk indexes kept by ``run_risk_history`` and ``run_risk``."""
     store = snapshots.read_version(spark, f"{lake}/gold/feature_store")
     errors = _forecasts(spark, lake).select("komoditas", F.col("model_mape").alias("mape_avg"), "rmse_avg")
     report = evaluate.model_vs_baseline(errors, evaluate.naive_backtest(store))
-    indexes = tables.read_table(spark, f"{lake}/export/risk_daily", schemas.schema(spark, RISK_DAILY))
+    kept = schemas.schema(spark, RISK_DAILY)
+    indexes = clean.union_sources(
+        [tables.read_table(spark, f"{lake}/export/{name}", kept).select(*kept.names) for name in ("risk_history", "risk_daily")]
+    )
     leads = evaluate.lead_times(*evaluate.spike_and_alert_days(store, indexes))
     report = report.join(evaluate.lead_time_stats(leads, report), "komoditas")
     report.write.mode("overwrite").parquet(f"{lake}/export/evaluation")

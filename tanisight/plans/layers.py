@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tanisight.functions.numeric import clamp, exact_sum, rnd
+from tanisight.functions.numeric import exact_sum, rnd
 from tanisight.operators import clean, evaluate, features, gold, news, risk
 from tanisight.operators.dedup import top_rows
 from tanisight.plans import standins
@@ -98,11 +98,19 @@ def risk_index(
     )
 
 
-def daily_risk(spark: SparkSession, sf: str) -> DataFrame:
-    """A risk value per commodity and day: 50 plus the seven-row change, within 0-100."""
-    moves = daily(spark, sf).withColumns({f"p{n}": features.change(n) for n in (3, 7, 14)})
-    index = F.coalesce(rnd(clamp(F.col("p7") + 50, 0, 100), 2), F.lit(50.0))
-    return moves.withColumn("risk_index", index).withColumn("level", risk.risk_level(F.col("risk_index")))
+def moves(spark: SparkSession, sf: str, prices: DataFrame | None = None) -> DataFrame:
+    """Daily prices with their changes over 3, 7 and 14 rows."""
+    prices = daily(spark, sf) if prices is None else prices
+    return prices.withColumns({f"p{n}": features.change(n) for n in (3, 7, 14)})
+
+
+def daily_risk(spark: SparkSession, sf: str, prices: DataFrame | None = None) -> DataFrame:
+    """The risk index of every commodity and day, as known on that day."""
+    weather = standins.weather(spark, sf).withColumn("date_parsed", F.col("ingestion_ts"))
+    mentions = news.mentions_daily(signals(spark, sf))
+    return risk.daily_risk_index(
+        moves(spark, sf, prices), weather, standins.regions(spark, sf), mentions, "seen_at", "event_id"
+    )
 
 
 def forecast(prices: DataFrame) -> DataFrame:

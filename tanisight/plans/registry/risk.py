@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tanisight.functions.numeric import clamp, exact_sum, rnd as r
+from tanisight.dims import AlertSettings, RiskSettings
+from tanisight.functions.numeric import clamp, rnd as r
 from tanisight.operators import alerts, evaluate, features as ft, gold, reports, risk, views
 from tanisight.plans import layers, standins
 from tanisight.plans.layers import AS_OF
@@ -17,8 +18,10 @@ from tanisight.plans.views_sql import clamp as clamp_sql, esum, pct, rnd, sql, v
 KEY, DAY = "komoditas", "date_parsed"
 
 
-def _flat(column):
-    return lambda s, d: layers.risk_index(s, d).select(KEY, column)
+# The given tables are calm, so some queries use lower marks than the defaults.
+LOW_ALERTS = AlertSettings(risk_warning=35.0, risk_high=45.0, risk_critical=55.0)
+LOW_LEVELS = RiskSettings(levels={"KRITIS": 70.0, "SIAGA": 50.0, "WASPADA": 30.0})
+FAST_AT = 1.0
 
 
 def _price_signal(spark, sf):
@@ -53,9 +56,9 @@ def _alert_rows(spark, sf):
 
 def _due(spark, sf):
     prices = layers.series(spark, sf)
-    index = layers.risk_index(spark, sf, prices).withColumn("risk_index", F.col("risk_index") + 25)
     return alerts.due_alerts(
-        layers.commodities(spark), index, layers.forecast(prices), layers.top_phrases(spark, sf)
+        layers.commodities(spark), layers.risk_index(spark, sf, prices), layers.forecast(prices),
+        layers.top_phrases(spark, sf), LOW_ALERTS,
     )
 
 
@@ -85,8 +88,7 @@ def _capped(spark, sf, prices=None):
 
 def _current(spark, sf):
     prices = layers.series(spark, sf)
-    some = _capped(spark, sf, prices).filter(~F.col(KEY).isin("SMALL", "STANDARD"))
-    return views.current_prices(some, prices)
+    return views.current_prices(_capped(spark, sf, prices), prices)
 
 
 def _fused(spark, sf):
@@ -109,23 +111,27 @@ def _prediction(spark, sf):
 
 
 def _directions(spark, sf):
-    d = layers.daily_risk(spark, sf)
+    d = layers.moves(spark, sf)
     return views.direction_counts(d.select(clamp("p3", -10, 10).alias("change_pct")))
 
 
 def _report(spark, sf):
     prices = layers.series(spark, sf)
     speed = materialize(layers.velocity(spark, sf))
-    # Velocities doubled, so that some pass the mark of 2.
-    fast = speed.withColumn("velocity", F.col("velocity") * 2)
     return reports.report_lines(
-        layers.risk_index(spark, sf, prices, speed), layers.forecast(prices), fast, layers.commodities(spark), AS_OF
+        layers.risk_index(spark, sf, prices, speed), layers.forecast(prices), speed, layers.commodities(spark), AS_OF,
+        FAST_AT,
     )
 
 
 def _ranked(spark, sf):
-    levels = layers.risk_index(spark, sf).withColumn("risk_index", F.col("risk_index") + 10)
-    return risk.high_risk(levels.withColumn("level", risk.risk_level(F.col("risk_index"))))
+    levels = layers.risk_index(spark, sf)
+    return risk.high_risk(levels.withColumn("level", risk.risk_level(F.col("risk_index"), LOW_LEVELS)))
+
+
+def _lead(spark, sf):
+    prices = layers.series(spark, sf)
+    return evaluate.lead_times(*evaluate.spike_and_alert_days(prices, layers.daily_risk(spark, sf, prices)))
 
 
 def _model(prices):
@@ -194,7 +200,11 @@ QUERIES = {
     "commodity_view": _commodity_view,
     "evaluation_view": _evaluation_view,
     "sentra_risk_map": lambda s, d: views.region_risk(
-        standins.regions(s, d), layers.risk_index(s, d).filter(F.col(KEY) != "PROMO")),
+        standins.regions(s, d), layers.risk_index(s, d)),
+    "daily_risk_index": lambda s, d: layers.daily_risk(s, d).select(
+        KEY, DAY, "price_signal", "weather_signal", "news_signal", "risk_index", "level"),
+    "asof_lead_time": _lead,
+    "lead_time_stats": lambda s, d: evaluate.lead_time_stats(_lead(s, d), layers.commodities(s)),
     "last_n_rows": lambda s, d: views.last_rows(layers.daily(s, d), 200),
     "history_30": lambda s, d: views.history(layers.daily(s, d)),
     "fx_history_60": lambda s, d: views.fx_history(_fx_store(s, d)),
@@ -222,21 +232,21 @@ FROM dim LEFT JOIN (SELECT komoditas, {_mom} AS m, {_z} AS z FROM (
         WHERE avg_price <> 0) WHERE rn <= 30 GROUP BY 1)) USING (komoditas)""", "dim", "series")
 view("latest_wx", """
 SELECT * FROM s_wx QUALIFY row_number() OVER (PARTITION BY sentra ORDER BY seen_at DESC, event_id) = 1""", "s_wx")
+_wx_score = """least(CASE WHEN coalesce(precipitation, 0) > 50 THEN 50.0 ELSE 0.0 END
+         + CASE WHEN weather_code >= 80 THEN 40.0 WHEN weather_code >= 60 THEN 20.0 ELSE 0.0 END
+         + CASE WHEN temperature_2m >= 35 THEN 15.0 WHEN temperature_2m <= 15 THEN 10.0 ELSE 0.0 END, 100.0)::DOUBLE"""
 view("weather_signal", f"""
 SELECT dim.komoditas, coalesce(v, 0.0) AS weather_signal FROM dim LEFT JOIN (
   SELECT komoditas, {rnd(esum('score * bobot', 4) + ' / ' + esum('bobot', 4))} AS v
-  FROM s_sentra JOIN (SELECT sentra, least(CASE WHEN coalesce(precipitation, 0) > 50 THEN 50.0 ELSE 0.0 END
-         + CASE WHEN weather_code >= 80 THEN 40.0 WHEN weather_code >= 60 THEN 20.0 ELSE 0.0 END
-         + CASE WHEN temperature_2m >= 35 THEN 15.0 WHEN temperature_2m <= 15 THEN 10.0 ELSE 0.0 END, 100.0)::DOUBLE
-         AS score FROM latest_wx) ON nama = sentra GROUP BY 1) USING (komoditas)""",
+  FROM s_sentra JOIN (SELECT sentra, {_wx_score} AS score FROM latest_wx) ON nama = sentra GROUP BY 1) USING (komoditas)""",
      "dim", "s_sentra", "latest_wx")
 view("news_signal", f"""
 SELECT komoditas, {rnd("0.6::DOUBLE * least(100.0, velocity / 3 * 100) + 0.4::DOUBLE * least(100.0, avg_score / 15 * 100)")}
        AS news_signal FROM velocity""", "velocity")
 
 
-def _level(x):
-    return f"CASE WHEN {x} >= 80 THEN 'KRITIS' WHEN {x} >= 60 THEN 'SIAGA' WHEN {x} >= 40 THEN 'WASPADA' ELSE 'AMAN' END"
+def _level(x, s=RiskSettings()):
+    return "CASE " + " ".join(f"WHEN {x} >= {v} THEN '{n}'" for n, v in s.levels.items()) + f" ELSE '{s.lowest}' END"
 
 
 view("risk", f"""
@@ -250,15 +260,53 @@ def _chg(n):
     return pct("avg_price", f"lag(avg_price, {n}) OVER (w0)")
 
 
+# Signals as of each day: frames for prices, as-of joins for weather, a range join for news
+view("price_daily", f"""
+SELECT *, {rnd(f"0.6 * {clamp_sql('((m + 20) / 40 * 100)', 0, 100)} + 0.4 * {clamp_sql('((z + 2) / 4 * 100)', 0, 100)}")} AS price_signal
+FROM (SELECT *, {_mom} AS m, {_z} AS z FROM (
+  SELECT komoditas, date_parsed, avg_price AS now, cents AS now_cents, lag(avg_price, 6) OVER w0 AS week,
+         count(*) OVER f AS n, CAST(sum(cents) OVER f AS DOUBLE) AS total,
+         CAST((count(*) OVER f) * (sum(cents * cents) OVER f) - (sum(cents) OVER f) * (sum(cents) OVER f) AS DOUBLE) AS gap,
+         {_chg(3)} AS p3, {_chg(7)} AS p7, {_chg(14)} AS p14
+  FROM series WINDOW w0 AS (PARTITION BY komoditas ORDER BY date_parsed),
+    f AS (PARTITION BY komoditas ORDER BY date_parsed ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)))""", "series")
+view("wx_day", f"""
+SELECT sentra, date_parsed, {_wx_score} AS score FROM s_wx
+QUALIFY row_number() OVER (PARTITION BY sentra, date_parsed ORDER BY seen_at DESC, event_id) = 1""", "s_wx")
+view("weather_daily", f"""
+SELECT x.komoditas, x.date_parsed, {rnd(esum('score * bobot', 4) + ' / ' + esum('bobot', 4))} AS weather_signal
+FROM (SELECT d.komoditas, d.date_parsed, nama, bobot FROM daily d JOIN s_sentra s ON s.komoditas = d.komoditas) x
+ASOF JOIN wx_day w ON x.nama = w.sentra AND x.date_parsed >= w.date_parsed GROUP BY 1, 2""", "daily", "s_sentra", "wx_day")
+view("news_daily", f"""
+SELECT komoditas, date_parsed,
+       {rnd("0.6::DOUBLE * least(100.0, velocity / 3 * 100) + 0.4::DOUBLE * least(100.0, avg_score / 15 * 100)")} AS news_signal
+FROM (SELECT komoditas, date_parsed, avg_score,
+             CASE WHEN a > 0 THEN {rnd('coalesce(today, 0) / a')} ELSE 0.0 END AS velocity
+  FROM (SELECT komoditas, date_parsed, CAST(sum(n_articles) FILTER (date = date_parsed) AS BIGINT) AS today,
+          CAST(sum(n_articles) FILTER (rn <= 7) AS DOUBLE) / count(*) FILTER (rn <= 7) AS a,
+          {rnd('CAST(sum(total_score) AS DOUBLE) / sum(n_articles)')} AS avg_score
+    FROM (SELECT d.komoditas, d.date_parsed, m.date, n_articles, total_score,
+                 row_number() OVER (PARTITION BY d.komoditas, d.date_parsed ORDER BY m.date DESC) AS rn
+          FROM daily d JOIN mentions m ON m.komoditas = d.komoditas
+               AND m.date BETWEEN d.date_parsed - 14 AND d.date_parsed) GROUP BY 1, 2))""", "daily", "mentions")
 view("daily_risk", f"""
 SELECT *, {_level('risk_index')} AS level FROM (
-  SELECT *, coalesce({rnd(clamp_sql('(p7 + 50)', 0, 100))}, 50.0) AS risk_index FROM (
-    SELECT *, {_chg(3)} AS p3, {_chg(7)} AS p7, {_chg(14)} AS p14 FROM daily
-    WINDOW w0 AS (PARTITION BY komoditas ORDER BY date_parsed)))""", "daily")
-
-
-def _alert(ri, ch):
-    base = f"CASE WHEN {ri} >= 80 THEN 'KRITIS' WHEN {ri} >= 70 THEN 'SIAGA' WHEN {ri} >= 60 THEN 'WASPADA' END"
+  SELECT *, {rnd('0.5::DOUBLE * price_signal + 0.25::DOUBLE * weather_signal + 0.25::DOUBLE * news_signal')} AS risk_index
+  FROM (SELECT p.komoditas, p.date_parsed, p3, p7, p14, price_signal, coalesce(weather_signal, 0.0) AS weather_signal,
+               coalesce(news_signal, 0.0) AS news_signal
+        FROM price_daily p LEFT JOIN weather_daily USING (komoditas, date_parsed)
+             LEFT JOIN news_daily USING (komoditas, date_parsed)))""", "price_daily", "weather_daily", "news_daily")
+view("leads", """
+SELECT m.komoditas, m.date_parsed AS spike_date, a.date_parsed AS alert_date,
+       CAST(m.date_parsed - a.date_parsed AS INT) AS lead_days
+FROM (SELECT * FROM moves WHERE p7 >= 10) m ASOF JOIN (SELECT * FROM daily_risk WHERE risk_index >= 60) a
+     ON a.komoditas = m.komoditas AND m.date_parsed > a.date_parsed
+WHERE m.date_parsed - a.date_parsed <= 30""", "moves", "daily_risk")
+
+
+def _alert(ri, ch, s=AlertSettings()):
+    base = (f"CASE WHEN {ri} >= {s.risk_critical} THEN 'KRITIS' WHEN {ri} >= {s.risk_high} THEN 'SIAGA' "
+            f"WHEN {ri} >= {s.risk_warning} THEN 'WASPADA' END")
     return (f"CASE WHEN {ch} >= 20 THEN 'KRITIS' WHEN {ch} >= 10 AND ({base}) IS NULL THEN 'WASPADA' ELSE {base} END")
 
 
@@ -314,15 +362,15 @@ def _rp(x):
 
 view("phrase_lists", "SELECT komoditas, list(phrase ORDER BY rank) AS top_signals FROM phrases GROUP BY 1", "phrases")
 view("due", f"""
-SELECT * FROM (SELECT *, {_alert('risk_index', 'change')} AS level FROM (
-  SELECT dim.komoditas, label, risk_index + 25 AS risk_index, current_price, forecast_7d,
+SELECT * FROM (SELECT *, {_alert('risk_index', 'change', LOW_ALERTS)} AS level FROM (
+  SELECT dim.komoditas, label, risk_index, current_price, forecast_7d,
          predicted_change_pct AS change, top_signals
   FROM dim LEFT JOIN risk USING (komoditas) LEFT JOIN forecast USING (komoditas)
        LEFT JOIN phrase_lists USING (komoditas))) WHERE level IS NOT NULL""", "dim", "risk", "forecast", "phrase_lists")
 view("ranked", f"""
-SELECT komoditas, {_level('ri')} AS level, ri AS risk_index,
-       CAST(row_number() OVER (ORDER BY ri DESC, komoditas) AS INT) AS rank
-FROM (SELECT komoditas, risk_index + 10 AS ri FROM risk) WHERE ri >= 40""", "risk")
+SELECT komoditas, {_level('risk_index', LOW_LEVELS)} AS level, risk_index,
+       CAST(row_number() OVER (ORDER BY risk_index DESC, komoditas) AS INT) AS rank
+FROM risk WHERE risk_index >= {LOW_LEVELS.levels['WASPADA']}""", "risk")
 view("model", """SELECT komoditas, baseline_mape AS mape_avg FROM backtest14""", "backtest14")
 view("backtest14", f"""
 SELECT komoditas,
@@ -343,8 +391,7 @@ SQL = {
     "news_signal": sql("SELECT * FROM news_signal", "news_signal"),
     "weighted_mean": f"""SELECT l_returnflag, {rnd(esum('l_quantity * l_discount', 4) + ' / ' + esum('l_discount', 4), 4)}
         AS weighted_quantity FROM lineitem GROUP BY 1""",
-    "clamp": sql(f"SELECT komoditas, date_parsed, {rnd(clamp_sql('p7', -10, 10), 4)} AS clamped FROM daily_risk",
-                 "daily_risk"),
+    "clamp": sql(f"SELECT komoditas, date_parsed, {rnd(clamp_sql('p7', -10, 10), 4)} AS clamped FROM moves", "moves"),
     "risk_index": sql("SELECT * FROM risk", "risk"),
     "risk_level": sql("SELECT komoditas, date_parsed, risk_index, level FROM daily_risk", "daily_risk"),
     "level_counts": sql(
@@ -385,9 +432,9 @@ SQL = {
         FROM forecast, (SELECT unnest(range(1, 15)) AS i)""", "forecast"),
     "capped_forecast": sql("SELECT komoditas, price, change_pct, capped_7d FROM capped", "capped"),
     "current_prices": sql("""
-        SELECT komoditas, price, capped_7d AS forecast_7d, change_pct FROM capped WHERE komoditas NOT IN ('SMALL', 'STANDARD')
+        SELECT komoditas, price, capped_7d AS forecast_7d, change_pct FROM capped
         UNION ALL SELECT komoditas, max_by(avg_price, date_parsed), NULL, NULL FROM daily
-        WHERE komoditas IN ('SMALL', 'STANDARD') GROUP BY 1""", "capped", "daily"),
+        WHERE komoditas NOT IN (SELECT komoditas FROM capped) GROUP BY 1""", "capped", "daily"),
     "fused_level": sql(f"""
         SELECT komoditas, date_parsed, CASE WHEN c > 7 THEN 'KRITIS' WHEN c > 5 THEN 'SIAGA' WHEN c > 3 THEN 'WASPADA'
           WHEN c <= 0 THEN 'AMAN'
@@ -396,7 +443,7 @@ SQL = {
         "alert_rows"),
     "direction_counts": sql("""
         SELECT CAST(count_if(p3 > 1) AS BIGINT) AS naik, CAST(count_if(p3 < -1) AS BIGINT) AS turun,
-               CAST(count_if(coalesce(p3 BETWEEN -1 AND 1, true)) AS BIGINT) AS stabil FROM daily_risk""", "daily_risk"),
+               CAST(count_if(coalesce(p3 BETWEEN -1 AND 1, true)) AS BIGINT) AS stabil FROM moves""", "moves"),
     "prediction_view": sql(f"""
         SELECT komoditas, price, capped_7d, change_pct,
           CASE WHEN forecast_14d <> current_price THEN
@@ -422,8 +469,16 @@ SQL = {
         "dim", "backtest", "backtest14", "model", "risk"),
     "sentra_risk_map": sql("""
         SELECT s.*, coalesce(risk_index, 0.0) AS risk_index, coalesce(level, 'AMAN') AS risk_level
-        FROM s_sentra s LEFT JOIN (SELECT * FROM risk WHERE komoditas <> 'PROMO') r USING (komoditas)""",
+        FROM s_sentra s LEFT JOIN risk USING (komoditas)""",
         "s_sentra", "risk"),
+    "daily_risk_index": sql("""
+        SELECT komoditas, date_parsed, price_signal, weather_signal, news_signal, risk_index, level FROM daily_risk""",
+        "daily_risk"),
+    "asof_lead_time": sql("SELECT * FROM leads", "leads"),
+    "lead_time_stats": sql(f"""
+        SELECT dim.komoditas, {rnd('CAST(sum(lead_days) AS DOUBLE) / count(lead_days)', 1)} AS avg_lead_days,
+          min(lead_days) AS min_lead_days, max(lead_days) AS max_lead_days, count(lead_days) AS events
+        FROM dim LEFT JOIN leads USING (komoditas) GROUP BY 1""", "dim", "leads"),
     "last_n_rows": sql("SELECT * FROM daily ORDER BY date_parsed DESC, komoditas LIMIT 200", "daily"),
     "history_30": sql("""
         SELECT * FROM (SELECT komoditas, date_parsed, avg_price,
@@ -447,10 +502,10 @@ SQL = {
           CASE WHEN predicted_change_pct > 0 THEN '↑' WHEN predicted_change_pct < 0 THEN '↓' ELSE '→' END || ' ' ||
           {_rp('forecast_7d')} || ' (' || printf('%+.1f', {rnd('predicted_change_pct', 1)}) || '%)'
           FROM dim JOIN forecast USING (komoditas)
-        UNION ALL SELECT 6, p, l FROM (SELECT unnest([0, 1]) AS p, unnest(['', '{reports.NEWS_HEADING}']) AS l)
-          WHERE EXISTS (SELECT 1 FROM velocity WHERE velocity * 2 >= 2)
-        UNION ALL SELECT 7, position, '• ' || label || ': velocity=' || printf('%.1f', {rnd('velocity * 2', 1)}) ||
-          'x rata-rata 7 hari' FROM dim JOIN velocity USING (komoditas) WHERE velocity * 2 >= 2""",
+        UNION ALL SELECT 6, p, l FROM (SELECT unnest([0, 1]) AS p, unnest(['', '{reports.NEWS_HEADING.format(f"{FAST_AT:g}")}']) AS l)
+          WHERE EXISTS (SELECT 1 FROM velocity WHERE velocity >= {FAST_AT})
+        UNION ALL SELECT 7, position, '• ' || label || ': velocity=' || printf('%.1f', {rnd('velocity', 1)}) ||
+          'x rata-rata 7 hari' FROM dim JOIN velocity USING (komoditas) WHERE velocity >= {FAST_AT}""",
         "dim", "risk", "forecast", "velocity"),
     "recommendations": sql("""
         SELECT audience, CASE WHEN urgent IS NULL AND watch IS NULL THEN calm ELSE

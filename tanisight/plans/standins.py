@@ -5,8 +5,6 @@ Each adapter is a projection (plus the joins it needs) over whole tables; nothin
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -181,8 +179,3 @@ def alerts(spark: SparkSession, sf: str) -> DataFrame:
         F.col("ts").cast("timestamp").alias("ts"),
         "event_id",
     )
-
-
-def all_of(columns: list[str]):
-    """Condition that no column is null."""
-    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])

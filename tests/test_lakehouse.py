@@ -138,3 +138,14 @@ def test_evaluation_has_lead_times_of_daily_risk(spark, lake):
     assert all(r["events"] == 0 for r in lakehouse.run_evaluation(spark, lake).collect())
     kept = spark.read.parquet(f"{lake}/export/risk_daily").filter(F.col("date_parsed") == str(END))
     assert rows(kept, "komoditas", "risk_index") == rows(spark.read.parquet(f"{lake}/export/risk_index"), "komoditas", "risk_index")
+
+
+def test_risk_history_ends_in_the_index_of_the_last_day(spark, lake):
+    names = ["komoditas", "price_signal", "weather_signal", "news_signal", "risk_index", "level"]
+    index = lakehouse.run_risk(spark, lake, str(END))
+    history = lakehouse.run_risk_history(spark, lake)
+    last = history.filter(F.col("date_parsed") == str(END))
+    assert rows(last, *names) == rows(index.join(last.select("komoditas"), "komoditas"), *names) and last.count() == 2
+    priced = snapshots.read_version(spark, f"{lake}/gold/feature_store").filter("avg_price > 0 and date_parsed is not null")
+    assert rows(history, "komoditas", "date_parsed") == rows(priced, "komoditas", "date_parsed")
+    assert lakehouse.run_evaluation(spark, lake).count() == 2
