@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tanisight import dims, schemas
-from tanisight.operators import alerts, clean, dedup, evaluate, gold, models, news, reports, risk
+from tanisight.operators import alerts, clean, dedup, evaluate, features, gold, models, news, reports, risk, views
 from tanisight.sources import jsonl, snapshots, tables
 
 PRICE_FEEDS = ["price_bapanas", "price_pihps", "price_siskaperbapo"]
@@ -56,6 +56,19 @@ def run_bronze(spark: SparkSession, landing: Mapping[str, Sequence[str]], lake:
         )
 
 
+def _feed_prices(spark: SparkSession, raw: DataFrame, commodities: Sequence[str]) -> DataFrame:
+    """Silver prices of one feed; older feeds call the columns commodity and price."""
+    rows = raw.withColumns(
+        {
+            "komoditas": F.coalesce("komoditas", "commodity"),
+            "price_idr_per_kg": F.coalesce("price_idr_per_kg", "price"),
+            "data_source": F.coalesce("data_source", "source"),
+        }
+    )
+    grades = dims.pair_table(spark, dims.GRADES, "name", "canonical")
+    return clean.silver_prices(clean.map_exact(rows, "komoditas", grades), commodities, TIES["price"])
+
+
 def run_silver(
     spark: SparkSession, lake: str, commodities: Sequence[str] = tuple(dims.LABELS)
 ) -> None:
@@ -68,18 +81,7 @@ def run_silver(
         source = clean.union_sources([raw(s).select("source") for s in streams])
         tables.write_table(df, f"{lake}/silver/{name}", "overwrite", source)
 
-    grades = dims.pair_table(spark, dims.GRADES, "name", "canonical")
-    feeds = []
-    for feed in PRICE_FEEDS:
-        # Older feeds call the columns commodity and price
-        rows = raw(feed).withColumns(
-            {
-                "komoditas": F.coalesce("komoditas", "commodity"),
-                "price_idr_per_kg": F.coalesce("price_idr_per_kg", "price"),
-                "data_source": F.coalesce("data_source", "source"),
-            }
-        )
-        feeds.append(clean.silver_prices(clean.map_exact(rows, "komoditas", grades), commodities, TIES["price"]))
+    feeds = [_feed_prices(spark, raw(feed), commodities) for feed in PRICE_FEEDS]
     write(clean.union_sources(feeds), "silver_prices", *PRICE_FEEDS)
     write(clean.silver_kurs(raw("kurs"), TIES["kurs"]), "silver_kurs", "kurs")
     write(clean.silver_news(raw("news"), TIES["news"]), "silver_news", "news")
@@ -180,8 +182,64 @@ def run_timing(spark: SparkSession, lake: str, trees: int = 200) -> DataFrame:
     return spark.read.parquet(f"{lake}/export/timing")
 
 
-def _forecasts(spark: SparkSession, lake: str) -> DataFrame:
-    return tables.read_table(spark, f"{lake}/export/price_forecast", schemas.schema(spark, FORECAST))
+def run_importance(spark: SparkSession, lake: str, trees: int = 200) -> DataFrame:
+    """Features of the seven-row forecast by gain, ranked per commodity."""
+    store = snapshots.read_version(spark, f"{lake}/gold/feature_store")
+    _, gains = models.forecast(store, "7d", trees)
+    models.ranked_importance(gains).write.mode("overwrite").parquet(f"{lake}/export/feature_importance")
+    return spark.read.parquet(f"{lake}/export/feature_importance")
+
+
+def _export(spark: SparkSession, lake: str, name: str, ddl: str) -> DataFrame:
+    """An exported table with the columns of the DDL; empty while its step has not run."""
+    wanted = schemas.schema(spark, ddl)
+    return tables.read_table(spark, f"{lake}/export/{name}", wanted).select(*wanted.names)
+
+
+def _forecasts(spark: SparkSession, lake: str, more: str = "") -> DataFrame:
+    return _export(spark, lake, "price_forecast", FORECAST + more)
+
+
+def _top_features(spark: SparkSession, lake: str, k: int = 3) -> DataFrame:
+    """The first ``k`` features of each commodity as one array in rank order."""
+    ranked = _export(spark, lake, "feature_importance", "komoditas string, feature string, rank int").filter(F.col("rank") <= k)
+    ordered = F.array_sort(F.collect_list(F.struct("rank", "feature")))
+    return ranked.groupBy("komoditas").agg(ordered["feature"].alias("top_features"))
+
+
+def run_prediction_view(
+    spark: SparkSession, lake: str, commodities: Sequence[str] = tuple(dims.LABELS), real_feed: str = "price_pihps"
+) -> DataFrame:
+    """Prediction page of all commodities: the fitted forecast put on the newest price of ``real_feed``, size
+    and window of the next move, triggers. Parts whose step has not run are null."""
+    bronze = _table(spark, lake, "bronze", real_feed, schemas.STREAMS[real_feed])
+    live = clean.latest_positive(
+        _feed_prices(spark, bronze, commodities).filter(F.col("date_parsed").isNotNull()), ["komoditas"], ["date_parsed"],
+        "price_idr_per_kg",
+    ).withColumnRenamed("price_idr_per_kg", "price")
+    store = snapshots.read_version(spark, f"{lake}/gold/feature_store")
+    spikes = features.spike_stats(features.feature_matrix(store, "magnitude")).select("komoditas", "spike_probability")
+    size = _export(spark, lake, "magnitude", "komoditas string, rpkg_p10 double, rpkg_p90 double").join(spikes, "komoditas", "full")
+    view = views.prediction_view(
+        dims.commodity_table(spark),
+        views.capped_forecast(_forecasts(spark, lake, ", forecast_14d double"), live),
+        _export(spark, lake, "risk_index", "komoditas string, level string"),
+        size, _export(spark, lake, "timing", "komoditas string, predicted_window string"), _top_features(spark, lake),
+    )
+    view.write.mode("overwrite").parquet(f"{lake}/export/prediction_view")
+    return spark.read.parquet(f"{lake}/export/prediction_view")
+
+
+def run_evaluation_view(spark: SparkSession, lake: str) -> DataFrame:
+    """Evaluation page: baseline and model error, current risk index and the features that count most."""
+    store = snapshots.read_version(spark, f"{lake}/gold/feature_store")
+    errors = _forecasts(spark, lake).select("komoditas", F.col("model_mape").alias("mape_avg"))
+    view = evaluate.evaluation_view(
+        dims.commodity_table(spark), evaluate.naive_backtest(store), errors,
+        _export(spark, lake, "risk_index", "komoditas string, risk_index double"), _top_features(spark, lake),
+    )
+    view.write.mode("overwrite").parquet(f"{lake}/export/evaluation_view")
+    return spark.read.parquet(f"{lake}/export/evaluation_view")
 
 
 def run_evaluation(spark: SparkSession, lake: str) -> DataFrame:

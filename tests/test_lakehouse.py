@@ -149,3 +149,26 @@ def test_risk_history_ends_in_the_index_of_the_last_day(spark, lake):
     priced = snapshots.read_version(spark, f"{lake}/gold/feature_store").filter("avg_price > 0 and date_parsed is not null")
     assert rows(history, "komoditas", "date_parsed") == rows(priced, "komoditas", "date_parsed")
     assert lakehouse.run_evaluation(spark, lake).count() == 2
+
+
+def test_views_over_the_lake(spark, lake):
+    lakehouse.run_risk(spark, lake, str(END))
+    lakehouse.run_forecast(spark, lake, trees=2)
+    before = {r["komoditas"]: r for r in lakehouse.run_prediction_view(spark, lake).collect()}
+    assert len(before) == 10 and before["beras"]["predicted_window"] is None and before["beras"]["rpkg_p10"] is None
+    top = lakehouse.run_importance(spark, lake, trees=2)
+    lakehouse.run_magnitude(spark, lake, trees=2)
+    lakehouse.run_timing(spark, lake, trees=2)
+    names = [r["feature"] for r in top.filter("komoditas = 'beras' and rank <= 3").orderBy("rank").collect()]
+    view = {r["komoditas"]: r for r in lakehouse.run_prediction_view(spark, lake).collect()}
+    beras = view["beras"]
+    assert beras["predicted_window"] is not None and beras["rpkg_p10"] <= beras["rpkg_p90"]
+    assert list(beras["top_features"]) == names and len(beras["triggers"].split(", ")) >= 3
+    live = lakehouse._feed_prices(spark, spark.read.parquet(f"{lake}/bronze/price_pihps"), ["beras"])
+    newest = live.orderBy(F.col("date_parsed").desc()).first()["price_idr_per_kg"]
+    assert beras["price"] == newest and abs(beras["change_pct"]) <= 10
+    assert beras["capped_7d"] == pytest.approx(newest * (1 + beras["change_pct"] / 100), abs=1)
+    page = {r["komoditas"]: r for r in lakehouse.run_evaluation_view(spark, lake).collect()}
+    assert len(page) == 10 and list(page["beras"]["top_features"]) == names
+    assert page["beras"]["model_mape"] is not None and page["beras"]["baseline_mape"] is not None
+    assert page["gula_pasir"]["top_features"] is None and page["gula_pasir"]["current_risk_index"] is not None
