@@ -8,11 +8,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tanisight.functions.numeric import rnd, safe_double
+from tanisight.functions.numeric import exact_avg, exact_sum, rnd, safe_double
 from tanisight.functions.temporal import day_of, iso_date
-from tanisight.operators.dedup import keep_first
+from tanisight.operators.dedup import keep_first, keep_last
 
 TIMESTAMPS = ("fetched_at_utc", "ingestion_ts")
+# Columns that split a country into parts with a record each
+PARTS = ("provinsi", "negara_asal", "jenis_pupuk")
 
 
 def first_present(df: DataFrame, names: Sequence[str]) -> str | None:
@@ -111,6 +113,41 @@ def macro_unpivot(wide: DataFrame, ids: Sequence[str], measures: Sequence[str])
     return doubles.unpivot(list(ids), list(measures), "indicator", "value")
 
 
+def period_start(df: DataFrame) -> Column:
+    """First day of what a batch record is about: its day, else its month, else its year; a record that names none
+    (or an impossible one) is about the day it arrived."""
+    starts = [day_of(df, "tanggal")] if "tanggal" in df.columns else []
+    if "tahun" in df.columns:
+        month = F.coalesce(F.col("bulan"), F.lit(1)) if "bulan" in df.columns else F.lit(1)
+        starts.append(F.concat_ws("-", F.col("tahun").cast("string"), month.cast("string"), F.lit("1")).try_cast("date"))
+    return F.coalesce(*starts, record_date(df))
+
+
+def macro_by_period(
+    raw: DataFrame, measures: Sequence[str], averaged: Sequence[str] = (), tie: Sequence[str] = TIMESTAMPS
+) -> DataFrame:
+    """Batch records as (komoditas, indicator, date_parsed, value), one row per commodity, indicator and period.
+
+    The newest record (``tie``, then values) per source, commodity, part of the country and period counts. Parts are
+    added up, or averaged for the ``averaged`` measures. Of several sources the first by name counts. A record
+    without commodity is about all of them: ``komoditas`` is null.
+    """
+    parts = [c for c in PARTS if c in raw.columns]
+    komoditas = F.col("komoditas") if "komoditas" in raw.columns else F.lit(None).cast("string")
+    dated = raw.withColumns(
+        {"date_parsed": period_start(raw), "komoditas": komoditas, "source": F.coalesce("source", F.lit(""))}
+    ).filter(F.col("date_parsed").isNotNull())
+    keys = ["date_parsed", "komoditas", *parts, "source"]
+    newest = keep_last(dated, keys, [*[c for c in tie if c in raw.columns], *measures])
+    groups = newest.groupBy("komoditas", "date_parsed", "source")
+    rolled = groups.agg(
+        *[rnd(exact_avg(m, 4), 4).alias(m) if m in averaged else exact_sum(m, 4).alias(m) for m in measures]
+    )
+    long = macro_unpivot(rolled, ["komoditas", "date_parsed", "source"], measures).filter(F.col("value").isNotNull())
+    first = long.groupBy("komoditas", "indicator", "date_parsed").agg(F.min_by("value", "source").alias("value"))
+    return first
+
+
 def map_exact(df: DataFrame, column: str, table: DataFrame) -> DataFrame:
     """Replace a value by its entry in a (name, canonical) table; others stay."""
     return (
@@ -149,10 +186,12 @@ def first_positive(fields: Sequence[Column | str]) -> Column:
 
 
 def source_precedence(
-    spine: DataFrame, primary: DataFrame, secondary: DataFrame, series: str, date: str, value: str
+    spine: DataFrame, primary: DataFrame, secondary: DataFrame, series: str, date: str, value: str,
+    last: DataFrame | None = None,
 ) -> DataFrame:
     """Value per (series, date): primary source, else secondary, else the last one carried
-    forward; ``origin`` says which. One row per key in each input."""
+    forward; ``origin`` says which. One row per key in each input. ``last`` holds (series, value) that
+    earlier runs saw last (``last_values``); it is carried into this run."""
     keys = [series, date]
     joined = spine.join(primary.select(*keys, F.col(value).alias("_p")), keys, "left").join(
         secondary.select(*keys, F.col(value).alias("_s")), keys, "left"
@@ -160,6 +199,9 @@ def source_precedence(
     seen = joined.withColumn("_seen", F.coalesce("_p", "_s"))
     w = Window.partitionBy(series).orderBy(date).rowsBetween(Window.unboundedPreceding, -1)
     carried = seen.withColumn("_carried", F.last("_seen", ignorenulls=True).over(w))
+    if last is not None:
+        before = last.select(series, F.col(value).alias("_before"))
+        carried = carried.join(before, series, "left").withColumn("_carried", F.coalesce("_carried", "_before"))
     origin = (
         F.when(F.col("_p").isNotNull(), "primary")
         .when(F.col("_s").isNotNull(), "secondary")
@@ -169,6 +211,14 @@ def source_precedence(
     return carried.select(*keys, F.coalesce("_seen", "_carried").alias(value), origin.alias("origin"))
 
 
+def last_values(filled: DataFrame, series: str, date: str, value: str, last: DataFrame | None = None) -> DataFrame:
+    """The last value of each series that came from a source in this run, else what earlier runs saw last."""
+    real = filled.filter(F.col("origin").isin("primary", "secondary")).select(series, F.col(date).alias("_at"), value)
+    if last is not None:
+        real = real.unionByName(last.select(series, F.lit(None).cast("date").alias("_at"), value))
+    return real.groupBy(series).agg(F.max_by(value, F.struct(F.col("_at").isNotNull(), "_at")).alias(value))
+
+
 def source_hits(filled: DataFrame) -> DataFrame:
     """How many values came from each origin."""
     return filled.groupBy("origin").agg(F.count(F.lit(1)).alias("hits"))
@@ -189,6 +239,15 @@ def fx_quotes(rate: Column) -> dict[str, Column]:
     }
 
 
+def usable_rates(raw: DataFrame, low: float, high: float) -> tuple[DataFrame, DataFrame]:
+    """(rates, rejects): records whose middle rate, or selling rate where there is none, lies strictly within the
+    range. Quotes that a record lacks are derived from its selling rate."""
+    rated = raw.withColumn("_rate", F.coalesce("kurs_tengah", "kurs_jual"))
+    inside, outside = sanity_split(rated, "_rate", low, high)
+    derived = {n: F.coalesce(F.col(n), q) for n, q in fx_quotes(F.col("kurs_jual")).items()}
+    return inside.withColumns(derived).drop("_rate"), outside.drop("_rate")
+
+
 def date_parse_audit(df: DataFrame, column: str, formats: Mapping[str, str]) -> DataFrame:
     """Rows, and rows whose text is no date under each format, as one row per format."""
     checks = {"iso8601": iso_date(column)} | {

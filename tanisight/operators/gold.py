@@ -91,6 +91,31 @@ def forward_fill(spine: DataFrame, columns: Sequence[str]) -> DataFrame:
     return spine.withColumns(filled)
 
 
+def macro_in_force(daily: DataFrame, macro: DataFrame, indicators: Sequence[str]) -> DataFrame:
+    """Indicators per commodity and day of ``daily``: the value of the newest period that began by then, of the
+    commodity itself or else of the records about none. ``macro`` has one row per commodity, indicator and period.
+
+    Periods take their place between the days of a commodity and are filled forward, so no day meets a period
+    that is not its own and periods without prices count too.
+    """
+
+    def wide(rows: DataFrame, *keys: str) -> DataFrame:
+        return rows.groupBy(*keys).pivot("indicator", list(indicators)).agg(F.max("value"))
+
+    spine = daily.select("komoditas", DAY)
+    own = spine.withColumn("_priced", F.lit(True)).join(
+        wide(macro.filter(F.col("komoditas").isNotNull()), "komoditas", DAY), ["komoditas", DAY], "full"
+    )
+    w = Window.partitionBy("komoditas").orderBy(DAY).rowsBetween(Window.unboundedPreceding, 0)
+    own = own.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in indicators}).filter("_priced")
+    common = wide(macro.filter(F.col("komoditas").isNull()), DAY)
+    common = forward_fill(spine.select(DAY).distinct().join(common, DAY, "full"), indicators)
+    common = common.withColumnsRenamed({c: f"_{c}" for c in indicators})
+    return own.join(common, DAY, "left").select(
+        "komoditas", DAY, *[F.coalesce(c, f"_{c}").alias(c) for c in indicators]
+    )
+
+
 def feature_store(
     daily: DataFrame,
     macro: DataFrame | None = None,
@@ -101,7 +126,7 @@ def feature_store(
     reuse: bool = True,
 ) -> DataFrame:
     """Daily prices with macro and exchange rate (filled forward) and weather and news (0 when
-    missing).
+    missing). Macro with a ``komoditas`` goes to the days of that commodity (``macro_in_force``).
 
     ``daily`` feeds both the day spine and the result. With ``reuse`` it is computed once and
     read twice, which saves a second scan of the raw prices.
@@ -109,11 +134,13 @@ def feature_store(
     if reuse:
         daily = materialize(daily)
     days = daily.select(DAY).distinct()
-    if macro is not None:
+    by_commodity = macro is not None and "komoditas" in macro.columns
+    in_force = macro_in_force(daily, macro, indicators) if by_commodity and indicators else None
+    if macro is not None and not by_commodity:
         days = days.join(macro_pivot(macro, indicators), DAY, "left")
     if fx is not None:
         days = days.join(daily_fx(fx), DAY, "left")
-    fill = [*indicators, *(["kurs_usd_idr"] if fx is not None else [])]
+    fill = [*([] if by_commodity else indicators), *(["kurs_usd_idr"] if fx is not None else [])]
     days = forward_fill(days, fill) if fill else days
     if weather is not None:
         days = days.join(daily_weather(weather), DAY, "left").fillna(
@@ -122,7 +149,10 @@ def feature_store(
     if news is not None:
         per_day = news_velocity(daily_news(news)).drop("article_count")
         days = days.join(per_day, DAY, "left").fillna(0.0, subset=["news_score", "news_velocity"])
-    return daily.join(days, DAY, "left")
+    store = daily.join(days, DAY, "left")
+    if in_force is None:
+        return store
+    return store.join(in_force, ["komoditas", DAY], "left").select(*store.columns, *indicators)
 
 
 def price_summary(daily: DataFrame) -> DataFrame:

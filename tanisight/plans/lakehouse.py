@@ -10,10 +10,14 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tanisight import dims, schemas
+from tanisight.functions.numeric import exact_avg, rnd
 from tanisight.operators import alerts, clean, dedup, evaluate, features, gold, models, news, reports, risk, views
-from tanisight.sources import jsonl, snapshots, tables
+from tanisight.session import materialize
+from tanisight.sources import daytable, jsonl, snapshots, tables
+from tanisight.streaming import ingest
 
 PRICE_FEEDS = ["price_bapanas", "price_pihps", "price_siskaperbapo"]
 # Order of records with equal keys: by time of arrival, then by value
@@ -25,6 +29,14 @@ TIES = {
 }
 
 RISK_DAILY = "komoditas string, date_parsed date, risk_index double"
+SIGNALS = (
+    "article_id string, source string, title string, komoditas_matched array<string>, "
+    "gangguan_signals map<string,int>, sentra_matched array<string>, signal_score int, sentiment string"
+)
+ARTICLES = "article_id string, version long"
+LAST_PRICES = "komoditas string, price_idr_per_kg double, run date"
+# Rates of USD/IDR outside are errors of a source
+RATE_RANGE = (10_000.0, 25_000.0)
 FORECAST = (
     "komoditas string, current_price double, forecast_7d double, predicted_change_pct double, "
     "model_mape double, rmse_avg double"
@@ -43,7 +55,7 @@ def run_bronze(spark: SparkSession, landing: Mapping[str, Sequence[str]], lake:
         scans = [jsonl.scan(spark, folder, schemas.schema(spark, ddl)) for folder in folders]
         records = [rows for rows, _ in scans]
         if stream in schemas.STREAMS:
-            key = stream if stream in dedup.STREAM_KEYS else "price"
+            key = _merge_key(stream)
             rows = dedup.merge_copies(records, key, TIES[key])
         else:
             rows = clean.union_sources(records)
@@ -56,12 +68,39 @@ def run_bronze(spark: SparkSession, landing: Mapping[str, Sequence[str]], lake:
         )
 
 
+def _merge_key(stream: str) -> str:
+    return stream if stream in dedup.STREAM_KEYS else "price"
+
+
+def run_bronze_stream(
+    spark: SparkSession, lines: DataFrame, lake: str, stream: str, trigger: dict = ingest.EVERY_10S
+) -> StreamingQuery:
+    """Streamed JSON lines (``value``) into bronze: each batch is merged by business key into the days it touches.
+    Silver reads these records together with those of ``run_bronze``."""
+    decoded = ingest.decode(lines, schemas.schema(spark, schemas.STREAMS[stream]))
+    key = _merge_key(stream)
+    return ingest.merge_to(decoded, f"{lake}/bronze_stream/{stream}", key, TIES[key], trigger)
+
+
+def _bronze(spark: SparkSession, lake: str, name: str) -> DataFrame:
+    """Bronze records of a stream: landed ones and, if its stream runs, streamed ones, one per business key."""
+    ddl = (schemas.STREAMS | schemas.BATCHES)[name]
+    landed = _table(spark, lake, "bronze", name, ddl)
+    folder = f"{lake}/bronze_stream/{name}"
+    if name not in schemas.STREAMS or not daytable.newest(spark, f"{folder}/data"):
+        return landed
+    wanted = schemas.schema(spark, ddl)
+    streamed = ingest.read_merged(spark, folder, wanted).drop("date")
+    key = _merge_key(name)
+    return dedup.merge_copies([landed.select(*wanted.names).unionByName(streamed)], key, TIES[key])
+
+
 def _feed_prices(spark: SparkSession, raw: DataFrame, commodities: Sequence[str]) -> DataFrame:
-    """Silver prices of one feed; older feeds call the columns commodity and price."""
+    """Silver prices of one feed; older feeds call the columns commodity and price. The first that is positive counts."""
     rows = raw.withColumns(
         {
             "komoditas": F.coalesce("komoditas", "commodity"),
-            "price_idr_per_kg": F.coalesce("price_idr_per_kg", "price"),
+            "price_idr_per_kg": clean.first_positive(["price_idr_per_kg", "price"]),
             "data_source": F.coalesce("data_source", "source"),
         }
     )
@@ -75,7 +114,7 @@ def run_silver(
     """Bronze to clean, typed, de-duplicated silver tables."""
 
     def raw(name: str) -> DataFrame:
-        return _table(spark, lake, "bronze", name, (schemas.STREAMS | schemas.BATCHES)[name])
+        return _bronze(spark, lake, name)
 
     def write(df: DataFrame, name: str, *streams: str) -> None:
         source = clean.union_sources([raw(s).select("source") for s in streams])
@@ -83,14 +122,17 @@ def run_silver(
 
     feeds = [_feed_prices(spark, raw(feed), commodities) for feed in PRICE_FEEDS]
     write(clean.union_sources(feeds), "silver_prices", *PRICE_FEEDS)
-    write(clean.silver_kurs(raw("kurs"), TIES["kurs"]), "silver_kurs", "kurs")
+    rates, odd = clean.usable_rates(raw("kurs"), *RATE_RANGE)
+    write(clean.silver_kurs(rates, TIES["kurs"]), "silver_kurs", "kurs")
+    tables.write_table(odd, f"{lake}/quarantine/kurs_range", "overwrite")
     write(clean.silver_news(raw("news"), TIES["news"]), "silver_news", "news")
     write(clean.silver_weather(raw("weather"), TIES["weather"]), "silver_weather", "weather")
+    grades = dims.pair_table(spark, dims.GRADES, "name", "canonical")
     macro = []
     for batch, measures in schemas.MEASURES.items():
         rows = raw(batch)
-        ids = ["source", *[c for c in ("fetched_at_utc", "ingestion_ts") if c in rows.columns]]
-        macro.append(clean.silver_macro(clean.macro_unpivot(rows, ids, measures)))
+        named = clean.map_exact(rows, "komoditas", grades) if "komoditas" in rows.columns else rows
+        macro.append(clean.macro_by_period(named, measures, schemas.AVERAGED))
     write(clean.union_sources(macro), "silver_macro", *schemas.MEASURES)
 
 
@@ -101,7 +143,7 @@ def run_gold(spark: SparkSession, lake: str, as_of: str) -> DataFrame:
         return _table(spark, lake, "silver", name, ddl)
 
     prices = silver("silver_prices", "source string, komoditas string, price_idr_per_kg double, date_parsed date")
-    macro = silver("silver_macro", "source string, indicator string, date_parsed date, value double")
+    macro = silver("silver_macro", "komoditas string, indicator string, date_parsed date, value double")
     kurs = silver("silver_kurs", "source string, date_parsed date, kurs_tengah double")
     weather = silver("silver_weather", schemas.WEATHER + ", date_parsed date")
     articles = silver("silver_news", schemas.NEWS + ", date_parsed date")
@@ -117,10 +159,39 @@ def run_gold(spark: SparkSession, lake: str, as_of: str) -> DataFrame:
 
 
 def _signals(spark: SparkSession, lake: str) -> DataFrame:
+    """Signals of the silver articles, by day. Only articles that came, changed or went since the last call are
+    looked at again, and only their days are written; the log of articles done is written last."""
     articles = _table(spark, lake, "silver", "silver_news", schemas.NEWS + ", date_parsed date")
-    path = f"{lake}/export/nlp_signals"
-    news.extract_signals(articles, dims.NEWS).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    path, log = f"{lake}/export/nlp_signals", f"{lake}/state/articles"
+    rows, done = schemas.schema(spark, SIGNALS), schemas.schema(spark, ARTICLES)
+    now = articles.select("article_id", F.xxhash64(*TIES["news"]).alias("version"), F.col("date_parsed").alias("date"))
+    seen = daytable.read(spark, log, done)
+    same = (
+        F.col("n.article_id").eqNullSafe(F.col("s.article_id")) & (F.col("n.version") == F.col("s.version"))
+        & F.col("n.date").eqNullSafe(F.col("s.date"))
+    )
+    came = now.alias("n").join(seen.alias("s"), same, "left_anti").withColumn("there", F.lit(True))
+    went = seen.alias("s").join(now.alias("n"), same, "left_anti").withColumn("there", F.lit(False))
+    changed = materialize(came.unionByName(went))
+    days = [r[0] for r in changed.select("date").distinct().collect()]
+    if days:
+        batch = daytable.next_batch(spark, log)
+        ids = changed.select("article_id").distinct().alias("c")
+
+        def of_changed(table: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+            return table.alias("t").join(keys, F.col("t.article_id").eqNullSafe(F.col("c.article_id")), how)
+
+        fresh = of_changed(articles, changed.filter("there").select("article_id").alias("c"), "left_semi")
+        found = news.extract_signals(fresh, dims.NEWS)
+        daytable.replace(
+            spark, path, batch, days, rows, lambda old: of_changed(old, ids, "left_anti").unionByName(found.select(*old.columns))
+        )
+        of_day = changed.select("date").distinct().alias("d")
+        on_day = F.col("n.date").eqNullSafe(F.col("d.date"))
+        daytable.replace(spark, log, batch, days, done, lambda old: now.alias("n").join(of_day, on_day, "left_semi"))
+        daytable.compact(spark, path)
+        daytable.compact(spark, log)
+    return daytable.read(spark, path, rows)
 
 
 def run_news(spark: SparkSession, lake: str, as_of: str) -> tuple[DataFrame, DataFrame]:
@@ -134,7 +205,7 @@ def run_risk(spark: SparkSession, lake: str, as_of: str) -> DataFrame:
     kept by day, as the series that lead times are taken from."""
     dim = dims.commodity_table(spark)
     store = snapshots.read_version(spark, f"{lake}/gold/feature_store")
-    weather = _table(spark, lake, "bronze", "weather", schemas.WEATHER)
+    weather = _bronze(spark, lake, "weather")
     latest = risk.latest_per_region(weather, "ingestion_ts", "fetched_at_utc")
     _, velocity = run_news(spark, lake, as_of)
     index = risk.risk_index(
@@ -152,7 +223,7 @@ def run_risk_history(spark: SparkSession, lake: str) -> DataFrame:
     """Risk index of every commodity and day of the feature store, as known on that day. Lead times are
     taken from it and from the days that ``run_risk`` was run for."""
     store = snapshots.read_version(spark, f"{lake}/gold/feature_store").select("komoditas", "date_parsed", "avg_price")
-    weather = _table(spark, lake, "bronze", "weather", schemas.WEATHER)
+    weather = _bronze(spark, lake, "weather")
     index = risk.daily_risk_index(
         store, weather.withColumn("date_parsed", clean.record_date(weather)), dims.region_table(spark),
         news.mentions_daily(_signals(spark, lake)),
@@ -212,7 +283,7 @@ def run_prediction_view(
 ) -> DataFrame:
     """Prediction page of all commodities: the fitted forecast put on the newest price of ``real_feed``, size
     and window of the next move, triggers. Parts whose step has not run are null."""
-    bronze = _table(spark, lake, "bronze", real_feed, schemas.STREAMS[real_feed])
+    bronze = _bronze(spark, lake, real_feed)
     live = clean.latest_positive(
         _feed_prices(spark, bronze, commodities).filter(F.col("date_parsed").isNotNull()), ["komoditas"], ["date_parsed"],
         "price_idr_per_kg",
@@ -295,6 +366,30 @@ def run_alerts(
     return result
 
 
+def run_reference_prices(
+    spark: SparkSession, lake: str, as_of: str, primary: str = "price_pihps", secondary: str = "price_bapanas",
+    commodities: Sequence[str] = tuple(dims.LABELS),
+) -> DataFrame:
+    """Price of every commodity on a day with its origin: the primary feed, else the secondary, else the last price
+    that a run before this day saw. A run can be repeated."""
+    day = F.lit(as_of[:10]).cast("date")
+
+    def feed(name: str) -> DataFrame:
+        rows = _feed_prices(spark, _bronze(spark, lake, name), commodities).filter(F.col("date_parsed") == day)
+        priced = rows.filter(F.col("price_idr_per_kg") > 0)
+        return priced.groupBy("komoditas", "date_parsed").agg(rnd(exact_avg("price_idr_per_kg"), 2).alias("price_idr_per_kg"))
+
+    keys = ("komoditas", "date_parsed", "price_idr_per_kg")
+    spine = dims.commodity_table(spark).select("komoditas", day.alias("date_parsed"))
+    state = tables.read_table(spark, f"{lake}/state/last_prices", schemas.schema(spark, LAST_PRICES))
+    last = state.filter(F.col("run") < day).groupBy("komoditas").agg(F.max_by("price_idr_per_kg", "run").alias("price_idr_per_kg"))
+    path = f"{lake}/export/reference_prices/run={as_of[:10]}"
+    clean.source_precedence(spine, feed(primary), feed(secondary), *keys, last).write.mode("overwrite").parquet(path)
+    filled = spark.read.parquet(path)
+    clean.last_values(filled, *keys).write.mode("overwrite").parquet(f"{lake}/state/last_prices/run={as_of[:10]}")
+    return filled
+
+
 def run_recommendations(spark: SparkSession, lake: str) -> DataFrame:
     """Recommendation texts per audience."""
     levels = spark.read.parquet(f"{lake}/export/risk_index")

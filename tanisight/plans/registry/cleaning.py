@@ -12,6 +12,7 @@ from tanisight.plans.views_sql import rnd, sql, view
 
 KEY, DAY = "komoditas", "date_parsed"
 KNOWN = ["ECONOMY", "LARGE", "PROMO"]
+CUT = "1995-01-01"
 
 
 def _line(spark, sf):
@@ -95,6 +96,19 @@ def _precedence(spark, sf):
     return clean.source_precedence(spine, primary, secondary, KEY, DAY, "price_idr_per_kg")
 
 
+def _precedence_runs(spark, sf):
+    """Days before 1995 in a first run, the others in a second one that sees of the first only its last values."""
+    prices = layers.silver_prices(spark, sf)
+
+    def run(rows, last=None):
+        primary, secondary = (rows.filter(F.col("source") == s) for s in ("ASIA", "EUROPE"))
+        spine = rows.select(KEY, DAY).distinct()
+        return clean.source_precedence(spine, primary, secondary, KEY, DAY, "price_idr_per_kg", last)
+
+    first = run(prices.filter(F.col(DAY) < CUT))
+    return run(prices.filter(F.col(DAY) >= CUT), clean.last_values(first, KEY, DAY, "price_idr_per_kg"))
+
+
 def _sanity(spark, sf):
     orders = standins.table(spark, sf, "orders").withColumn("rate", F.col("o_totalprice") / 10)
     kept, rejects = clean.sanity_split(orders, "rate", 10000, 25000)
@@ -150,6 +164,7 @@ QUERIES = {
     "latest_positive": _latest_positive,
     "first_positive_field": _first_positive,
     "source_precedence": _precedence,
+    "source_precedence_runs": _precedence_runs,
     "source_hit_counts": lambda s, d: clean.source_hits(_precedence(s, d)),
     "sanity_range": _sanity,
     "fx_quotes": _fx_quotes,
@@ -207,6 +222,7 @@ SQL = {
           WHEN l_tax - 0.02::DOUBLE > 0 THEN l_tax - 0.02::DOUBLE
           WHEN l_extendedprice > 0 THEN l_extendedprice END''', 4)} AS price FROM lineitem""",
     "source_precedence": sql("SELECT * FROM precedence", "precedence"),
+    "source_precedence_runs": sql(f"SELECT * FROM precedence WHERE date_parsed >= DATE '{CUT}'", "precedence"),
     "source_hit_counts": sql("SELECT origin, count(*) AS hits FROM precedence GROUP BY 1", "precedence"),
     "sanity_range": """SELECT o_orderstatus, count(*) AS n,
           o_totalprice / 10 > 10000 AND o_totalprice / 10 < 25000 AS kept FROM orders GROUP BY 1, 3""",

@@ -203,6 +203,55 @@ def _stream_cooldown(spark, sf):
     return spark.read.parquet(f"{folder}/data").select("event_id", "komoditas", "suppressed")
 
 
+def _in_parts(spark, rows, part, sink):
+    """Rows in four parts, one after the other; the stream is stopped after each and goes on from its checkpoint."""
+    source = scratch_path(spark, "parts")
+    rows.withColumn("_part", part.cast("int")).write.partitionBy("_part").parquet(source)
+    for k in range(4):
+        if not spark.read.schema(rows.schema).parquet(source).filter(F.col("_part") == k).isEmpty():
+            ingest.drain(sink(spark.readStream.schema(rows.schema).parquet(f"{source}/_part={k}").select(*rows.columns)))
+
+
+def _stream_merge(spark, sf):
+    """Weather records as JSON lines; every part holds records of all days."""
+    events = standins.table(spark, sf, "events")
+    text = F.to_json(
+        F.struct(
+            F.concat(F.lit("S"), (F.col("user_id") % 25).cast("string")).alias("sentra"),
+            F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("fetched_at_utc"), "event_id", "value",
+        )
+    )
+    schema = _schema(spark, "sentra string, fetched_at_utc string, event_id long, value double")
+    folder = scratch_path(spark, "stream-merge")
+    tie = ["fetched_at_utc", "event_id", "value"]
+    _in_parts(
+        spark, events.select("event_id", text.alias("value")), F.col("event_id") % 4,
+        lambda lines: ingest.merge_to(ingest.decode(lines.select("value"), schema), folder, "weather", tie, ingest.DRAIN),
+    )
+    return ingest.read_merged(spark, folder, schema).select("sentra", "date", "event_id", "value")
+
+
+def _stream_news_velocity(spark, sf):
+    """Every part holds articles of all days, so each later one corrects days that were done."""
+    scored = standins.scored_articles(spark, sf)
+    articles = scored.select("article_id", F.col("ingestion_ts").alias("date_parsed"), "relevance_score")
+    folder = scratch_path(spark, "stream-news")
+    _in_parts(
+        spark, articles, F.col("article_id") % 4, lambda rows: ingest.news_counts_to(rows, folder, ingest.DRAIN)
+    )
+    return ingest.read_news_velocity(spark, folder)
+
+
+def _stream_cooldown_state(spark, sf):
+    """Alerts by eight days of the month each; what was sent last is kept in the state store."""
+    folder = scratch_path(spark, "stream-cooldown-state")
+    _in_parts(
+        spark, standins.alerts(spark, sf), F.floor((F.dayofmonth("ts") - 1) / 8),
+        lambda rows: ingest.append_to(ingest.cooldown_state(rows), folder, ingest.DRAIN),
+    )
+    return spark.read.parquet(f"{folder}/data").select("event_id", "komoditas", "suppressed")
+
+
 QUERIES = {
     "scan_jsonl": _scan,
     "scan_jsonl_rejects": _scan_rejects,
@@ -221,6 +270,9 @@ QUERIES = {
     "stream_dedup": _stream_dedup,
     "stream_daily_counts": _stream_counts,
     "stream_alert_cooldown": _stream_cooldown,
+    "stream_merge_bronze": _stream_merge,
+    "stream_news_velocity": _stream_news_velocity,
+    "stream_cooldown_state": _stream_cooldown_state,
 }
 
 _ROW = """event_id, user_id, value, CAST(json_extract(props, '$.k') AS INT) AS k,
@@ -269,4 +321,8 @@ SQL = {
     "stream_dedup": "SELECT DISTINCT substr(sha1(text), 1, 16) AS article_id FROM documents",
     "stream_daily_counts": "SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2",
     "stream_alert_cooldown": sql("SELECT event_id, komoditas, suppressed FROM cooled", "cooled"),
+    "stream_merge_bronze": """SELECT 'S' || (user_id % 25) AS sentra, CAST(ts AS DATE) AS date, event_id, value FROM events
+        QUALIFY row_number() OVER (PARTITION BY user_id % 25, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC, value DESC) = 1""",
+    "stream_news_velocity": sql("SELECT * FROM news_velocity", "news_velocity"),
+    "stream_cooldown_state": sql("SELECT event_id, komoditas, suppressed FROM cooled", "cooled"),
 }

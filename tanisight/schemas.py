@@ -68,6 +68,11 @@ MEASURES = {
     "batch_pupuk_harga": ["harga_subsidi_per_kg", "harga_nonsubsidi_per_kg", "ketersediaan_pct"],
 }
 
+# Of these, the parts of a country are averaged; the others are added up
+AVERAGED = [
+    "produktivitas_ton_per_ha", "utilisasi_pct", "harga_subsidi_per_kg", "harga_nonsubsidi_per_kg", "ketersediaan_pct",
+]
+
 
 def schema(spark: SparkSession, ddl: str) -> StructType:
     return spark.createDataFrame([], ddl).schema

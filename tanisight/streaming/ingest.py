@@ -1,4 +1,4 @@
-"""Streams: source, decoding, bronze and quarantine sinks, duplicates, daily counts, cooldown.
+"""Streams: source, decoding, bronze and quarantine sinks, merge by key, duplicates, daily counts, cooldown.
 
 Sinks take a ``trigger``: ``{"processingTime": "10 seconds"}`` for the running service,
 ``{"availableNow": True}`` to drain what is there and stop.
@@ -6,15 +6,20 @@ Sinks take a ``trigger``: ``{"processingTime": "10 seconds"}`` for the running s
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
+from tanisight.functions.numeric import rnd
+from tanisight.operators import dedup, gold
 from tanisight.operators.alerts import BLOCK, KEY, SLOTS, cooldown
-from tanisight.sources import jsonl
+from tanisight.sources import daytable, jsonl
 
 DRAIN = {"availableNow": True}
 EVERY_10S = {"processingTime": "10 seconds"}
@@ -70,6 +75,39 @@ def split_bad(decoded: DataFrame, folder: str, trigger: dict = EVERY_10S) -> Str
     return _start(decoded, folder, trigger).foreachBatch(write).start()
 
 
+def merge_to(
+    decoded: DataFrame, folder: str, stream: str, tie: Sequence[str], trigger: dict = EVERY_10S
+) -> StreamingQuery:
+    """Merge records into a table by day below ``folder/data``: the last one per business key of ``stream`` stays,
+    in the order of ``tie``, whichever batch brought it. Text that does not parse goes to ``folder/quarantine``.
+
+    A batch rewrites the days of its records only. The checkpoint numbers the batches; it lies in the same folder.
+    """
+    schema = decoded.schema["record"].dataType
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        batch.persist()
+        jsonl.rejected(batch).write.mode("overwrite").parquet(f"{folder}/quarantine/_batch={epoch}")
+        rows = jsonl.good(batch)
+        days = [r[0] for r in rows.select(dedup.stream_date(rows).try_cast("date")).distinct().collect()]
+
+        def merged(old: DataFrame) -> DataFrame:
+            kept = dedup.merge_copies([old.drop("date").unionByName(rows)], stream, tie)
+            return kept.withColumn("date", dedup.stream_date(rows).try_cast("date"))
+
+        daytable.replace(spark, f"{folder}/data", epoch, days, schema, merged)
+        daytable.compact(spark, f"{folder}/data")
+        batch.unpersist()
+
+    return _start(decoded, folder, trigger).foreachBatch(write).start()
+
+
+def read_merged(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
+    """Records of a table that ``merge_to`` fills, with their ``date``."""
+    return daytable.read(spark, f"{folder}/data", schema)
+
+
 def drop_repeated(stream: DataFrame, key: str, timestamp: str, delay: str) -> DataFrame:
     """First message per key; keys are forgotten once the watermark has passed them."""
     return stream.withWatermark(timestamp, delay).dropDuplicatesWithinWatermark([key])
@@ -105,6 +143,81 @@ def read_upserts(spark: SparkSession, folder: str, keys: Sequence[str], value: s
     return spark.read.parquet(f"{folder}/data").groupBy(*keys).agg(F.max_by(value, "_batch").alias(value))
 
 
+_NEWS_PARTS = "date_parsed date, total decimal(28,4), n long"
+
+
+def news_counts_to(articles: DataFrame, folder: str, trigger: dict = EVERY_10S) -> StreamingQuery:
+    """Articles (date_parsed, relevance_score) as running sums per day, kept by month. No row is too late: it
+    corrects its day. A repeated batch adds nothing twice, because it starts from the sums before it."""
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        score = F.coalesce(F.col("relevance_score").cast("double"), F.lit(0.0)).cast("decimal(18,4)")
+        parts = batch.groupBy("date_parsed").agg(F.sum(score).alias("total"), F.count(F.lit(1)).alias("n"))
+        parts = parts.withColumn("date", F.trunc("date_parsed", "month").cast("date")).persist()
+        months = [r[0] for r in parts.select("date").distinct().collect()]
+
+        def added(old: DataFrame) -> DataFrame:
+            sums = old.unionByName(parts.withColumn("total", F.col("total").cast("decimal(28,4)")))
+            total = F.sum("total").cast("decimal(28,4)").alias("total")
+            return sums.groupBy("date", "date_parsed").agg(total, F.sum("n").alias("n"))
+
+        schema = spark.createDataFrame([], _NEWS_PARTS).schema
+        daytable.replace(spark, f"{folder}/data", epoch, months, schema, added)
+        daytable.compact(spark, f"{folder}/data")
+        parts.unpersist()
+
+    return _start(articles, folder, trigger).foreachBatch(write).start()
+
+
+def read_news_velocity(spark: SparkSession, folder: str) -> DataFrame:
+    """Score, articles and velocity per day, as ``gold.news_velocity`` of all articles so far."""
+    parts = daytable.read(spark, f"{folder}/data", spark.createDataFrame([], _NEWS_PARTS).schema)
+    mean = F.col("total").cast("double") / F.col("n")
+    return gold.news_velocity(parts.select("date_parsed", rnd(mean, 2).alias("news_score"), F.col("n").alias("article_count")))
+
+
+def _sent_since(pdf: pd.DataFrame, gap: int, tie: str, last: int | None) -> tuple[np.ndarray, int | None]:
+    """Which alerts of one commodity are sent after ``last`` (microseconds), and the last one sent."""
+    sent = np.zeros(len(pdf), dtype=bool)
+    known = np.flatnonzero(pdf["ts"].notna().to_numpy())
+    part = pdf.iloc[known]
+    order = known[np.lexsort((pd.factorize(part[tie], sort=True)[0], part["ts"].to_numpy()))]
+    us = pdf["ts"].to_numpy().astype("datetime64[us]").astype(np.int64)[order]
+    at = 0 if last is None else int(np.searchsorted(us, last + gap))
+    while at < len(us):
+        sent[order[at]] = True
+        last = int(us[at])
+        at = int(np.searchsorted(us, last + gap))
+    return sent, last
+
+
+def cooldown_state(alerts: DataFrame, hours: int = 12, tie: str = "event_id") -> DataFrame:
+    """Streamed alerts with ``suppressed``, decided one commodity at a time from keyed state.
+
+    The state store keeps the last alert sent per commodity. Of equal times the smallest tie key is sent; an alert
+    older than the cooldown after the last one sent is held back, so late and repeated ones are; an alert without
+    commodity or time never is. State is one number per commodity and has no timer: a late alert of a forgotten
+    commodity would be sent twice. A worker holds one commodity's alerts of one batch, which the source's limit per
+    trigger bounds; ``cooldown_to`` splits a commodity too.
+    """
+    gap = hours * 3_600_000_000
+    names = alerts.columns
+
+    def decide(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(frames), ignore_index=True)
+        if key[0] is None:
+            yield pdf[names].assign(suppressed=False)
+            return
+        sent, last = _sent_since(pdf, gap, tie, state.get[0] if state.exists else None)
+        if last is not None:
+            state.update((last,))
+        yield pdf[names].assign(suppressed=~sent & pdf["ts"].notna().to_numpy())
+
+    out = StructType(list(alerts.schema.fields)).add("suppressed", "boolean")
+    return alerts.groupBy(KEY).applyInPandasWithState(decide, out, "sent long", "append", GroupStateTimeout.NoTimeout)
+
+
 def cooldown_to(
     alerts: DataFrame, folder: str, hours: int = 12, tie: str = "event_id", trigger: dict = EVERY_10S,
     slots: int = SLOTS, block: int = BLOCK,

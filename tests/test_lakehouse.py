@@ -47,7 +47,9 @@ def lake(spark, tmp_path_factory):
         {"source": "w", "sentra": s, "current": {"precipitation": 80.0 if s == "karawang" else 0.0, "weather_code": 80, "temperature_2m": 30.0},
          "daily": {"precipitation_sum": 12.0, "temperature_2m_max": 31.0}, **ts(d)} for s in ("karawang", "brebes") for d in DAYS[-10:]])]
     landing["kurs"] = [write(root, "kurs", [
-        {"source": "bi", "pair": "USD/IDR", "kurs_tengah": 16000.0 + i, **ts(d)} for i, d in enumerate(DAYS[::3])])]
+        {"source": "bi", "pair": "USD/IDR", "kurs_tengah": 16000.0 + i, **ts(d)} for i, d in enumerate(DAYS[::3])] + [
+        {"source": "er", "pair": "USD/IDR", "kurs_jual": 17000.0, **ts(DAYS[1])},
+        {"source": "er", "pair": "USD/IDR", "kurs_tengah": 1.0, **ts(DAYS[2])}])]
     landing["news"] = [write(root, "news", [
         {"source": "n", "article_id": f"x{i}", "title": "Harga beras naik", "summary": "gagal panen di karawang", "relevance_score": 9, **ts(d)}
         for i, d in enumerate(DAYS[-5:])])]
@@ -95,7 +97,11 @@ def test_gold(spark, lake):
     assert store.count() == 2 * len(DAYS)
     assert rows(store.select("n_sources").distinct()) == [(3,)]
     assert store.filter(F.col("kurs_usd_idr").isNull()).count() == 0
-    assert store.filter(F.col("produksi_ton") == 5.0).count() == 2 * (len(DAYS) - 5)
+    grown = store.filter(F.col("produksi_ton") == 5.0)  # of May 2026, and of rice only
+    assert rows(grown, "komoditas", "date_parsed") == [("beras", d) for d in DAYS if d >= dt.date(2026, 5, 1)]
+    assert rows(spark.read.parquet(f"{lake}/quarantine/kurs_range"), "kurs_tengah") == [(1.0,)]
+    assert rows(spark.read.parquet(f"{lake}/silver/silver_kurs").filter("kurs_jual is not null"), "kurs_tengah", "kurs_beli") == [
+        (round(17000 * 0.9985, 2), round(17000 * 0.997, 2))]
     last = store.filter((F.col("date_parsed") == str(END)) & (F.col("komoditas") == "beras")).first()
     assert (last["precipitation_sum"], last["temperature_max"], last["news_score"]) == (12.0, 31.0, 9.0)
     assert rows(snapshots.history(spark, f"{lake}/gold/feature_store"), "version", "n_rows") == [(0, 121)]
@@ -172,3 +178,83 @@ def test_views_over_the_lake(spark, lake):
     assert len(page) == 10 and list(page["beras"]["top_features"]) == names
     assert page["beras"]["model_mape"] is not None and page["beras"]["baseline_mape"] is not None
     assert page["gula_pasir"]["top_features"] is None and page["gula_pasir"]["current_risk_index"] is not None
+
+
+def _jsonl(folder, name, records):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("\n".join(r if isinstance(r, str) else json.dumps(r) for r in records) + "\n")
+
+
+def _price(day, price, hour=6, **more):
+    return {"source": "s", "komoditas": "beras", "price_idr_per_kg": price, "fetched_at_utc": f"{day}T0{hour}:00:00", **more}
+
+
+def test_a_stream_feeds_silver_like_landed_files(spark, tmp_path):
+    """Two runs of the stream with late and repeated records; the same lines landed as files give the same silver."""
+    out, landed = str(tmp_path / "lake"), str(tmp_path / "landed")
+    first = [_price("2026-06-20", 13000), _price("2026-06-21", 13100), "{rusak", _price("2026-06-21", 13150, hour=9)]
+    second = [_price("2026-06-20", 12000, hour=1), _price("2026-06-22", 13300), _price("2026-06-21", 13100)]
+    folder = tmp_path / "in"
+    for name, records in (("a.jsonl", first), ("b.jsonl", second)):
+        _jsonl(folder, name, records)
+        lines = spark.readStream.option("maxFilesPerTrigger", 1).text(str(folder))
+        lakehouse.run_bronze_stream(spark, lines, out, "price_pihps", {"availableNow": True}).awaitTermination()
+    merged = f"{out}/bronze_stream/price_pihps"
+    assert rows(spark.read.parquet(f"{merged}/quarantine"), "raw") == [("{rusak",)]
+    lakehouse.run_silver(spark, out)
+    lakehouse.run_bronze(spark, {"price_pihps": [str(folder)]}, landed)
+    lakehouse.run_silver(spark, landed)
+    names = ["source", "komoditas", "price_idr_per_kg", "date_parsed"]
+    got = rows(spark.read.parquet(f"{out}/silver/silver_prices"), *names)
+    assert got == rows(spark.read.parquet(f"{landed}/silver/silver_prices"), *names)
+    assert [r[2] for r in got] == [13000.0, 13150.0, 13300.0]
+
+
+def test_news_are_cleaned_once(spark, tmp_path, monkeypatch):
+    """Ten more articles: ten are looked at. A changed and a withdrawn one replace what was kept."""
+    out = str(tmp_path / "lake")
+    looked = []
+    extract = lakehouse.news.extract_signals
+    monkeypatch.setattr(lakehouse.news, "extract_signals", lambda a, *w, **k: (looked.append(a.count()), extract(a, *w, **k))[1])
+
+    def article(i, title="Harga beras naik", day=None):
+        return {"source": "n", "article_id": f"x{i}", "title": title, "summary": "gagal panen di karawang",
+                "fetched_at_utc": f"{day or DAYS[-1 - i % 9]}T06:00:00"}
+
+    def run(name, records):
+        folder = tmp_path / name
+        _jsonl(folder, "n.jsonl", records)
+        lakehouse.run_bronze(spark, {"news": [str(folder)]}, out)
+        lakehouse.run_silver(spark, out)
+        signals, velocity = lakehouse.run_news(spark, out, str(END))
+        fresh = extract(spark.read.parquet(f"{out}/silver/silver_news"), lakehouse.dims.NEWS)
+        assert rows(signals, "article_id", "date", "signal_score") == rows(fresh, "article_id", "date", "signal_score")
+        return velocity
+
+    some = [article(i) for i in range(20)]
+    run("a", some)
+    more = some + [article(i) for i in range(20, 30)]
+    run("b", more)
+    run("c", more)
+    assert looked == [20, 10]
+    last = [article(0, "Harga gula pasir naik", DAYS[-3])] + [article(1, "Berita lain") | {"summary": ""}] + more[3:]
+    run("d", last)
+    assert looked == [20, 10, 2]
+
+
+def test_reference_prices_remember_earlier_runs(spark, tmp_path):
+    out = str(tmp_path / "lake")
+    _jsonl(tmp_path / "a", "p.jsonl", [_price("2026-06-20", 13000), _price("2026-06-21", 0)])
+    _jsonl(tmp_path / "b", "p.jsonl", [_price("2026-06-20", 12000), _price("2026-06-21", 12500), _price("2026-06-20", 50000, komoditas="cabai_keriting")])
+    lakehouse.run_bronze(spark, {"price_pihps": [str(tmp_path / "a")], "price_bapanas": [str(tmp_path / "b")]}, out)
+
+    def run(day):
+        filled = lakehouse.run_reference_prices(spark, out, day)
+        assert filled.count() == 10
+        return {k: (p, o) for k, p, o in rows(filled, "komoditas", "price_idr_per_kg", "origin") if o != "missing"}
+
+    assert run("2026-06-19") == {}
+    assert run("2026-06-20") == {"beras": (13000.0, "primary"), "cabai_keriting": (50000.0, "secondary")}
+    want = {"beras": (12500.0, "secondary"), "cabai_keriting": (50000.0, "last_known")}
+    assert run("2026-06-21") == want and run("2026-06-21") == want
+    assert run("2026-06-25") == {"beras": (12500.0, "last_known"), "cabai_keriting": (50000.0, "last_known")}

@@ -16,7 +16,8 @@ SAMPLE = [
     "feature_matrix_timing", "asof_lead_time", "naive_backtest", "ts_folds", "strip_html", "signal_score",
     "keyword_velocity", "top_phrases", "risk_index", "alert_message", "alert_cooldown", "prediction_view",
     "situation_report", "recommendations", "scan_jsonl", "table_history", "ingest_manifest",
-    "stream_daily_counts", "stream_quarantine",
+    "stream_daily_counts", "stream_quarantine", "stream_merge_bronze", "stream_news_velocity",
+    "stream_cooldown_state", "source_precedence_runs", "macro_by_period", "macro_in_force",
 ]
 NAMES = sorted(SQL) if os.environ.get("CHECK_ALL") else SAMPLE
 

@@ -229,6 +229,26 @@ def test_recommendations(spark):
     assert calm == reports.CALM
 
 
+def test_keyed_state_holds_back_late_and_repeated_alerts(spark, tmp_path):
+    """Each batch is a restart of the stream. A late alert meets the last one sent, not its own time."""
+    rng = random.Random(4)
+    parts = [[(rng.choice("abc"), round(rng.uniform(60 * i, 60 * i + 90), 1)) for _ in range(60)] for i in range(3)]
+    parts[1] += parts[0][:10]
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    last, want, n = {}, set(), 0
+    for part in parts:
+        df = stream_of_alerts(spark, part).withColumn("event_id", F.col("event_id") + n)
+        odd = spark.createDataFrame([(None, T0, -1), ("a", None, -2)], df.schema)
+        df.unionByName(odd).write.mode("append").parquet(folder)
+        sent, last = plain_cooldown(part, last=last)
+        want |= {i + n for i in sent}
+        n += len(part)
+        source = spark.readStream.schema(df.schema).parquet(folder)
+        ingest.drain(ingest.append_to(ingest.cooldown_state(source), out, ingest.DRAIN))
+    result = spark.read.parquet(f"{out}/data")
+    assert result.count() == n + 6 and sent_ids(result) == want | {-1, -2}
+
+
 def test_cooldown_without_key_or_time_and_with_repeated_rows(spark):
     t = dt.datetime(2026, 1, 1, 6)
     df = spark.createDataFrame(

@@ -114,3 +114,34 @@ def test_versions_may_change_a_type_and_unfinished_saves_are_not_read(spark, tmp
     assert rows(snapshots.read_version(spark, path)) == [("b",)]
     with pytest.raises(ValueError):
         snapshots.read_version(spark, path, 2)
+
+
+def test_day_tables_keep_the_newest_batch_of_a_day(spark, tmp_path):
+    from tanisight.sources import daytable
+    import datetime as dt
+    path, kind = str(tmp_path / "t"), schema(spark, "k string")
+    d = [dt.date(2026, 1, i) for i in (1, 2, 3)] + [None]
+
+    def put(batch, days, *new):
+        more = spark.createDataFrame([(k, day) for k, day in new], "k string, date date")
+        daytable.replace(spark, path, batch, days, kind, lambda old: old.unionByName(more))
+
+    assert daytable.read(spark, path, kind).count() == 0 and daytable.next_batch(spark, path) == 0
+    put(0, d, ("a", d[0]), ("b", d[1]), ("n", None))
+    for _ in range(2):  # a repeated batch changes nothing
+        put(1, d[:1], ("c", d[0]))
+    want = sorted([("a", d[0]), ("c", d[0]), ("b", d[1]), ("n", None)], key=repr)
+    assert rows(daytable.read(spark, path, kind)) == want
+    assert rows(daytable.read(spark, path, kind, days=[d[1], None, d[2]])) == sorted([("b", d[1]), ("n", None)], key=repr)
+    (tmp_path / "t" / "_batch=2" / "date=2026-01-01").mkdir(parents=True)  # a batch that never finished
+    assert rows(daytable.read(spark, path, kind)) == want and daytable.next_batch(spark, path) == 2
+    daytable.replace(spark, path, 2, d[:2], kind, lambda old: old.filter("k = 'c'"))  # the second day is empty now
+    want = sorted([("c", d[0]), ("n", None)], key=repr)
+    assert rows(daytable.read(spark, path, kind)) == want
+    daytable.compact(spark, path)
+    assert sorted(daytable.batches(spark, path)) == [0, 1, 2] and daytable.batches(spark, path)[1] == ["date=2026-01-01"]
+    put(3, [d[2]], ("e", d[2]))
+    daytable.compact(spark, path)
+    kept = daytable.batches(spark, path)  # the third day of batch 0 stays: batch 3 can still be repeated
+    assert sorted(kept) == [0, 2, 3] and sorted(kept[0]) == ["date=2026-01-03", "date=__HIVE_DEFAULT_PARTITION__"]
+    assert rows(daytable.read(spark, path, kind)) == sorted([*want, ("e", d[2])], key=repr)
