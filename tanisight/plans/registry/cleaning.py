@@ -12,7 +12,7 @@ from tanisight.plans.views_sql import rnd, sql, view
 
 KEY, DAY = "komoditas", "date_parsed"
 KNOWN = ["ECONOMY", "LARGE", "PROMO"]
-CUT = "1995-01-01"
+CUT = "1998-01-01"
 
 
 def _line(spark, sf):
@@ -97,7 +97,7 @@ def _precedence(spark, sf):
 
 
 def _precedence_runs(spark, sf):
-    """Days before 1995 in a first run, the others in a second one that sees of the first only its last values."""
+    """Days before 1998 in a first run, the others in a second one that sees of the first only its last values."""
     prices = layers.silver_prices(spark, sf)
 
     def run(rows, last=None):

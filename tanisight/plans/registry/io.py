@@ -205,11 +205,12 @@ def _stream_cooldown(spark, sf):
 
 def _in_parts(spark, rows, part, sink):
     """Rows in four parts, one after the other; the stream is stopped after each and goes on from its checkpoint."""
-    source = scratch_path(spark, "parts")
-    rows.withColumn("_part", part.cast("int")).write.partitionBy("_part").parquet(source)
+    parts, landing = scratch_path(spark, "parts"), scratch_path(spark, "landing")
+    rows.withColumn("_part", part.cast("int")).write.partitionBy("_part").parquet(parts)
     for k in range(4):
-        if not spark.read.schema(rows.schema).parquet(source).filter(F.col("_part") == k).isEmpty():
-            ingest.drain(sink(spark.readStream.schema(rows.schema).parquet(f"{source}/_part={k}").select(*rows.columns)))
+        of_part = spark.read.parquet(parts).filter(F.col("_part") == k).select(*rows.columns)
+        of_part.write.mode("append").parquet(landing)
+        ingest.drain(sink(spark.readStream.schema(rows.schema).parquet(landing)))
 
 
 def _stream_merge(spark, sf):
