@@ -52,14 +52,14 @@ def small_slices(batches, rows: int = 500, size: int = 4 << 20, name: str = "tex
 
 def word_hashes(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words (runs of other than ASCII white space) in a row, and the offset of
-    each document (one more than documents). lower: A-Z are lower-cased first."""
-    values = pa.array(texts, pa.large_binary()).cast(pa.large_string())
+    each document (one more than documents). lower: A-Z are lower-cased first. Texts may be no valid UTF-8."""
+    values = pa.array(texts, pa.large_binary()).cast(pa.large_string(), safe=False)
     split = pc.ascii_split_whitespace(pc.ascii_lower(values) if lower else values)
     coded = split.flatten().dictionary_encode()
-    words = coded.dictionary.to_pylist()
+    words = coded.dictionary.cast(pa.large_binary()).to_pylist()
     index, offsets = coded.indices.to_numpy(), split.offsets.to_numpy()
-    if "" in words:  # white space at an end of a text
-        some = index != words.index("")
+    if b"" in words:  # white space at an end of a text
+        some = index != words.index(b"")
         offsets = np.append(0, np.cumsum(some))[offsets]
         index = index[some]
     table = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))

@@ -21,14 +21,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tanisight.llm.common import (
-    as_bytes, by_value, dealt, gram_hashes, group_of, grouped, id_and_text, packed, rows_of, runs_min, signed, slices, starts_of,
-    word_hashes,
+    as_bytes, by_value, dealt, gram_hashes, group_of, grouped, id_and_text, packed, rows_of, runs_min, signed, slices, small_slices,
+    starts_of, word_hashes,
 )
 from tanisight.session import materialize, ship_package
 
 ANCHOR = 7
 PREFIXES = (1, 2, 4)
-SLICE = 4000
+SLICE = 4000  # documents whose equal anchors and windows meet before they are shuffled
+HASHED = 2 << 20  # bytes of text that are hashed at a time
 PLACES = "part long, kind long, doc_id long, text binary, hashes binary, docs binary, places binary, marks binary, n_words long, sha string, row long"
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 TEXT, PLACE, DONE, WINDOW = 1, 0, 2, 3  # kinds of rows
@@ -40,7 +41,7 @@ def row_key(docs: DataFrame):
 
 
 class Passages:
-    """Anchors and windows of a slice of documents."""
+    """Anchors and windows of some documents."""
 
     def __init__(self, ids: np.ndarray, texts: list[bytes], width: int):
         self.ids, self.width = ids, width
@@ -82,24 +83,36 @@ def slice_ids(batch) -> np.ndarray:
     return np.array(batch.column("doc_id").to_pylist(), np.int64)
 
 
+def anchors_of(batch, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, doc_id and place of each anchor, by doc_id."""
+    found = []
+    for part in small_slices([batch], SLICE, HASHED):
+        p = Passages(slice_ids(part), as_bytes(part), width)
+        at = p.places()
+        doc = p.doc_of(at)
+        found.append((p.anchors[at], p.ids[doc], (at - p.offsets[doc]).astype(np.int32)))
+    values, ids, places = map(np.concatenate, zip(*found, strict=True))
+    order = np.argsort(ids, kind="stable")
+    return values[order], ids[order], places[order]
+
+
 def anchors_sent(groups: int, width: int):
+    """Anchors by group; of those in several documents of a slice the first of the smallest doc_id, and all by document."""
+
     def run(batches):
         for batch in slices(batches, SLICE):
-            p = Passages(slice_ids(batch), as_bytes(batch), width)
-            at = p.places()
-            if not len(at):
+            values, ids, places = anchors_of(batch, width)
+            if not len(values):
                 continue
-            doc = p.doc_of(at)
-            ids, places = p.ids[doc], (at - p.offsets[doc]).astype(np.int32)
-            order, begins = by_value(p.anchors[at])
+            order, begins = by_value(values)
             low, high, run_of = runs_min(ids[order], begins)
-            shared = np.zeros(len(at), bool)
+            shared = np.zeros(len(values), bool)
             shared[order] = (high > low)[run_of]
-            first = np.zeros(len(at), bool)
+            first = np.zeros(len(values), bool)
             first[order[begins]] = True
             yield from dealt(doc_part(ids[shared], groups) + groups, PLACES, PLACE, docs=ids[shared], places=places[shared])
             sent = ~shared | first
-            yield from dealt(group_of(p.anchors[at][sent], groups), PLACES, PLACE, hashes=p.anchors[at][sent], docs=ids[sent], places=places[sent])
+            yield from dealt(group_of(values[sent], groups), PLACES, PLACE, hashes=values[sent], docs=ids[sent], places=places[sent])
 
     return run
 
@@ -125,7 +138,8 @@ def windows_sent(groups: int, width: int, frequent: dict[int, np.ndarray], windo
 
     Documents without a window that may be repeated are done. The others go on as texts, and, in a
     second reading of the same shuffle, their windows by group; of equal windows of the slice only
-    those of the smallest doc_id are sent, the others are known to be removed.
+    those of the smallest doc_id are sent, the others are known to be removed. Both readings must see
+    the same slices: one sends what the other does not hold for removed.
     """
 
     def run(batches):
@@ -133,38 +147,49 @@ def windows_sent(groups: int, width: int, frequent: dict[int, np.ndarray], windo
         part = None
         waiting: list[tuple[int, bytes, int]] = []
 
+        def hashed():
+            """The waiting documents, some at a time, and the numbers of their windows that may be repeated."""
+            ends = np.cumsum([len(t) for _, t, _ in waiting])
+            for some in np.split(np.arange(len(waiting)), np.flatnonzero(np.diff(ends // HASHED)) + 1):
+                rows = waiting[some[0] : some[-1] + 1]
+                p = Passages(np.array([d for d, _, _ in rows], np.int64), [t for _, t, _ in rows], width)
+                flagged = np.zeros(len(p.anchors), bool)
+                first, last = np.searchsorted(docs, p.ids, "left").tolist(), np.searchsorted(docs, p.ids, "right").tolist()
+                for i, (a, b) in enumerate(zip(first, last, strict=True)):
+                    at = places[a:b] + p.offsets[i]
+                    flagged[at[at < min(p.offsets[i + 1], len(flagged))]] = True
+                yield rows, p, p.repeated(flagged)
+
         def flush():
-            ids, marks = np.array([d for d, _, _ in waiting], np.int64), np.array([m for _, _, m in waiting], np.int64)
-            p = Passages(ids, [t for _, t, _ in waiting], width)
-            flagged = np.zeros(len(p.anchors), bool)
-            first, last = np.searchsorted(docs, ids, "left").tolist(), np.searchsorted(docs, ids, "right").tolist()
-            for i, (a, b) in enumerate(zip(first, last, strict=True)):
-                at = places[a:b] + p.offsets[i]
-                flagged[at[at < min(p.offsets[i + 1], len(flagged))]] = True
-            windows = p.repeated(flagged)
-            some = np.zeros(len(ids), bool)
-            some[p.doc[windows]] = True
-            calm, rest = np.flatnonzero(~some), np.flatnonzero(some)
-            if len(calm) and not windows_only:
-                words = [waiting[i][1].split() for i in calm]
-                yield rows_of(PLACES, kind=[DONE] * len(calm), part=doc_part(ids[calm], groups).tolist(), doc_id=ids[calm].tolist(), n_words=list(map(len, words)),
-                              sha=[hashlib.sha256(b" ".join(w)).hexdigest() for w in words], row=marks[calm].tolist())
-            if len(rest) and not windows_only:
-                yield rows_of(PLACES, kind=[TEXT] * len(rest), part=doc_part(ids[rest], groups).tolist(), doc_id=ids[rest].tolist(), text=[waiting[i][1] for i in rest], row=marks[rest].tolist())
-            if not len(windows):
+            found = []
+            for rows, p, windows in hashed():
+                marks = np.array([m for _, _, m in rows], np.int64)
+                if not windows_only:
+                    some = np.zeros(len(rows), bool)
+                    some[p.doc[windows]] = True
+                    calm, rest = np.flatnonzero(~some), np.flatnonzero(some)
+                    if len(calm):
+                        yield rows_of(PLACES, kind=[DONE] * len(calm), part=doc_part(p.ids[calm], groups).tolist(), doc_id=p.ids[calm].tolist(), n_words=np.diff(p.offsets)[calm].tolist(),
+                                      sha=[hashlib.sha256(b" ".join(rows[i][1].split())).hexdigest() for i in calm], row=marks[calm].tolist())
+                    if len(rest):
+                        yield rows_of(PLACES, kind=[TEXT] * len(rest), part=doc_part(p.ids[rest], groups).tolist(), doc_id=p.ids[rest].tolist(), text=[rows[i][1] for i in rest], row=marks[rest].tolist())
+                if not len(windows):
+                    continue
+                at, doc = p.starts[windows], p.doc[windows]
+                values = gram_hashes(p.hashes, width)[at]
+                keys = prefix_keys(p, at, frequent, values) if windows_only else values
+                found.append((values, keys, p.ids[doc], (at - p.offsets[doc]).astype(np.int32), marks[doc]))
+            if not found:
                 return
-            at = p.starts[windows]
-            values, own, place = gram_hashes(p.hashes, width)[at], ids[p.doc[windows]], (at - p.offsets[p.doc[windows]]).astype(np.int32)
-            mark = marks[p.doc[windows]]
+            values, keys, own, place, mark = map(np.concatenate, zip(*found, strict=True))
             rank, begins = by_value(values)
             low, _, run_of = runs_min(own[rank], begins)
-            later = np.zeros(len(at), bool)
+            later = np.zeros(len(values), bool)
             later[rank] = own[rank] > low[run_of]
             if not windows_only:
                 yield from dealt(doc_part(own[later], groups), PLACES, PLACE, marks=mark[later], places=place[later])
                 return
-            key = prefix_keys(p, at[~later], frequent, values[~later])
-            yield from dealt(group_of(key, groups), PLACES, WINDOW, hashes=values[~later], docs=own[~later], places=place[~later], marks=mark[~later])
+            yield from dealt(group_of(keys[~later], groups), PLACES, WINDOW, hashes=values[~later], docs=own[~later], places=place[~later], marks=mark[~later])
 
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
@@ -213,7 +238,7 @@ def frequent_prefixes(docs: DataFrame, width: int, share: float, sample: int) ->
     some = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(rate * (1 << 20)) + 1)
 
     def count(batches):
-        for batch in slices(batches, SLICE):
+        for batch in small_slices(batches, SLICE, HASHED):
             p = Passages(slice_ids(batch), as_bytes(batch), width)
             for k in PREFIXES:
                 found, counts = np.unique(gram_hashes(p.hashes, k)[p.starts], return_counts=True)
@@ -283,7 +308,9 @@ def cut_out(width: int, with_text: bool):
 
 
 def by_part(df: DataFrame) -> DataFrame:
-    return df.repartition("part").sortWithinPartitions("part", "kind")
+    """Rows by part and kind. Documents are in one order, so that both readings in windows_sent make the same slices,
+    in whatever order a shuffle is fetched."""
+    return df.repartition("part").sortWithinPartitions("part", "kind", "doc_id", "row")
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, width: int = 13, with_text: bool = False, share: float = 0.002, sample: int = 2000) -> DataFrame:
@@ -322,7 +349,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, width: int = 13, with_t
 
 
 def untouched(batches):
-    for batch in slices(batches, SLICE):
+    for batch in small_slices(batches, SLICE, HASHED):
         words = [t.split() for t in as_bytes(batch)]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id").cast(pa.int64()), pa.array(list(map(len, words)), pa.int64()), pa.array([hashlib.sha256(b" ".join(w)).hexdigest() for w in words])],

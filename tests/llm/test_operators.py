@@ -298,3 +298,38 @@ def test_passages_of_rows_that_share_a_doc_id(spark):
         wanted += [(i, kept, len(kept))] if kept else []
     assert sorted(map(tuple, substrings.remove_repeats(spark, docs).collect())) == sorted(counts)
     assert sorted(map(tuple, corpus_pipeline.cut_passages(spark, docs, "").collect())) == sorted(wanted)
+
+
+def test_passage_of_an_id_with_rows_in_several_slices(spark):
+    rows = [(1, PASSAGE + " a"), (0, PASSAGE + " b"), (1, "x y " + PASSAGE), (9, "z")]  # two slices; in the first, id 1 comes before id 0
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2), "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_words, r.n_removed) for r in substrings.remove_repeats(spark, docs).collect())
+    assert got == [(0, 41, 0), (1, 41, 40), (1, 42, 40), (9, 1, 0)]
+
+
+def test_two_readings_in_different_orders_find_all_passages(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "SLICE", 3)
+    texts = {i: f"start{i} {PASSAGE}" for i in range(10)}
+    lengths = {i: len(t.split()) for i, t in texts.items()}
+    flags = {"docs": np.concatenate([[i] * n for i, n in lengths.items()]).astype(np.int64), "places": np.concatenate([np.arange(n) for n in lengths.values()]).astype(np.int32)}
+    names = [f.split()[0] for f in substrings.PLACES.split(", ")]
+
+    def reading(order, windows_only):
+        rows = [{"part": 0, "kind": substrings.PLACE} | {k: v.tobytes() for k, v in flags.items()}]
+        rows += [{"part": 0, "kind": substrings.TEXT, "doc_id": i, "text": texts[i].encode(), "row": i} for i in order]
+        df = spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], substrings.PLACES)
+        return list(substrings.windows_sent(1, 13, {}, windows_only)(substrings.by_part(df).toArrow().to_batches()))
+
+    removed = list(substrings.windows_met(1)(reading([3, 8, 1, 6, 0, 9, 4, 2, 7, 5], True))) + reading(range(10), False)
+    found = set()
+    for row in (r for batch in removed for r in batch.to_pylist() if r["kind"] == substrings.PLACE):
+        found |= set(zip(np.frombuffer(row["marks"], np.int64).tolist(), np.frombuffer(row["places"], np.int32).tolist(), strict=True))
+    assert found == {(i, k) for i in range(1, 10) for k in range(1, lengths[i] - 12)}
+
+
+def test_passages_of_texts_that_are_no_valid_utf8(spark):
+    raw = [b"\xff " + PASSAGE.encode(), PASSAGE.encode() + b" \xc3", b"\xed\xa0\x80 " * 13]
+    docs = spark.createDataFrame(list(enumerate(raw)), "doc_id long, text binary").select("doc_id", F.expr("cast(text AS string)").alias("text"))
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substrings.remove_repeats(spark, docs).collect()}
+    assert got == {i: (len(t.split()), gone, hashlib.sha256(b" ".join(kept)).hexdigest())
+                   for i, (t, gone, kept) in enumerate([(raw[0], 0, raw[0].split()), (raw[1], 40, [b"\xc3"]), (raw[2], 0, raw[2].split())])}
