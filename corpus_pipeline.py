@@ -69,20 +69,29 @@ def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Texts without the passages that an earlier document holds; texts of which nothing is left go.
 
     A text that loses nothing stays as it is; otherwise its words are joined by one space, and n_chars,
-    if there, is counted anew. Of rows that share a doc_id each loses its own passages. Only rows that lose
-    something are joined with their new texts; the others are told by their keys.
+    if there, is counted anew. Of rows that share a doc_id each loses its own passages. Rows meet the runs
+    of words they lose in one join, by their keys.
     """
-    own, row, cut = fresh(docs, "id", "row", "cut")
+    row, cuts = fresh(docs, "row", "cuts")
     with scratch_scope(spark):
-        lost = substrings.remove_repeats(spark, docs, with_text=True).filter("n_removed > 0")
-        found = materialize(lost.groupBy(F.col("doc_id").alias(own), F.col("row").alias(row)).agg(F.first("text_kept").alias(cut)))
-    keys = written(found.select(own, row), "keys")
-    touched = (docs["doc_id"] == keys[own]) & (substrings.row_key(docs) == keys[row])
-    changed = docs.join(keys, touched, "inner").drop("text").join(found, [own, row]).filter(f"{cut} <> ''")
-    new = {"text": F.col(cut)}
+        found = materialize(substrings.repeats(spark, docs))
+    runs = written(found.select(F.col("row").alias(row), F.col("cuts").alias(cuts)), "cuts")
+    joined = docs.withColumn(row, substrings.row_key(docs)).join(runs, row, "left")
+    own = joined.columns.index("text")
+
+    def cut(batches):
+        for batch in small_slices(batches, 2000):
+            lost = batch.column(cuts).to_pylist()
+            if any(x is not None for x in lost):
+                texts = [t if x is None else substrings.cut_words(t, x) for t, x in zip(batch.column("text").cast(pa.binary()).to_pylist(), lost, strict=True)]
+                batch = batch.set_column(own, "text", pa.array(texts, pa.binary()).cast(batch.column("text").type, safe=False))
+            yield batch
+
+    after = joined.mapInArrow(cut, joined.schema).filter(F.col(cuts).isNull() | (F.col("text") != ""))
+    new = {}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.char_length(cut).cast("long")
-    return docs.join(keys, touched, "left_anti").union(changed.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns]))
+        new["n_chars"] = F.when(F.col(cuts).isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long"))
+    return after.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -32,7 +32,9 @@ SLICE = 4000  # documents whose equal anchors and windows meet before they are s
 HASHED = 2 << 20  # bytes of text that are hashed at a time
 PLACES = "part long, kind long, doc_id long, text binary, hashes binary, docs binary, places binary, marks binary, n_words long, sha string, row long"
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
+CUTS = "row long, cuts binary"
 TEXT, PLACE, DONE, WINDOW = 1, 0, 2, 3  # kinds of rows
+REST, WINDOWS, ALL_WINDOWS = range(3)  # what windows_sent sends
 
 
 def row_key(docs: DataFrame):
@@ -133,13 +135,14 @@ def anchors_met(groups: int):
     return run
 
 
-def windows_sent(groups: int, width: int, frequent: dict[int, np.ndarray], windows_only: bool):
+def windows_sent(groups: int, width: int, frequent: dict[int, np.ndarray], what: int):
     """Texts meet the flagged places of their anchors.
 
     Documents without a window that may be repeated are done. The others go on as texts, and, in a
     second reading of the same shuffle, their windows by group; of equal windows of the slice only
     those of the smallest doc_id are sent, the others are known to be removed. Both readings must see
-    the same slices: one sends what the other does not hold for removed.
+    the same slices: one sends what the other does not hold for removed. With ALL_WINDOWS one reading
+    sends both, and no text.
     """
 
     def run(batches):
@@ -164,7 +167,7 @@ def windows_sent(groups: int, width: int, frequent: dict[int, np.ndarray], windo
             found = []
             for rows, p, windows in hashed():
                 marks = np.array([m for _, _, m in rows], np.int64)
-                if not windows_only:
+                if what == REST:
                     some = np.zeros(len(rows), bool)
                     some[p.doc[windows]] = True
                     calm, rest = np.flatnonzero(~some), np.flatnonzero(some)
@@ -177,7 +180,7 @@ def windows_sent(groups: int, width: int, frequent: dict[int, np.ndarray], windo
                     continue
                 at, doc = p.starts[windows], p.doc[windows]
                 values = gram_hashes(p.hashes, width)[at]
-                keys = prefix_keys(p, at, frequent, values) if windows_only else values
+                keys = prefix_keys(p, at, frequent, values) if what != REST else values
                 found.append((values, keys, p.ids[doc], (at - p.offsets[doc]).astype(np.int32), marks[doc]))
             if not found:
                 return
@@ -186,8 +189,10 @@ def windows_sent(groups: int, width: int, frequent: dict[int, np.ndarray], windo
             low, _, run_of = runs_min(own[rank], begins)
             later = np.zeros(len(values), bool)
             later[rank] = own[rank] > low[run_of]
-            if not windows_only:
-                yield from dealt(doc_part(own[later], groups), PLACES, PLACE, marks=mark[later], places=place[later])
+            if what != WINDOWS:
+                past = groups * (what == ALL_WINDOWS)  # parts past the groups are known already
+                yield from dealt(doc_part(own[later], groups) + past, PLACES, PLACE, marks=mark[later], places=place[later])
+            if what == REST:
                 return
             yield from dealt(group_of(keys[~later], groups), PLACES, WINDOW, hashes=values[~later], docs=own[~later], places=place[~later], marks=mark[~later])
 
@@ -257,7 +262,10 @@ def windows_met(groups: int):
     """Per subtree: windows that start in a document with a smaller doc_id too, dealt by document."""
 
     def run(batches):
-        for _, rows in grouped(batches):
+        for part, rows in grouped(batches):
+            if part >= groups:
+                yield rows_of(PLACES, part=[part - groups], kind=[PLACE], marks=[b"".join(r["marks"] for r in rows)], places=[b"".join(r["places"] for r in rows)])
+                continue
             order, begins = by_value(packed(rows, "hashes", np.uint64))
             docs, places, marks = packed(rows, "docs", np.int64)[order], packed(rows, "places", np.int32)[order], packed(rows, "marks", np.int64)[order]
             low, _, run_of = runs_min(docs, begins)
@@ -313,6 +321,60 @@ def by_part(df: DataFrame) -> DataFrame:
     return df.repartition("part").sortWithinPartitions("part", "kind", "doc_id", "row")
 
 
+def cuts_met(width: int):
+    """The removed windows of each row as runs of words: begin and end of each."""
+
+    def run(batches):
+        for _, rows in grouped(batches):
+            marks, places = packed(rows, "marks", np.int64), packed(rows, "places", np.int32)
+            order = np.lexsort((places, marks))
+            marks, places = marks[order], places[order]
+            fresh = np.append(True, marks[1:] != marks[:-1])[: len(marks)]
+            opens = np.flatnonzero(fresh | np.append(True, places[1:] > places[:-1] + width)[: len(marks)])
+            closes = np.append(opens[1:], len(marks))[: len(opens)] - 1
+            runs = np.stack([places[opens], places[closes] + width], 1).astype(np.int32)
+            begins = np.flatnonzero(fresh[opens])
+            ends = np.append(begins[1:], len(opens))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(marks[opens[begins]]), pa.array([runs[a:b].tobytes() for a, b in zip(begins, ends, strict=False)], pa.binary())], ["row", "cuts"])
+
+    return run
+
+
+def cut_words(text: bytes, cuts: bytes) -> bytes:
+    """The words outside the runs, joined by one space."""
+    words, kept, at = text.split(), [], 0
+    for a, b in np.frombuffer(cuts, np.int32).reshape(-1, 2).tolist():
+        kept += words[at:a]
+        at = b
+    return b" ".join(kept + words[at:])
+
+
+def met_texts(known: DataFrame, groups: int, width: int) -> DataFrame:
+    """Texts by part, after the places of their anchors that occur in several documents."""
+    anchors = known.mapInArrow(anchors_sent(groups, width), PLACES)
+    flagged = by_part(anchors).mapInArrow(anchors_met(groups), PLACES)
+    texts = known.select(
+        F.pmod(F.col("doc_id").bitwiseXOR(F.shiftright("doc_id", 15)), F.lit(groups)).alias("part"),
+        F.lit(TEXT).cast("long").alias("kind"), "doc_id", F.col("text").cast("binary").alias("text"),
+        *[F.lit(None).cast("binary").alias(c) for c in ("hashes", "docs", "places", "marks")],
+        F.lit(None).cast("long").alias("n_words"), F.lit(None).cast("string").alias("sha"), row_key(known).alias("row"))
+    return by_part(texts.union(flagged))
+
+
+def repeats(spark: SparkSession, docs: DataFrame, width: int = 13, share: float = 0.002, sample: int = 2000) -> DataFrame:
+    """row (the row_key) and cuts (runs of words, for cut_words) of the rows from which remove_repeats takes words.
+
+    No text is sent on to be cut: whoever holds the rows joins them with their runs.
+    """
+    ship_package(spark)
+    groups = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    known = id_and_text(docs).filter("doc_id is not null")
+    frequent = frequent_prefixes(known, width, share, sample)
+    windows = met_texts(known, groups, width).mapInArrow(windows_sent(groups, width, frequent, ALL_WINDOWS), PLACES)
+    return by_part(by_part(windows).mapInArrow(windows_met(groups), PLACES)).mapInArrow(cuts_met(width), CUTS)
+
+
 def remove_repeats(spark: SparkSession, docs: DataFrame, width: int = 13, with_text: bool = False, share: float = 0.002, sample: int = 2000) -> DataFrame:
     """Per document: n_words, n_removed and the digest of the words that stay.
 
@@ -329,17 +391,9 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, width: int = 13, with_t
     groups = int(spark.conf.get("spark.sql.shuffle.partitions"))
     known = id_and_text(docs).filter("doc_id is not null")
     frequent = frequent_prefixes(known, width, share, sample)
-    anchors = known.mapInArrow(anchors_sent(groups, width), PLACES)
-    flagged = by_part(anchors).mapInArrow(anchors_met(groups), PLACES)
-
-    texts = known.select(
-        F.pmod(F.col("doc_id").bitwiseXOR(F.shiftright("doc_id", 15)), F.lit(groups)).alias("part"),
-        F.lit(TEXT).cast("long").alias("kind"), "doc_id", F.col("text").cast("binary").alias("text"),
-        *[F.lit(None).cast("binary").alias(c) for c in ("hashes", "docs", "places", "marks")],
-        F.lit(None).cast("long").alias("n_words"), F.lit(None).cast("string").alias("sha"), row_key(known).alias("row"))
-    met = by_part(texts.union(flagged))
-    windows = met.mapInArrow(windows_sent(groups, width, frequent, True), PLACES)
-    rest = met.mapInArrow(windows_sent(groups, width, frequent, False), PLACES)
+    met = met_texts(known, groups, width)
+    windows = met.mapInArrow(windows_sent(groups, width, frequent, WINDOWS), PLACES)
+    rest = met.mapInArrow(windows_sent(groups, width, frequent, REST), PLACES)
     removed = by_part(windows).mapInArrow(windows_met(groups), PLACES)
     schema = RESULT + ", text_kept string, row long" * with_text
     cut = by_part(rest.union(removed)).mapInArrow(cut_out(width, with_text), schema)
